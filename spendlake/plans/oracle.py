@@ -111,3 +111,229 @@ def register(name: str, text: str) -> None:
 
 
 register("m6_forecast_features", sql(*BASE_FEATURES, body="SELECT * FROM features"))
+
+DAY_LIST = "['segunda', 'terça', 'quarta', 'quinta', 'sexta', 'sábado', 'domingo']"
+MONTH_LIST = ("['janeiro', 'fevereiro', 'março', 'abril', 'maio', 'junho', 'julho', 'agosto', "
+              "'setembro', 'outubro', 'novembro', 'dezembro']")
+
+SQL_CALENDAR = f"""
+days AS (
+  SELECT DISTINCT CAST(d AS DATE) AS data FROM (
+    SELECT data_assinatura AS d FROM contracts UNION ALL SELECT dataemissao FROM commitments
+    UNION ALL SELECT dataemissao FROM payments) WHERE d IS NOT NULL),
+cal AS (
+  SELECT data, CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre,
+         CAST(month(data) AS INTEGER) AS mes, CAST(day(data) AS INTEGER) AS dia,
+         CAST(isodow(data) - 1 AS INTEGER) AS dia_semana,
+         ({DAY_LIST})[isodow(data)] AS nome_dia_semana,
+         ({MONTH_LIST})[month(data)] AS nome_mes,
+         strftime(data, '%Y-%m') AS ano_mes,
+         row_number() OVER (ORDER BY data) AS sk_tempo
+  FROM days)"""
+
+SQL_MODALITY = """
+modal AS (
+  SELECT descricao_modalidade, descricao_tipo,
+         row_number() OVER (ORDER BY descricao_modalidade NULLS FIRST, descricao_tipo NULLS FIRST) AS sk_modalidade
+  FROM (SELECT DISTINCT descricao_modalidade, descricao_tipo FROM contracts WHERE descricao_modalidade IS NOT NULL))"""
+
+SQL_CREDITOR = """
+cred_u AS (
+  SELECT cpf_cnpj_financiador AS cpf_cnpj, descricao_nome_credor AS nome, coalesce(infringement_status, 0) AS h FROM contracts
+  UNION ALL SELECT codigocredor, nomecredor, 0 FROM commitments),
+creditor AS (
+  SELECT cpf_cnpj, arg_max(nome, row(h, nome)) FILTER (WHERE nome IS NOT NULL) AS nome,
+         CASE WHEN length(cpf_cnpj) > 11 THEN 'PJ' ELSE 'PF' END AS tipo_pessoa,
+         CAST(max(h) AS INTEGER) AS historico_infringement
+  FROM cred_u WHERE cpf_cnpj IS NOT NULL GROUP BY cpf_cnpj),
+creditor_cur AS (
+  SELECT *, DATE '2026-07-23' AS data_inicio, CAST(NULL AS DATE) AS data_fim, true AS versao_atual,
+         row_number() OVER (ORDER BY cpf_cnpj) AS sk_credor FROM creditor)"""
+
+SQL_CONTRACT_STAR = """
+contract_star AS (
+  SELECT f.*, t.sk_tempo AS sk_tempo_assinatura, a.sk_orgao, m.sk_modalidade, c.sk_credor,
+         CAST(NULL AS DECIMAL(5,4)) AS score_anomalia,
+         row_number() OVER (ORDER BY f.id_contrato_origem, f.ano) AS sk_contrato
+  FROM contract_fact f
+  LEFT JOIN cal t ON t.data = f.data_assinatura
+  LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao
+  LEFT JOIN modal m ON m.descricao_modalidade = f.descricao_modalidade
+                   AND m.descricao_tipo IS NOT DISTINCT FROM f.descricao_tipo
+  LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj)"""
+
+GOLD = [SQL_CONTRACTS, SQL_COMMITMENTS, SQL_PAYMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_AGENCY,
+        SQL_CALENDAR, SQL_MODALITY, SQL_CREDITOR, SQL_CONTRACT_FACT, SQL_COMMIT_FACT, SQL_PAY_FACT]
+
+
+def _describe(src: str, cols: list[str], by: str | None = None) -> str:
+    parts = []
+    for c in cols:
+        g = f"{by}, " if by else ""
+        parts.append(f"""SELECT {g}count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+       min(x) AS min, round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
+       round(quantile_cont(x, 0.75), 6) AS p75, max(x) AS max, '{c}' AS "column"
+FROM (SELECT {g}CAST({c} AS DOUBLE) AS x FROM {src}) {"GROUP BY " + by if by else ""}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+register("s1_extract_incremental",
+         "SELECT * FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-10'")
+register("s5_api_date", "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS data_api FROM orders")
+register("x1_only_digits", """
+SELECT c_custkey,
+       nullif(regexp_replace(c_name, '[^0-9]', '', 'g'), '') AS doc,
+       nullif(regexp_replace(c_mktsegment, '[^0-9]', '', 'g'), '') AS seg_digits,
+       nullif(regexp_replace(nullif(c_mktsegment, 'BUILDING'), '[^0-9]', '', 'g'), '') AS null_digits,
+       nullif(regexp_replace(CAST(c_acctbal AS VARCHAR), '[^0-9]', '', 'g'), '') AS bal_digits
+FROM customer""")
+register("x2_parse_ts", """
+SELECT event_id, CASE event_type WHEN 'click' THEN date_trunc('millisecond', ts)
+                                 WHEN 'view' THEN date_trunc('day', ts)
+                                 WHEN 'error' THEN NULL ELSE ts END AS parsed
+FROM events""")
+register("x3_parse_num", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 0.0 WHEN o_orderpriority = '5-LOW' THEN 0.0
+                        ELSE o_totalprice END AS valor
+FROM orders""")
+register("w1_dedupe_latest", sql(SQL_COMMITMENTS, body="SELECT * FROM commitments"))
+register("i4_silver_contracts", sql(SQL_CONTRACTS, body="SELECT * FROM contracts"))
+register("i4_silver_payments", sql(SQL_PAYMENTS, body="SELECT * FROM payments"))
+register("i4_silver_units", sql(SQL_UNITS, body="SELECT * FROM units"))
+register("j1_enrich_units", sql(SQL_COMMITMENTS, SQL_UNITS, body="""
+SELECT c.*, u.titulo AS nome_ug, u.cnpj AS cnpj_ug
+FROM commitments c LEFT JOIN units u ON c.codigoug = u.codigo AND c.ano = u.ano"""))
+register("w2_unit_agency_map", sql(SQL_UNITS, SQL_UNIT_MAP, body="SELECT * FROM unit_map"))
+register("a1_mode_by_group", """
+WITH c AS (SELECT c_nationkey, nullif(c_mktsegment, 'BUILDING') AS seg,
+                  CASE WHEN c_nationkey <> 3 THEN nullif(c_mktsegment, 'BUILDING') END AS seg2 FROM customer),
+m1 AS (SELECT c_nationkey, seg AS mode_seg FROM (
+         SELECT c_nationkey, seg, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, seg) AS rn
+         FROM c WHERE seg IS NOT NULL GROUP BY c_nationkey, seg) WHERE rn = 1),
+m2 AS (SELECT c_nationkey, seg2 AS mode_seg2 FROM (
+         SELECT c_nationkey, seg2, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, seg2) AS rn
+         FROM c WHERE seg2 IS NOT NULL GROUP BY c_nationkey, seg2) WHERE rn = 1)
+SELECT g.c_nationkey, m1.mode_seg, m2.mode_seg2
+FROM (SELECT DISTINCT c_nationkey FROM c) g LEFT JOIN m1 USING (c_nationkey) LEFT JOIN m2 USING (c_nationkey)""")
+register("a2_agency_dim", sql(SQL_UNITS, SQL_AGENCY, body="SELECT * FROM agency"))
+register("a3_creditor_dim", sql(SQL_CONTRACTS, SQL_COMMITMENTS, SQL_CREDITOR,
+                                body="SELECT * FROM creditor"))
+register("g3_modality_dim", sql(SQL_CONTRACTS, SQL_MODALITY, body="SELECT * FROM modal"))
+register("x5_calendar_dim", sql(SQL_CONTRACTS, SQL_COMMITMENTS, SQL_PAYMENTS, SQL_CALENDAR,
+                                body="SELECT * FROM cal"))
+register("p2_contract_fact", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="SELECT * FROM contract_fact"))
+register("j2_commitment_fact", sql(SQL_COMMITMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_COMMIT_FACT,
+                                   body="SELECT * FROM commit_fact"))
+register("j3_payment_fact", sql(SQL_PAYMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_PAY_FACT,
+                                body="SELECT * FROM pay_fact"))
+register("j18_commitment_contract_link", sql(
+    SQL_CONTRACTS, SQL_COMMITMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_COMMIT_FACT, SQL_CONTRACT_FACT, body="""
+, nums AS (SELECT num_contrato, id_contrato_origem FROM (
+    SELECT num_contrato, id_contrato_origem,
+           row_number() OVER (PARTITION BY num_contrato ORDER BY data_assinatura DESC, id_contrato_origem DESC) AS rn
+    FROM contract_fact WHERE num_contrato IS NOT NULL) WHERE rn = 1)
+SELECT f.*, n.id_contrato_origem FROM commit_fact f
+LEFT JOIN nums n ON (CASE WHEN regexp_full_match(f.codcontrato, '0+') THEN NULL ELSE f.codcontrato END) = n.num_contrato"""))
+register("j4_contract_star", sql(*GOLD, SQL_CONTRACT_STAR, body="SELECT * FROM contract_star"))
+register("j5_commitment_star", sql(*GOLD, body="""
+SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor FROM commit_fact f
+LEFT JOIN cal t ON t.data = f.data_emissao LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao
+LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj"""))
+register("j6_payment_star", sql(*GOLD, body="""
+SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor FROM pay_fact f
+LEFT JOIN cal t ON t.data = f.data_emissao LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao
+LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj"""))
+
+register("a5_quarterly_payments", sql(*BASE_FEATURES, body="SELECT * FROM hist_named"))
+register("a6_contracted_running", sql(*BASE_FEATURES, body="SELECT * FROM cq_run"))
+register("a7_financial_summary", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+SELECT CAST(coalesce(sum(valor_contratado), 0) AS DECIMAL(18,2)) AS total_contratado,
+       CAST(coalesce(sum(valor_pago), 0) AS DECIMAL(18,2)) AS total_pago,
+       CAST(coalesce(sum(valor_empenhado), 0) AS DECIMAL(18,2)) AS total_empenhado,
+       count(*) FILTER (WHERE valor_pago > valor_contratado) AS contratos_pagamento_acima_do_valor,
+       round(coalesce(CAST(sum(valor_pago) AS DOUBLE) * 100.0 / nullif(CAST(sum(valor_contratado) AS DOUBLE), 0), 0), 4) AS pct_pago
+FROM contract_fact"""))
+register("a8_infraction_creditors", sql(*GOLD, SQL_CONTRACT_STAR, body="""
+SELECT dc.nome, dc.cpf_cnpj, dc.historico_infringement, count(fc.sk_contrato) AS qtd_contratos,
+       CAST(sum(fc.valor_contratado) AS DECIMAL(18,2)) AS valor_total
+FROM creditor_cur dc JOIN contract_star fc ON fc.sk_credor = dc.sk_credor
+WHERE dc.historico_infringement > 0 AND dc.versao_atual
+GROUP BY dc.nome, dc.cpf_cnpj, dc.historico_infringement
+ORDER BY valor_total DESC, dc.cpf_cnpj LIMIT 10"""))
+register("a11_heuristic_p95", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+, h AS (SELECT *, descricao_modalidade IN ('1-URGENT', '2-HIGH')
+                  AND CAST(valor_contratado AS DOUBLE) >= (SELECT quantile_cont(CAST(valor_contratado AS DOUBLE), 0.95) FROM contract_fact) AS heuristica
+        FROM contract_fact)
+""" + _describe("h", ["valor_contratado", "dias_vigencia"], by="heuristica")))
+register("a12_describe", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body=_describe(
+    "contract_fact", ["valor_contratado", "dias_vigencia", "historico_credor_infringement"])))
+register("a13_describe_by_group", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body=_describe(
+    "contract_fact", ["valor_contratado"], by="descricao_modalidade")))
+register("a14_value_counts", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+SELECT descricao_modalidade, count(*) AS n FROM contract_fact GROUP BY descricao_modalidade"""))
+register("a15_monthly_sum", sql(SQL_PAYMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_PAY_FACT, body="""
+SELECT CAST(date_trunc('month', data_emissao) AS DATE) AS periodo, CAST(sum(valor) AS DECIMAL(18,2)) AS total_pago
+FROM pay_fact GROUP BY 1"""))
+register("a20_histogram", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+, b AS (SELECT min(CAST(valor_contratado AS DOUBLE)) AS mn, max(CAST(valor_contratado AS DOUBLE)) AS mx FROM contract_fact)
+SELECT least(CASE WHEN x >= mx THEN 31 ELSE CAST(floor(30 * (x - mn) / (mx - mn)) AS BIGINT) + 1 END, 30) AS bin,
+       count(*) AS n
+FROM (SELECT CAST(valor_contratado AS DOUBLE) AS x FROM contract_fact WHERE valor_contratado IS NOT NULL), b
+GROUP BY 1"""))
+register("w9_minmax_scale", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+, b AS (SELECT min(CAST(valor_contratado AS DOUBLE)) AS mn, max(CAST(valor_contratado AS DOUBLE)) AS mx FROM contract_fact)
+SELECT id_contrato_origem, ano, valor_contratado,
+       CASE WHEN mx = mn THEN 0.0 ELSE (CAST(valor_contratado AS DOUBLE) - mn) / (mx - mn) END AS valor_norm
+FROM contract_fact, b"""))
+
+SQL_HOLDOUT = """
+, holdout AS (
+  SELECT * EXCLUDE (rn, n), CASE WHEN rn = 1 THEN 'test' ELSE 'train' END AS fold FROM (
+    SELECT *, row_number() OVER (PARTITION BY codigo_orgao ORDER BY ano DESC, trimestre DESC) AS rn,
+           count(*) OVER (PARTITION BY codigo_orgao) AS n
+    FROM features WHERE valor_lag1 IS NOT NULL AND valor_mesmo_trimestre_ano_anterior IS NOT NULL) WHERE n >= 4)"""
+register("w8_holdout_split", sql(*BASE_FEATURES, body=SQL_HOLDOUT + " SELECT * FROM holdout"))
+register("a17_backtest_naive", sql(*BASE_FEATURES, body=SQL_HOLDOUT + """
+, last_train AS (
+  SELECT codigo_orgao, valor_total AS v FROM (
+    SELECT *, row_number() OVER (PARTITION BY codigo_orgao ORDER BY ano DESC, trimestre DESC) AS rn
+    FROM holdout WHERE fold = 'train') WHERE rn = 1),
+pred AS (
+  SELECT t.codigo_orgao, CAST(t.valor_total AS DOUBLE) AS y, CAST(l.v AS DOUBLE) AS p50,
+         CAST(CAST(l.v * 0.7 AS DECIMAL(18,2)) AS DOUBLE) AS p10, CAST(CAST(l.v * 1.3 AS DECIMAL(18,2)) AS DOUBLE) AS p90
+  FROM holdout t JOIN last_train l USING (codigo_orgao) WHERE t.fold = 'test')
+SELECT count(*) AS n, round(avg(abs(y - p50)), 6) AS mae, round(avg(abs(y - p50) / nullif(y, 0.0)), 6) AS mape,
+       round(avg(CAST(y BETWEEN p10 AND p90 AS DOUBLE)), 6) AS coverage
+FROM pred"""))
+
+SQL_NAIVE = """
+, last_row AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY codigo_orgao ORDER BY ano DESC, trimestre DESC) AS rn
+                 FROM features) WHERE rn = 1),
+naive AS (
+  SELECT codigo_orgao, sk_orgao, '2026-Q4' AS trimestre_referencia,
+         CAST(greatest(valor_total, 0) AS DECIMAL(18,2)) AS valor_previsto,
+         CAST(greatest(least(CAST(valor_total * 0.7 AS DECIMAL(18,2)), valor_total), 0) AS DECIMAL(18,2)) AS intervalo_inferior,
+         CAST(greatest(CAST(valor_total * 1.3 AS DECIMAL(18,2)), valor_total, greatest(valor_total, 0)) AS DECIMAL(18,2)) AS intervalo_superior,
+         'naive_persistence' AS modelo
+  FROM last_row)"""
+register("m7_naive_forecast", sql(*BASE_FEATURES, body=SQL_NAIVE + " SELECT * FROM naive"))
+register("m10_next_quarter_features", sql(*BASE_FEATURES, body="""
+, last_row AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY codigo_orgao ORDER BY ano DESC, trimestre DESC) AS rn
+                 FROM features) WHERE rn = 1),
+ya AS (SELECT codigo_orgao, valor_total FROM features WHERE ano = 2025 AND trimestre = 4)
+SELECT l.codigo_orgao, 4 AS trimestre, 1 AS ano_eleitoral, l.valor_total AS valor_lag1,
+       coalesce(ya.valor_total, l.valor_total) AS valor_mesmo_trimestre_ano_anterior,
+       l.valor_contratado_acumulado, 2026 * 4 + 4 AS sequencial_trimestre, '2026-Q4' AS trimestre_referencia
+FROM last_row l LEFT JOIN ya USING (codigo_orgao)"""))
+register("o5_top_forecasts", sql(*BASE_FEATURES, body=SQL_NAIVE + """
+, batch AS (SELECT *, TIMESTAMP '2026-07-23 10:00:00' AS data_geracao FROM naive)
+SELECT p.trimestre_referencia, a.nome AS nome_orgao, p.valor_previsto, p.intervalo_inferior,
+       p.intervalo_superior, p.modelo, p.sk_orgao
+FROM batch p JOIN agency a ON a.sk_orgao = p.sk_orgao
+WHERE p.data_geracao = (SELECT max(data_geracao) FROM batch)
+ORDER BY p.valor_previsto DESC, p.sk_orgao LIMIT 15"""))
+register("o6_overpaid_head", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+SELECT id_contrato_origem, valor_contratado, valor_pago FROM contract_fact
+WHERE valor_pago > valor_contratado ORDER BY id_contrato_origem LIMIT 10"""))

@@ -43,3 +43,291 @@ def contracted_running(spark: SparkSession, d: str) -> DataFrame:
 def m6_forecast_features(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: agency x quarter payments, cumulative contracted value, lags."""
     return forecast_features(quarterly_history(spark, d), contracted_running(spark, d), "codigo_orgao")
+
+
+# --------------------------------------------------------------------------- #
+# Scans and scalar functions
+# --------------------------------------------------------------------------- #
+from spendlake.functions import api_date, only_digits, parse_num, parse_ts  # noqa: E402
+from spendlake.sources.files import extract_incremental  # noqa: E402
+
+
+@query
+def s1_extract_incremental(spark, d):
+    """Events in an inclusive [start, end-midnight] window (pushed to the scan)."""
+    return extract_incremental(domain.read(spark, d, "events"), "ts", "2024-01-03", "2024-01-10")
+
+
+@query
+def s5_api_date(spark, d):
+    o = domain.read(spark, d, "orders")
+    return o.select("o_orderkey", api_date(F.col("o_orderdate")).alias("data_api"))
+
+
+@query
+def x1_only_digits(spark, d):
+    c = domain.read(spark, d, "customer")
+    return c.select("c_custkey", only_digits("c_name").alias("doc"),
+                    only_digits("c_mktsegment").alias("seg_digits"),
+                    only_digits(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))).alias("null_digits"),
+                    only_digits(F.col("c_acctbal").cast("string")).alias("bal_digits"))
+
+
+@query
+def x2_parse_ts(spark, d):
+    """Offsets dropped (wall clock kept), month-first US dates, junk to null."""
+    e = domain.read(spark, d, "events")
+    raw = (F.when(F.col("event_type") == "click",
+                  F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-03:00")))
+           .when(F.col("event_type") == "view", F.date_format("ts", "MM/dd/yyyy"))
+           .when(F.col("event_type") == "error", F.lit("junk"))
+           .otherwise(F.col("ts").cast("string")))
+    return e.select("event_id", parse_ts(raw).alias("parsed"))
+
+
+@query
+def x3_parse_num(spark, d):
+    o = domain.read(spark, d, "orders")
+    raw = (F.when(F.col("o_orderstatus") == "P", F.lit("n/a"))
+           .when(F.col("o_orderpriority") == "5-LOW", F.lit("NaN"))
+           .otherwise(F.col("o_totalprice").cast("string")))
+    return o.select("o_orderkey", parse_num(raw).alias("valor"))
+
+
+# --------------------------------------------------------------------------- #
+# Silver entities, dimensions, facts
+# --------------------------------------------------------------------------- #
+from spendlake.operators.clean import enrich_with_units  # noqa: E402
+from spendlake.operators.dims import agency_dim, creditor_dim, mode_by_group, modality_dim  # noqa: E402
+from spendlake.operators.facts import (commitment_fact, link_commitments_to_contracts)  # noqa: E402
+
+
+@query
+def w1_dedupe_latest(spark, d):
+    """Commitments, latest version per (id, year): null updated_at wins, total tie-break."""
+    return domain.commitments(spark, d)
+
+
+@query
+def i4_silver_contracts(spark, d):
+    return domain.contracts(spark, d)
+
+
+@query
+def i4_silver_payments(spark, d):
+    return domain.payments(spark, d)
+
+
+@query
+def i4_silver_units(spark, d):
+    return domain.units(spark, d)
+
+
+@query
+def j1_enrich_units(spark, d):
+    return enrich_with_units(domain.commitments(spark, d), domain.units(spark, d))
+
+
+@query
+def w2_unit_agency_map(spark, d):
+    return gold.unit_map(spark, d)
+
+
+@query
+def a1_mode_by_group(spark, d):
+    c = domain.read(spark, d, "customer").withColumn(
+        "seg", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")))
+    c = c.withColumn("seg2", F.when(F.col("c_nationkey") != 3, F.col("seg")))
+    return mode_by_group(c, "c_nationkey", {"seg": "mode_seg", "seg2": "mode_seg2"})
+
+
+@query
+def a2_agency_dim(spark, d):
+    return gold.dim_orgao(spark, d)
+
+
+@query
+def a3_creditor_dim(spark, d):
+    return creditor_dim(domain.contracts(spark, d), domain.commitments(spark, d))
+
+
+@query
+def g3_modality_dim(spark, d):
+    return gold.dim_modalidade(spark, d)
+
+
+@query
+def x5_calendar_dim(spark, d):
+    return gold.dim_tempo(spark, d)
+
+
+@query
+def p2_contract_fact(spark, d):
+    return contract_fact(domain.contracts(spark, d))
+
+
+@query
+def j2_commitment_fact(spark, d):
+    return commitment_fact(domain.commitments(spark, d), gold.unit_map(spark, d))
+
+
+@query
+def j3_payment_fact(spark, d):
+    return payment_fact(domain.payments(spark, d), gold.unit_map(spark, d))
+
+
+@query
+def j18_commitment_contract_link(spark, d):
+    f = commitment_fact(domain.commitments(spark, d), gold.unit_map(spark, d))
+    c = contract_fact(domain.contracts(spark, d))
+    return link_commitments_to_contracts(f, c, key="id_contrato_origem")
+
+
+def _dims(spark, d):
+    return {"dim_tempo": gold.dim_tempo(spark, d), "dim_orgao": gold.dim_orgao(spark, d),
+            "dim_modalidade": gold.dim_modalidade(spark, d), "dim_credor": gold.dim_credor(spark, d)}
+
+
+@query
+def j4_contract_star(spark, d):
+    return gold.fato_contrato(spark, d, _dims(spark, d))
+
+
+@query
+def j5_commitment_star(spark, d):
+    return gold.fato_empenho(spark, d, _dims(spark, d))
+
+
+@query
+def j6_payment_star(spark, d):
+    return gold.fato_ordem_bancaria(spark, d, _dims(spark, d))
+
+
+# --------------------------------------------------------------------------- #
+# Aggregations, windows, top-k
+# --------------------------------------------------------------------------- #
+from spendlake.operators.aggregates import (describe_exact, forecast_errors, histogram,  # noqa: E402
+                                            minmax_scale, period_sum, value_counts)
+from spendlake.operators.forecast_naive import clamp_interval, naive_forecast, next_quarter_rows  # noqa: E402
+from spendlake.operators.insights import financial_summary, infraction_creditors, top_by  # noqa: E402
+from spendlake.operators.timeseries import holdout_last  # noqa: E402
+
+
+@query
+def a5_quarterly_payments(spark, d):
+    return quarterly_history(spark, d)
+
+
+@query
+def a6_contracted_running(spark, d):
+    return contracted_running(spark, d)
+
+
+@query
+def a7_financial_summary(spark, d):
+    return financial_summary(contract_fact(domain.contracts(spark, d)))
+
+
+@query
+def a8_infraction_creditors(spark, d):
+    dims = _dims(spark, d)
+    fc = gold.fato_contrato(spark, d, dims)
+    return infraction_creditors(dims["dim_credor"], fc, 10)
+
+
+@query
+def a11_heuristic_p95(spark, d):
+    """Waiver-like modality AND value >= exact p95: value described per heuristic group."""
+    fc = contract_fact(domain.contracts(spark, d))
+    p95 = fc.select(F.percentile(F.col("valor_contratado").cast("double"), 0.95)).scalar()
+    flag = (F.col("descricao_modalidade").isin("1-URGENT", "2-HIGH")
+            & (F.col("valor_contratado").cast("double") >= p95))
+    return describe_exact(fc.withColumn("heuristica", flag), ["valor_contratado", "dias_vigencia"],
+                          by=["heuristica"])
+
+
+@query
+def a12_describe(spark, d):
+    fc = contract_fact(domain.contracts(spark, d))
+    return describe_exact(fc, ["valor_contratado", "dias_vigencia", "historico_credor_infringement"])
+
+
+@query
+def a13_describe_by_group(spark, d):
+    fc = contract_fact(domain.contracts(spark, d))
+    return describe_exact(fc, ["valor_contratado"], by=["descricao_modalidade"])
+
+
+@query
+def a14_value_counts(spark, d):
+    return value_counts(contract_fact(domain.contracts(spark, d)), "descricao_modalidade")
+
+
+@query
+def a15_monthly_sum(spark, d):
+    pay = payment_fact(domain.payments(spark, d), gold.unit_map(spark, d))
+    return period_sum(pay, "data_emissao", "valor", "month", "total_pago")
+
+
+@query
+def a20_histogram(spark, d):
+    return histogram(contract_fact(domain.contracts(spark, d)), "valor_contratado", 30)
+
+
+@query
+def w9_minmax_scale(spark, d):
+    fc = contract_fact(domain.contracts(spark, d)).select("id_contrato_origem", "ano", "valor_contratado")
+    return minmax_scale(fc, "valor_contratado", "valor_norm")
+
+
+@query
+def w8_holdout_split(spark, d):
+    f = m6_forecast_features(spark, d)
+    return holdout_last(f, "codigo_orgao", min_rows=4, required=["valor_lag1", "valor_mesmo_trimestre_ano_anterior"])
+
+
+@query
+def a17_backtest_naive(spark, d):
+    """Hold out each agency's last quarter; naive forecast from the training part; errors."""
+    f = w8_holdout_split(spark, d)
+    train = f.filter(F.col("fold") == "train")
+    test = f.filter(F.col("fold") == "test").select("codigo_orgao", F.col("valor_total").alias("y"))
+    fc = naive_forecast(train, "codigo_orgao")
+    return forecast_errors(test.join(fc, "codigo_orgao"), "y", "p50", "p10", "p90")
+
+
+@query
+def m7_naive_forecast(spark, d):
+    """Next-quarter persistence forecast per agency with clamped interval."""
+    f = m6_forecast_features(spark, d)
+    fc = clamp_interval(naive_forecast(f, "codigo_orgao"))
+    nxt = next_quarter_rows(f, "codigo_orgao", gold.LOAD_DATE).select("codigo_orgao", "trimestre_referencia")
+    return fc.join(nxt, "codigo_orgao").select(
+        "codigo_orgao", "sk_orgao", "trimestre_referencia", "valor_previsto", "intervalo_inferior",
+        "intervalo_superior", F.lit("naive_persistence").alias("modelo"))
+
+
+@query
+def m10_next_quarter_features(spark, d):
+    return next_quarter_rows(m6_forecast_features(spark, d), "codigo_orgao", gold.LOAD_DATE)
+
+
+@query
+def o5_top_forecasts(spark, d):
+    """Top 15 forecasts of the latest batch, with agency names."""
+    batch = m7_naive_forecast(spark, d).withColumn(
+        "data_geracao", F.lit("2026-07-23 10:00:00").cast("timestamp_ntz"))
+    latest = batch.filter(F.col("data_geracao") == batch.select(F.max("data_geracao")).scalar())
+    org = gold.dim_orgao(spark, d).select("sk_orgao", F.col("nome").alias("nome_orgao"))
+    j = latest.join(org, "sk_orgao")
+    return top_by(j.select("trimestre_referencia", "nome_orgao", "valor_previsto", "intervalo_inferior",
+                           "intervalo_superior", "modelo", "sk_orgao"),
+                  15, F.desc("valor_previsto"), F.col("sk_orgao"))
+
+
+@query
+def o6_overpaid_head(spark, d):
+    fc = contract_fact(domain.contracts(spark, d))
+    over = fc.filter(F.col("valor_pago") > F.col("valor_contratado"))
+    return top_by(over.select("id_contrato_origem", "valor_contratado", "valor_pago"), 10,
+                  F.col("id_contrato_origem"))
