@@ -14,36 +14,43 @@ unit_map AS (
     FROM units) WHERE rn = 1)"""
 
 
-def _mode_cte(attr: str, alias: str) -> str:
+def _mode_cte(attr: str, alias: str, src: str, prefix: str) -> str:
     return f"""
-mode_{alias} AS (
+{prefix}mode_{alias} AS (
   SELECT codigoorgao, {attr} AS {alias} FROM (
     SELECT codigoorgao, {attr}, row_number() OVER (PARTITION BY codigoorgao ORDER BY count(*) DESC, {attr}) AS rn
-    FROM units WHERE codigoorgao IS NOT NULL AND {attr} IS NOT NULL GROUP BY codigoorgao, {attr}) WHERE rn = 1)"""
+    FROM {src} WHERE codigoorgao IS NOT NULL AND {attr} IS NOT NULL GROUP BY codigoorgao, {attr}) WHERE rn = 1)"""
 
 
 AGENCY_ATTRS = [("titulo", "nome"), ("cnpj", "cnpj"), ("tipoadministracao", "tipo_administracao"),
                 ("nomepoder", "esfera")]
 
-SQL_AGENCY = ",".join(_mode_cte(a, al).strip("\n") for a, al in AGENCY_ATTRS) + """,
-head_office AS (
+
+def agency_sql(src: str = "units", name: str = "agency", prefix: str = "") -> str:
+    """Agency dimension CTEs over the unit table ``src`` (mode per attribute, head-office patch)."""
+    modes = ",".join(_mode_cte(a, al, src, prefix).strip("\n") for a, al in AGENCY_ATTRS)
+    return modes + f""",
+{prefix}head_office AS (
   SELECT * FROM (
     SELECT codigoorgao, titulo, cnpj, tipoadministracao, nomepoder,
            row_number() OVER (PARTITION BY codigoorgao ORDER BY updated_at NULLS FIRST, ano NULLS FIRST) AS rn
-    FROM units WHERE codigoorgao IS NOT NULL AND codigo = codigoorgao) WHERE rn = 1),
-agency AS (
+    FROM {src} WHERE codigoorgao IS NOT NULL AND codigo = codigoorgao) WHERE rn = 1),
+{name} AS (
   SELECT g.codigoorgao AS codigo_orgao,
          coalesce(h.titulo, m1.nome) AS nome,
          coalesce(h.cnpj, m2.cnpj) AS cnpj,
          coalesce(h.tipoadministracao, m3.tipo_administracao) AS tipo_administracao,
          coalesce(h.nomepoder, m4.esfera) AS esfera,
          row_number() OVER (ORDER BY g.codigoorgao) AS sk_orgao
-  FROM (SELECT DISTINCT codigoorgao FROM units WHERE codigoorgao IS NOT NULL) g
-  LEFT JOIN mode_nome m1 USING (codigoorgao)
-  LEFT JOIN mode_cnpj m2 USING (codigoorgao)
-  LEFT JOIN mode_tipo_administracao m3 USING (codigoorgao)
-  LEFT JOIN mode_esfera m4 USING (codigoorgao)
-  LEFT JOIN head_office h USING (codigoorgao))"""
+  FROM (SELECT DISTINCT codigoorgao FROM {src} WHERE codigoorgao IS NOT NULL) g
+  LEFT JOIN {prefix}mode_nome m1 USING (codigoorgao)
+  LEFT JOIN {prefix}mode_cnpj m2 USING (codigoorgao)
+  LEFT JOIN {prefix}mode_tipo_administracao m3 USING (codigoorgao)
+  LEFT JOIN {prefix}mode_esfera m4 USING (codigoorgao)
+  LEFT JOIN {prefix}head_office h USING (codigoorgao))"""
+
+
+SQL_AGENCY = agency_sql()
 
 SQL_PAY_FACT = """
 pay_fact AS (
@@ -337,3 +344,91 @@ ORDER BY p.valor_previsto DESC, p.sk_orgao LIMIT 15"""))
 register("o6_overpaid_head", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
 SELECT id_contrato_origem, valor_contratado, valor_pago FROM contract_fact
 WHERE valor_pago > valor_contratado ORDER BY id_contrato_origem LIMIT 10"""))
+
+
+def creditor_sql(contracts: str, commitments: str, name: str) -> str:
+    return f"""
+{name}_u AS (
+  SELECT cpf_cnpj_financiador AS cpf_cnpj, descricao_nome_credor AS nome, coalesce(infringement_status, 0) AS h FROM {contracts}
+  UNION ALL SELECT codigocredor, nomecredor, 0 FROM {commitments}),
+{name} AS (
+  SELECT cpf_cnpj, arg_max(nome, row(h, nome)) FILTER (WHERE nome IS NOT NULL) AS nome,
+         CASE WHEN length(cpf_cnpj) > 11 THEN 'PJ' ELSE 'PF' END AS tipo_pessoa,
+         CAST(max(h) AS INTEGER) AS historico_infringement
+  FROM {name}_u WHERE cpf_cnpj IS NOT NULL GROUP BY cpf_cnpj)"""
+
+
+register("g1_insert_absent", sql(SQL_CONTRACTS, SQL_COMMITMENTS, SQL_PAYMENTS, SQL_CALENDAR, body="""
+, tdays AS (SELECT DISTINCT CAST(data_assinatura AS DATE) AS data FROM contracts WHERE data_assinatura IS NOT NULL),
+target AS (SELECT c.* EXCLUDE (sk_tempo), row_number() OVER (ORDER BY c.data) AS sk_tempo
+           FROM cal c WHERE c.data IN (SELECT data FROM tdays))
+SELECT * FROM target
+UNION ALL
+SELECT c.* EXCLUDE (sk_tempo), (SELECT max(sk_tempo) FROM target) + row_number() OVER (ORDER BY c.data) AS sk_tempo
+FROM cal c WHERE c.data NOT IN (SELECT data FROM tdays)"""))
+
+register("g2_upsert_agency", sql(
+    SQL_UNITS, "units_old AS (SELECT * FROM units WHERE ano < 1998)", agency_sql("units_old", "agency_old", "o_"),
+    agency_sql("units", "agency_new", "n_"), body="""
+SELECT o.codigo_orgao, n.nome, n.cnpj, n.tipo_administracao, n.esfera, o.sk_orgao
+FROM agency_old o JOIN agency_new n USING (codigo_orgao)
+UNION ALL
+SELECT o.codigo_orgao, o.nome, o.cnpj, o.tipo_administracao, o.esfera, o.sk_orgao
+FROM agency_old o WHERE o.codigo_orgao NOT IN (SELECT codigo_orgao FROM agency_new)
+UNION ALL
+SELECT n.codigo_orgao, n.nome, n.cnpj, n.tipo_administracao, n.esfera,
+       (SELECT max(sk_orgao) FROM agency_old) + row_number() OVER (ORDER BY n.codigo_orgao) AS sk_orgao
+FROM agency_new n WHERE n.codigo_orgao NOT IN (SELECT codigo_orgao FROM agency_old)"""))
+
+register("g4_scd2_merge", sql(
+    SQL_CONTRACTS, SQL_COMMITMENTS,
+    "contracts_old AS (SELECT * FROM contracts WHERE data_assinatura < TIMESTAMP '1999-01-01')",
+    "commitments_old AS (SELECT * FROM commitments WHERE dataemissao < TIMESTAMP '1999-01-01')",
+    creditor_sql("contracts_old", "commitments_old", "cred_old"),
+    creditor_sql("contracts", "commitments", "cred_new"), body="""
+, hist AS (SELECT *, DATE '2026-01-01' AS data_inicio, CAST(NULL AS DATE) AS data_fim, true AS versao_atual,
+                  row_number() OVER (ORDER BY cpf_cnpj) AS sk_credor FROM cred_old),
+j AS (SELECT h.*, i.cpf_cnpj AS i_cpf, i.nome AS i_nome, i.tipo_pessoa AS i_tp, i.historico_infringement AS i_h
+      FROM hist h FULL OUTER JOIN cred_new i ON h.cpf_cnpj = i.cpf_cnpj),
+newv AS (SELECT i_cpf AS cpf_cnpj, i_nome AS nome, i_tp AS tipo_pessoa, i_h AS historico_infringement
+         FROM j WHERE i_cpf IS NOT NULL AND (cpf_cnpj IS NULL OR nome IS DISTINCT FROM i_nome))
+SELECT cpf_cnpj, nome, tipo_pessoa, historico_infringement, data_inicio, data_fim, versao_atual, sk_credor
+FROM j WHERE i_cpf IS NULL
+UNION ALL
+SELECT cpf_cnpj, nome, tipo_pessoa, i_h, data_inicio, data_fim, true, sk_credor
+FROM j WHERE cpf_cnpj IS NOT NULL AND i_cpf IS NOT NULL AND nome IS NOT DISTINCT FROM i_nome
+UNION ALL
+SELECT cpf_cnpj, nome, tipo_pessoa, historico_infringement, data_inicio, DATE '2026-07-23', false, sk_credor
+FROM j WHERE cpf_cnpj IS NOT NULL AND i_cpf IS NOT NULL AND nome IS DISTINCT FROM i_nome
+UNION ALL
+SELECT cpf_cnpj, nome, tipo_pessoa, historico_infringement, DATE '2026-07-23', CAST(NULL AS DATE), true,
+       (SELECT max(sk_credor) FROM hist) + row_number() OVER (ORDER BY cpf_cnpj)
+FROM newv"""))
+
+_UPD = ["data_assinatura", "cpf_cnpj", "codigo_orgao", "descricao_modalidade", "descricao_tipo",
+        "valor_contratado", "valor_empenhado", "valor_pago", "status", "tipo_objeto",
+        "flag_emergency", "dias_vigencia", "historico_credor_infringement"]
+register("g5_merge_upsert", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body=f"""
+, tgt AS (SELECT * REPLACE ('OLD-' || num_contrato AS num_contrato, CAST(0 AS DECIMAL(18,2)) AS valor_pago),
+                 CAST(0.5 AS DECIMAL(5,4)) AS score_anomalia,
+                 row_number() OVER (ORDER BY id_contrato_origem, ano) AS sk_contrato
+          FROM contract_fact WHERE data_assinatura < DATE '1999-01-01')
+SELECT t.id_contrato_origem, t.ano, t.num_contrato, {", ".join("s." + c for c in _UPD)}, t.score_anomalia, t.sk_contrato
+FROM tgt t JOIN contract_fact s USING (id_contrato_origem, ano)
+UNION ALL
+SELECT t.id_contrato_origem, t.ano, t.num_contrato, {", ".join("t." + c for c in _UPD)}, t.score_anomalia, t.sk_contrato
+FROM tgt t ANTI JOIN contract_fact s USING (id_contrato_origem, ano)
+UNION ALL
+SELECT s.id_contrato_origem, s.ano, s.num_contrato, {", ".join("s." + c for c in _UPD)}, CAST(NULL AS DECIMAL(5,4)),
+       (SELECT max(sk_contrato) FROM tgt) + row_number() OVER (ORDER BY s.id_contrato_origem, s.ano)
+FROM contract_fact s ANTI JOIN tgt t USING (id_contrato_origem, ano)"""))
+
+register("g8_update_by_key", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+, fc AS (SELECT *, row_number() OVER (ORDER BY id_contrato_origem, ano) AS sk_contrato FROM contract_fact),
+b AS (SELECT min(CAST(valor_contratado AS DOUBLE)) AS mn, max(CAST(valor_contratado AS DOUBLE)) AS mx FROM fc WHERE status = 'F'),
+sc AS (SELECT sk_contrato, ano, CAST(CASE WHEN mx = mn THEN 0.0 ELSE (CAST(valor_contratado AS DOUBLE) - mn) / (mx - mn) END AS DECIMAL(5,4)) AS s
+       FROM fc, b WHERE status = 'F')
+SELECT fc.*, sc.s AS score_anomalia FROM fc LEFT JOIN sc USING (sk_contrato, ano)"""))
+
+register("g9_assign_keys", """
+SELECT c_custkey, c_name, c_nationkey, 1000 + row_number() OVER (ORDER BY c_name) AS sk_cliente FROM customer""")

@@ -331,3 +331,88 @@ def o6_overpaid_head(spark, d):
     over = fc.filter(F.col("valor_pago") > F.col("valor_contratado"))
     return top_by(over.select("id_contrato_origem", "valor_contratado", "valor_pago"), 10,
                   F.col("id_contrato_origem"))
+
+
+# --------------------------------------------------------------------------- #
+# Keyed merges (dataflow into Gold)
+# --------------------------------------------------------------------------- #
+from decimal import Decimal  # noqa: E402
+
+from spendlake.operators.dims import calendar_dim  # noqa: E402
+from spendlake.operators.merge import (assign_keys, insert_absent, merge_upsert,  # noqa: E402
+                                       scd2_merge, update_by_key)
+
+PREVIOUS_CUTOFF = "1999-01-01"      # the "previous load" saw data signed/emitted before this day
+PREVIOUS_LOAD = "2026-01-01"
+
+
+@query
+def g1_insert_absent(spark, d):
+    """Calendar of contract days, then the days of commitments/payments inserted if absent."""
+    con = domain.contracts(spark, d)
+    target = assign_keys(calendar_dim((con, "data_assinatura")), "sk_tempo", ["data"])
+    source = calendar_dim((con, "data_assinatura"), (domain.commitments(spark, d), "dataemissao"),
+                          (domain.payments(spark, d), "dataemissao"))
+    return insert_absent(target, source, ["data"], sk="sk_tempo")
+
+
+@query
+def g2_upsert_agency(spark, d):
+    """Agency dim of the previous snapshot upserted with the current one (source wins, nulls too)."""
+    u = domain.units(spark, d)
+    target = assign_keys(agency_dim(u.filter(F.col("ano") < 1998)), "sk_orgao", ["codigo_orgao"])
+    source = agency_dim(u)
+    return merge_upsert(target, source, ["codigo_orgao"],
+                        update_cols=["nome", "cnpj", "tipo_administracao", "esfera"], sk="sk_orgao")
+
+
+def _creditors_before(spark, d, cutoff):
+    con = domain.contracts(spark, d).filter(F.col("data_assinatura") < F.lit(cutoff).cast("timestamp_ntz"))
+    com = domain.commitments(spark, d).filter(F.col("dataemissao") < F.lit(cutoff).cast("timestamp_ntz"))
+    return creditor_dim(con, com)
+
+
+@query
+def g4_scd2_merge(spark, d):
+    """SCD2 creditor dimension: previous load, then today's creditors merged in."""
+    prev = _creditors_before(spark, d, PREVIOUS_CUTOFF).select(
+        "*", F.lit(PREVIOUS_LOAD).cast("date").alias("data_inicio"), F.lit(None).cast("date").alias("data_fim"),
+        F.lit(True).alias("versao_atual"))
+    history = assign_keys(prev, "sk_credor", ["cpf_cnpj"])
+    incoming = creditor_dim(domain.contracts(spark, d), domain.commitments(spark, d))
+    return scd2_merge(history, incoming, "cpf_cnpj", versioned=["nome"], inplace=["historico_infringement"],
+                      as_of=gold.LOAD_DATE, sk="sk_credor")
+
+
+CONTRACT_UPDATE_COLS = ["data_assinatura", "cpf_cnpj", "codigo_orgao", "descricao_modalidade", "descricao_tipo",
+                        "valor_contratado", "valor_empenhado", "valor_pago", "status", "tipo_objeto",
+                        "flag_emergency", "dias_vigencia", "historico_credor_infringement"]
+
+
+@query
+def g5_merge_upsert(spark, d):
+    """Contract fact upsert on (id, year): number and score kept from the target."""
+    src = contract_fact(domain.contracts(spark, d))
+    old = src.filter(F.col("data_assinatura") < F.lit(PREVIOUS_CUTOFF).cast("date")) \
+        .withColumn("num_contrato", F.concat(F.lit("OLD-"), F.col("num_contrato"))) \
+        .withColumn("valor_pago", F.lit(0).cast("decimal(18,2)")) \
+        .withColumn("score_anomalia", F.lit(Decimal("0.5")).cast("decimal(5,4)"))
+    target = assign_keys(old, "sk_contrato", ["id_contrato_origem", "ano"])
+    return merge_upsert(target, src, ["id_contrato_origem", "ano"], update_cols=CONTRACT_UPDATE_COLS,
+                        sk="sk_contrato")
+
+
+@query
+def g8_update_by_key(spark, d):
+    """Write anomaly-style scores back onto the contract fact by (key, year)."""
+    fc = assign_keys(contract_fact(domain.contracts(spark, d)), "sk_contrato", ["id_contrato_origem", "ano"]) \
+        .withColumn("score_anomalia", F.lit(None).cast("decimal(5,4)"))
+    scored = minmax_scale(fc.filter(F.col("status") == "F"), "valor_contratado", "s") \
+        .select("sk_contrato", "ano", F.col("s").cast("decimal(5,4)").alias("score_anomalia"))
+    return update_by_key(fc, scored, ["sk_contrato", "ano"], ["score_anomalia"])
+
+
+@query
+def g9_assign_keys(spark, d):
+    c = domain.read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return assign_keys(c, "sk_cliente", ["c_name"], start=1000)
