@@ -432,3 +432,46 @@ SELECT fc.*, sc.s AS score_anomalia FROM fc LEFT JOIN sc USING (sk_contrato, ano
 
 register("g9_assign_keys", """
 SELECT c_custkey, c_name, c_nationkey, 1000 + row_number() OVER (ORDER BY c_name) AS sk_cliente FROM customer""")
+
+
+def _chk(check: str, table: str, expr: str) -> str:
+    return f"SELECT '{check}' AS \"check\", '{table}' AS table_name, CAST(({expr}) AS BIGINT) AS n_bad, ({expr}) = 0 AS ok"
+
+
+register("q5_quality_report", sql(*GOLD, SQL_CONTRACT_STAR, """
+pay_star AS (SELECT f.*, a.sk_orgao FROM pay_fact f LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao)""",
+    "contracts_old AS (SELECT * FROM contracts WHERE data_assinatura < TIMESTAMP '1999-01-01')",
+    "commitments_old AS (SELECT * FROM commitments WHERE dataemissao < TIMESTAMP '1999-01-01')",
+    creditor_sql("contracts_old", "commitments_old", "cred_old"),
+    creditor_sql("contracts", "commitments", "cred_new"),
+    "hist AS (SELECT *, DATE '2026-01-01' AS data_inicio, CAST(NULL AS DATE) AS data_fim, true AS versao_atual, "
+    "row_number() OVER (ORDER BY cpf_cnpj) AS sk_credor FROM cred_old)",
+    """j AS (SELECT h.*, i.cpf_cnpj AS i_cpf, i.nome AS i_nome, i.tipo_pessoa AS i_tp, i.historico_infringement AS i_h
+      FROM hist h FULL OUTER JOIN cred_new i ON h.cpf_cnpj = i.cpf_cnpj)""",
+    """scd AS (
+  SELECT cpf_cnpj, tipo_pessoa, versao_atual FROM j WHERE cpf_cnpj IS NOT NULL AND (i_cpf IS NULL OR nome IS NOT DISTINCT FROM i_nome)
+  UNION ALL SELECT cpf_cnpj, tipo_pessoa, false FROM j WHERE cpf_cnpj IS NOT NULL AND i_cpf IS NOT NULL AND nome IS DISTINCT FROM i_nome
+  UNION ALL SELECT i_cpf, i_tp, true FROM j WHERE i_cpf IS NOT NULL AND (cpf_cnpj IS NULL OR nome IS DISTINCT FROM i_nome))""",
+    body="\nUNION ALL\n".join([
+        _chk("min_rows>=1", "fato_contrato", "SELECT CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END FROM contract_star"),
+        *[_chk(f"not_null:{c}", "fato_contrato", f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM contract_star")
+          for c in ["id_contrato_origem", "ano", "valor_contratado", "sk_tempo_assinatura", "sk_modalidade"]],
+        _chk("in_set:tipo_pessoa", "dim_credor",
+             "SELECT count(*) FILTER (WHERE tipo_pessoa IS NOT NULL AND tipo_pessoa NOT IN ('PF', 'PJ')) FROM scd"),
+        _chk("unique:id_contrato_origem,ano", "fato_contrato",
+             "SELECT count(*) FROM (SELECT 1 FROM contract_star GROUP BY id_contrato_origem, ano HAVING count(*) > 1)"),
+        _chk("unique:id_contrato_origem", "fato_contrato",
+             "SELECT count(*) FROM (SELECT 1 FROM contract_star GROUP BY id_contrato_origem HAVING count(*) > 1)"),
+        _chk("unique:cpf_cnpj", "dim_credor",
+             "SELECT count(*) FROM (SELECT 1 FROM scd WHERE versao_atual GROUP BY cpf_cnpj HAVING count(*) > 1)"),
+        _chk("unique:descricao_modalidade,descricao_tipo", "dim_modalidade",
+             "SELECT count(*) FROM (SELECT 1 FROM modal GROUP BY descricao_modalidade, descricao_tipo HAVING count(*) > 1)"),
+        _chk("unique:id_empenho_origem,ano", "fato_empenho",
+             "SELECT count(*) FROM (SELECT 1 FROM commit_fact GROUP BY id_empenho_origem, ano HAVING count(*) > 1)"),
+        _chk("fk:sk_credor", "fato_contrato",
+             "SELECT count(*) FROM contract_star WHERE sk_credor IS NOT NULL AND sk_credor NOT IN (SELECT sk_credor FROM creditor_cur)"),
+        _chk("fk:sk_orgao", "fato_ordem_bancaria",
+             "SELECT count(*) FROM pay_star WHERE sk_orgao IS NOT NULL AND sk_orgao NOT IN (SELECT sk_orgao FROM agency)"),
+        _chk("unresolved:sk_orgao", "fato_ordem_bancaria", "SELECT count(*) FILTER (WHERE sk_orgao IS NULL) FROM pay_star"),
+        _chk("unresolved:sk_credor", "fato_contrato", "SELECT count(*) FILTER (WHERE sk_credor IS NULL) FROM contract_star"),
+    ])))

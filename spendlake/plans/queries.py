@@ -416,3 +416,34 @@ def g8_update_by_key(spark, d):
 def g9_assign_keys(spark, d):
     c = domain.read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     return assign_keys(c, "sk_cliente", ["c_name"], start=1000)
+
+
+# --------------------------------------------------------------------------- #
+# Data quality
+# --------------------------------------------------------------------------- #
+from spendlake.operators import quality as Q  # noqa: E402
+
+
+@query
+def q5_quality_report(spark, d):
+    """Constraint checks over the Gold build as (check, table, n_bad, ok) rows."""
+    dims = _dims(spark, d)
+    fc = gold.fato_contrato(spark, d, dims)
+    fo = gold.fato_ordem_bancaria(spark, d, dims)
+    fe = commitment_fact(domain.commitments(spark, d), gold.unit_map(spark, d))
+    scd = g4_scd2_merge(spark, d)
+    return Q.quality_report([
+        Q.check_min_rows(fc, "fato_contrato", 1),
+        Q.check_not_null(fc, "fato_contrato", ["id_contrato_origem", "ano", "valor_contratado",
+                                               "sk_tempo_assinatura", "sk_modalidade"]),
+        Q.check_in_set(scd, "dim_credor", "tipo_pessoa", ["PF", "PJ"]),
+        Q.check_unique(fc, "fato_contrato", ["id_contrato_origem", "ano"]),
+        Q.check_unique(fc, "fato_contrato", ["id_contrato_origem"]),
+        Q.check_unique(scd, "dim_credor", ["cpf_cnpj"], where=F.col("versao_atual")),
+        Q.check_unique(dims["dim_modalidade"], "dim_modalidade", ["descricao_modalidade", "descricao_tipo"]),
+        Q.check_unique(fe, "fato_empenho", ["id_empenho_origem", "ano"]),
+        Q.check_foreign_key(fc, "fato_contrato", "sk_credor", dims["dim_credor"], "sk_credor"),
+        Q.check_foreign_key(fo, "fato_ordem_bancaria", "sk_orgao", dims["dim_orgao"], "sk_orgao"),
+        Q.check_null_keys(fo, "fato_ordem_bancaria", "sk_orgao"),
+        Q.check_null_keys(fc, "fato_contrato", "sk_credor"),
+    ])
