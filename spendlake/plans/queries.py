@@ -447,3 +447,79 @@ def q5_quality_report(spark, d):
         Q.check_null_keys(fo, "fato_ordem_bancaria", "sk_orgao"),
         Q.check_null_keys(fc, "fato_contrato", "sk_credor"),
     ])
+
+
+# --------------------------------------------------------------------------- #
+# Anomaly detection (Isolation Forest)
+# --------------------------------------------------------------------------- #
+from spendlake.operators import anomaly as IF  # noqa: E402
+from spendlake.operators.joins import lookup_join  # noqa: E402
+
+IF_NUMERIC = ["valor_contratado", "dias_vigencia", "historico_credor_infringement"]
+IF_CATEGORICAL = ["descricao_modalidade", "tipo_objeto"]
+IF_BOOLEAN = ["flag_emergency"]
+
+
+def contract_features(fc: DataFrame, modal: DataFrame) -> DataFrame:
+    """Model inputs per contract: fact LEFT JOIN modality (for its description)."""
+    base = fc.select("sk_contrato", "ano", "valor_contratado", "dias_vigencia", "historico_credor_infringement",
+                     "flag_emergency", "tipo_objeto", "sk_modalidade")
+    j = lookup_join(base, modal, [("sk_modalidade", "sk_modalidade")],
+                    {"descricao_modalidade": "descricao_modalidade"})
+    return IF.features(j.drop("sk_modalidade"), IF_NUMERIC, IF_CATEGORICAL, IF_BOOLEAN)
+
+
+def anomaly_run(spark, d, trees: int = 200):
+    dims = _dims(spark, d)
+    fc = gold.fato_contrato(spark, d, dims)
+    feats = contract_features(fc, dims["dim_modalidade"])
+    nodes = IF.fit(feats, "sk_contrato", IF_NUMERIC + IF_BOOLEAN, IF_CATEGORICAL, trees=trees, seed=42)
+    scores = IF.score_normalised(feats, nodes, "sk_contrato", IF_NUMERIC + IF_BOOLEAN, IF_CATEGORICAL)
+    scores = scores.join(feats.select("sk_contrato", "ano"), "sk_contrato") \
+        .select("sk_contrato", "ano", F.col("score_anomalia").cast("decimal(5,4)").alias("score_anomalia"))
+    fc_scored = update_by_key(fc, scores, ["sk_contrato", "ano"], ["score_anomalia"])
+    return dims, fc_scored, feats
+
+
+@query
+def m5_anomaly_scores(spark, d):
+    """Isolation Forest (200 trees, psi 256) scores written back onto the contract fact."""
+    _, fc, _ = anomaly_run(spark, d)
+    return fc.select("sk_contrato", "ano", "id_contrato_origem", "score_anomalia")
+
+
+@query
+def o2_top_anomalies(spark, d):
+    """Top 10 contracts by anomaly score (ties: lower key first)."""
+    _, fc, _ = anomaly_run(spark, d)
+    return top_by(fc.select("sk_contrato", "valor_contratado", "descricao_modalidade", "score_anomalia"),
+                  10, F.desc("score_anomalia"), F.col("sk_contrato"))
+
+
+@query
+def o3_top_anomalies_named(spark, d):
+    """Top 10 scored contracts with modality, creditor and agency names (left star join)."""
+    dims, fc, _ = anomaly_run(spark, d)
+    j = lookup_join(fc.filter(F.col("score_anomalia").isNotNull()), dims["dim_modalidade"],
+                    [("sk_modalidade", "sk_modalidade")], {"descricao_modalidade": "modalidade"})
+    j = lookup_join(j, dims["dim_credor"], [("sk_credor", "sk_credor")], {"nome": "nome_credor"})
+    j = lookup_join(j, dims["dim_orgao"], [("sk_orgao", "sk_orgao")], {"nome": "nome_orgao"})
+    return top_by(j.select("sk_contrato", "num_contrato", "valor_contratado", "score_anomalia",
+                           F.col("modalidade").alias("descricao_modalidade"), "nome_credor", "nome_orgao"),
+                  10, F.desc("score_anomalia"), F.col("sk_contrato"))
+
+
+@query
+def m14_heuristic_scores(spark, d):
+    """Score described inside / outside the heuristic (waiver-like modality AND value >= p95)."""
+    _, fc, feats = anomaly_run(spark, d)
+    p95 = fc.select(F.percentile(F.col("valor_contratado").cast("double"), 0.95)).scalar()
+    flag = (F.col("descricao_modalidade").isin("1-URGENT", "2-HIGH")
+            & (F.col("valor_contratado").cast("double") >= p95))
+    return describe_exact(fc.withColumn("heuristica", flag), ["score_anomalia"], by=["heuristica"])
+
+
+@query
+def a20_score_histogram(spark, d):
+    _, fc, _ = anomaly_run(spark, d)
+    return histogram(fc, "score_anomalia", 30)
