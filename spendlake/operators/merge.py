@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,8 +23,8 @@ def assign_keys(df: DataFrame, sk: str, order: Sequence[str], start: Column | in
     Distributed: the rows are range-partitioned and sorted by ``order`` and written to the
     checkpoint folder (so both passes below see the same partitions even after an executor
     loss), per-partition counts (one row per partition) give each partition its offset,
-    and the offset table — bounded by the partition count — is joined back. No single task
-    ever sees more than its own partition, unlike an unpartitioned ``row_number``.
+    and the offset table — one row per partition — is broadcast back. No single task ever
+    sees more than its own partition, unlike an unpartitioned ``row_number``.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -33,12 +33,17 @@ def assign_keys(df: DataFrame, sk: str, order: Sequence[str], start: Column | in
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"),
-                                         F.min("__mid").alias("__first"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
+    # one row per non-empty partition: bounded by the partition count, so the prefix sums
+    # are taken on the driver and the offset table is broadcast back
+    counts = sorted((r["__pid"], r["__cnt"], r["__first"]) for r in ranged.groupBy("__pid").agg(
+        F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first")).collect())
+    rows, before = [], 0
+    for pid, cnt, first in counts:
+        rows.append((pid, first, before))
+        before += cnt
+    offsets = spark.createDataFrame(rows or [(0, 0, 0)], "__pid int, __first long, __before long")
     start_col = start if isinstance(start, Column) else F.lit(start)
-    out = ranged.join(F.broadcast(offsets.select("__pid", "__first", "__before")), "__pid")
+    out = ranged.join(F.broadcast(offsets), "__pid")
     key = (F.coalesce(start_col.cast("long"), F.lit(0).cast("long")) + F.col("__before")
            + (F.col("__mid") - F.col("__first")) + 1)
     return out.withColumn(sk, key.cast("long")).drop("__pid", "__mid", "__first", "__before")

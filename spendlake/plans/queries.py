@@ -523,3 +523,22 @@ def m14_heuristic_scores(spark, d):
 def a20_score_histogram(spark, d):
     _, fc, _ = anomaly_run(spark, d)
     return histogram(fc, "score_anomalia", 30)
+
+
+# --------------------------------------------------------------------------- #
+# Payment forecast (quantile boosting) and backtest
+# --------------------------------------------------------------------------- #
+from spendlake.operators.forecast import backtest, forecast  # noqa: E402
+
+
+@query
+def m12_forecast(spark, d):
+    """Next-quarter payment forecast per agency: quantile boosting (p10/p50/p90) where the
+    agency has >= 5 quarters, naive persistence elsewhere; clamped interval."""
+    return forecast(m6_forecast_features(spark, d), "codigo_orgao", gold.LOAD_DATE)
+
+
+@query
+def m13_backtest(spark, d):
+    """Hold-out of each agency's last quarter: MAE, MAPE and p10-p90 coverage."""
+    return backtest(m6_forecast_features(spark, d), "codigo_orgao")
