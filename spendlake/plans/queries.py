@@ -542,3 +542,71 @@ def m12_forecast(spark, d):
 def m13_backtest(spark, d):
     """Hold-out of each agency's last quarter: MAE, MAPE and p10-p90 coverage."""
     return backtest(m6_forecast_features(spark, d), "codigo_orgao")
+
+
+# --------------------------------------------------------------------------- #
+# Sources, sinks, incremental stream (round trips through the shared checkpoint folder)
+# --------------------------------------------------------------------------- #
+from spendlake.operators.clean import clean_contracts  # noqa: E402
+from spendlake.session import scratch_path  # noqa: E402
+from spendlake.sources.files import page_checks, read_pages, read_runs  # noqa: E402
+from spendlake.sources.tables import read_partitioned, write_pages, write_partitioned  # noqa: E402
+from spendlake.streaming.incremental import read_bucketed, run_incremental  # noqa: E402
+
+PAGE_SIZE = 500
+
+
+@query
+def s7_page_roundtrip(spark, d):
+    """Raw contracts -> JSON page sink -> page reader (explode ``data``) -> Silver cleaning."""
+    raw = domain.raw_contracts(spark, d)
+    base = scratch_path(spark, "pages")
+    write_pages(raw, base, "r1", ["id"], page_size=PAGE_SIZE)
+    recs = read_pages(spark, base, raw.schema, multiline=False)
+    return clean_contracts(recs.drop("run_id", "page_file", "page"))
+
+
+@query
+def q3_page_checks(spark, d):
+    raw = domain.raw_contracts(spark, d)
+    base = scratch_path(spark, "pages")
+    write_pages(raw, base, "r1", ["id"], page_size=PAGE_SIZE)
+    return page_checks(spark, base)
+
+
+@query
+def k4_partitioned_roundtrip(spark, d):
+    """Silver payments written by year/month of emission (null dates dropped) and read back."""
+    path = scratch_path(spark, "silver_payments")
+    write_partitioned(domain.payments(spark, d), path, "dataemissao")
+    return read_partitioned(spark, path)
+
+
+def _event_runs(spark, d, base):
+    ev = domain.read(spark, d, "events").withColumn("run_id", F.date_format("ts", "yyyy-MM-dd"))
+    (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("run_id").parquet(base))
+    return ev
+
+
+@query
+def s6_run_history(spark, d):
+    """Every Bronze run folder of a table, read back together with its run id."""
+    base = scratch_path(spark, "bronze_events")
+    ev = _event_runs(spark, d, base)
+    schema = ev.drop("run_id").schema.add("run_id", "string")
+    return read_runs(spark, base, schema)
+
+
+@query
+def i1_incremental_stream(spark, d):
+    """Bronze runs consumed by an availableNow stream (10 run files per batch), each batch
+    merged into bucketed Silver keeping the latest event per (user, type)."""
+    base = scratch_path(spark, "bronze_events")
+    ev = _event_runs(spark, d, base)
+    schema = ev.drop("run_id").schema.add("run_id", "string")
+    silver = scratch_path(spark, "silver_events")
+    run_incremental(spark, base, schema, silver, scratch_path(spark, "stream_ckpt"),
+                    keys=["user_id", "event_type"], order="ts", tie=["event_id"],
+                    max_files_per_trigger=10, buckets=16)
+    return read_bucketed(spark, silver)

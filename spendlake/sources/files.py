@@ -44,7 +44,7 @@ def read_runs(spark: SparkSession, base: str, schema: StructType, merge_schema:
         raise
 
 
-def read_pages(spark: SparkSession, base: str, record_schema: StructType) -> DataFrame:
+def read_pages(spark: SparkSession, base: str, record_schema: StructType, multiline: bool = True) -> DataFrame:
     """Rows of the ``data`` array of every JSON page of every run under ``base``.
 
     Adds ``run_id`` (from the folder) and ``page_file`` so callers can order by run then
@@ -58,7 +58,7 @@ def read_pages(spark: SparkSession, base: str, record_schema: StructType) -> Dat
         StructField("data", ArrayType(record_schema)),
     ])
     try:
-        pages = (spark.read.schema(page_schema).option("multiLine", "true")
+        pages = (spark.read.schema(page_schema).option("multiLine", str(multiline).lower())
                  .option("basePath", base).json(f"{base}/run_id=*"))
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
@@ -68,5 +68,21 @@ def read_pages(spark: SparkSession, base: str, record_schema: StructType) -> Dat
         raise
     pages = pages.withColumn("page_file", F.input_file_name())
     return (pages.select(F.explode("data").alias("r"), F.col("run_id").cast("string").alias("run_id"),
-                         "page_file")
-            .select("r.*", "run_id", "page_file"))
+                         "page_file", F.col("sumary.current_page").cast("int").alias("page"))
+            .select("r.*", "run_id", "page_file", "page"))
+
+
+def page_checks(spark: SparkSession, base: str, expected_pages: int | None = None) -> DataFrame:
+    """Per run: pages landed, pages expected (from the pages themselves or the argument) and
+    pages missing ``data`` or ``sumary`` — every page is checked, not only the first."""
+    from pyspark.sql.types import IntegerType, StringType, StructField
+    schema = StructType([StructField("sumary", StructType([StructField("total_pages", IntegerType()),
+                                                           StructField("current_page", StringType())])),
+                         StructField("data", StringType())])
+    pages = spark.read.schema(schema).option("basePath", base).json(f"{base}/run_id=*")
+    exp = F.lit(expected_pages) if expected_pages is not None else F.max("sumary.total_pages")
+    return pages.groupBy(F.col("run_id").cast("string").alias("run_id")).agg(
+        F.count_distinct("sumary.current_page").alias("pages"),
+        exp.alias("expected_pages"),
+        F.count_if(F.col("data").isNull() | F.col("sumary").isNull()).alias("bad_structure"),
+    ).withColumn("ok", (F.col("pages") >= F.col("expected_pages")) & (F.col("bad_structure") == 0))
