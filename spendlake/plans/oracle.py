@@ -489,3 +489,16 @@ SELECT * EXCLUDE (rn) FROM (
   SELECT *, strftime(ts, '%Y-%m-%d') AS run_id,
          row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS FIRST, event_id DESC) AS rn
   FROM events) WHERE rn = 1""")
+
+register("i3_pipeline_silver_gold", sql(*GOLD, SQL_CONTRACT_STAR, body="""
+SELECT 'silver' AS stage, 'contratos' AS table_name, (SELECT count(*) FROM contracts WHERE data_assinatura IS NOT NULL) AS "rows"
+UNION ALL SELECT 'silver', 'empenhos', (SELECT count(*) FROM commitments WHERE dataemissao IS NOT NULL)
+UNION ALL SELECT 'silver', 'ordem_bancaria_orcamentaria', (SELECT count(*) FROM payments WHERE dataemissao IS NOT NULL)
+UNION ALL SELECT 'silver', 'unidade_gestora', (SELECT count(*) FROM units)
+UNION ALL SELECT 'gold', 'dim_tempo', (SELECT count(*) FROM cal)
+UNION ALL SELECT 'gold', 'dim_orgao', (SELECT count(*) FROM agency)
+UNION ALL SELECT 'gold', 'dim_modalidade', (SELECT count(*) FROM modal)
+UNION ALL SELECT 'gold', 'dim_credor', (SELECT count(*) FROM creditor_cur)
+UNION ALL SELECT 'gold', 'fato_contrato', (SELECT count(*) FROM contract_star)
+UNION ALL SELECT 'gold', 'fato_empenho', (SELECT count(*) FROM commit_fact)
+UNION ALL SELECT 'gold', 'fato_ordem_bancaria', (SELECT count(*) FROM pay_fact)"""))

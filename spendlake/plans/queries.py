@@ -610,3 +610,70 @@ def i1_incremental_stream(spark, d):
                     keys=["user_id", "event_type"], order="ts", tie=["event_id"],
                     max_files_per_trigger=10, buckets=16)
     return read_bucketed(spark, silver)
+
+
+# --------------------------------------------------------------------------- #
+# Report and end-to-end run
+# --------------------------------------------------------------------------- #
+from pyspark.sql import Window  # noqa: E402
+
+from spendlake.operators.insights import render_report  # noqa: E402
+
+# Section headings and "nothing to show" lines of the deterministic report.
+REPORT_SECTIONS = [
+    ("Contratos com Padrões Anômalos", "Nenhum contrato pontuado."),
+    ("Credores com Histórico de Infrações", "Nenhum credor com histórico de infração encontrado."),
+    ("Previsão de Pagamentos do Próximo Trimestre", "Sem previsões disponíveis."),
+]
+
+
+def _ranked(df: DataFrame, *order) -> DataFrame:
+    """Rank rows of an already-limited top-k frame (k <= 15 rows, one partition is enough)."""
+    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+
+
+def build_report(spark, d, fc: DataFrame | None = None, forecasts: DataFrame | None = None) -> DataFrame:
+    dims = _dims(spark, d)
+    if fc is None:
+        _, fc, _ = anomaly_run(spark, d)
+    if forecasts is None:
+        forecasts = m7_naive_forecast(spark, d).withColumn(
+            "data_geracao", F.lit(str(gold.LOAD_DATE)).cast("timestamp_ntz"))
+    summary = financial_summary(fc)
+    j = lookup_join(fc.filter(F.col("score_anomalia").isNotNull()), dims["dim_modalidade"],
+                    [("sk_modalidade", "sk_modalidade")], {"descricao_modalidade": "modalidade"})
+    j = lookup_join(j, dims["dim_credor"], [("sk_credor", "sk_credor")], {"nome": "nome_credor"})
+    j = lookup_join(j, dims["dim_orgao"], [("sk_orgao", "sk_orgao")], {"nome": "nome_orgao"})
+    anom = top_by(j.select("sk_contrato", "num_contrato", "valor_contratado", "score_anomalia",
+                           F.col("modalidade").alias("descricao_modalidade"), "nome_credor", "nome_orgao"),
+                  10, F.desc("score_anomalia"), F.col("sk_contrato"))
+    infr = infraction_creditors(dims["dim_credor"], fc, 10)
+    latest = forecasts.filter(F.col("data_geracao") == forecasts.select(F.max("data_geracao")).scalar())
+    org = dims["dim_orgao"].select("sk_orgao", F.col("nome").alias("nome_orgao"))
+    fcs = top_by(latest.join(org, "sk_orgao").select(
+        "trimestre_referencia", "nome_orgao", "valor_previsto", "intervalo_inferior", "intervalo_superior",
+        "modelo", "sk_orgao"), 15, F.desc("valor_previsto"), F.col("sk_orgao"))
+    sections = [
+        (REPORT_SECTIONS[0][0], _ranked(anom, F.desc("score_anomalia"), "sk_contrato"),
+         ["sk_contrato", "num_contrato", "valor_contratado", "score_anomalia", "descricao_modalidade",
+          "nome_credor", "nome_orgao"], REPORT_SECTIONS[0][1]),
+        (REPORT_SECTIONS[1][0], _ranked(infr, F.desc("valor_total"), "cpf_cnpj"),
+         ["nome", "cpf_cnpj", "historico_infringement", "qtd_contratos", "valor_total"], REPORT_SECTIONS[1][1]),
+        (REPORT_SECTIONS[2][0], _ranked(fcs, F.desc("valor_previsto"), "sk_orgao"),
+         ["trimestre_referencia", "nome_orgao", "valor_previsto", "intervalo_inferior", "intervalo_superior",
+          "modelo"], REPORT_SECTIONS[2][1]),
+    ]
+    return render_report(summary, sections)
+
+
+@query
+def r2_report(spark, d):
+    """Deterministic Markdown report over scored contracts, creditors and forecasts (one row)."""
+    return build_report(spark, d)
+
+
+@query
+def i3_pipeline_silver_gold(spark, d):
+    """Silver and Gold stages written as tables; the run log (rows per table) is the result."""
+    from spendlake.plans.pipeline import run_pipeline
+    return run_pipeline(spark, d, scratch_path(spark, "pipeline"), stages=("silver", "gold"))

@@ -43,10 +43,35 @@ def build_session(master: str | None = None, app: str = "spendlake",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    prepare(spark)
+    return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder plus the package shipped to the Python workers (once per context)."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``spendlake`` importable in Python workers (pandas UDFs pickle module references).
+
+    The package is zipped on the driver and added with ``addPyFile``, which distributes it
+    to every executor; done once per SparkContext.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_spendlake_shipped", False):
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="spendlake-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "spendlake"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="spendlake")
+    sc.addPyFile(archive)
+    sc._spendlake_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
