@@ -27,8 +27,14 @@ def to_api_date(iso: str) -> str:
 
 
 def file_fetcher(options: dict, page: int) -> dict:
+    """Reads ``<path>/page_%05d.json``; with a ``fetch_log`` option each fetched page number
+    is appended to that file (an audit trail of requests)."""
     with open(os.path.join(options["path"], f"page_{page:05d}.json"), encoding="utf-8") as fh:
-        return json.load(fh)
+        payload = json.load(fh)
+    if options.get("fetch_log"):
+        with open(options["fetch_log"], "a", encoding="utf-8") as log:
+            log.write(f"{page}\n")
+    return payload
 
 
 def _resolve(options: dict):
