@@ -29,20 +29,23 @@ def clean_events(df: DataFrame, keys: Sequence[str] = ("id", "ano"),
                  tie: Sequence[str] = ("dataemissao", "valor", "codigoug")) -> DataFrame:
     """Commitments and payments: dates, creditor document, value (junk -> 0), latest per key."""
     out = parse_dates(df, EVENT_DATES)
-    out = out.withColumn("codigocredor", only_digits("codigocredor"))
+    if "codigocredor" in out.columns:
+        out = out.withColumn("codigocredor", only_digits("codigocredor"))
     out = out.withColumn("valor", parse_num("valor"))
     return dedupe_latest(out, list(keys), "updated_at", tie=[t for t in tie if t in out.columns])
 
 
 def clean_units(df: DataFrame) -> DataFrame:
     out = parse_dates(df, ["created_at", "updated_at"])
-    out = out.withColumn("cnpj", only_digits("cnpj"))
+    if "cnpj" in out.columns:
+        out = out.withColumn("cnpj", only_digits("cnpj"))
     return dedupe_latest(out, ["codigo", "ano"], "updated_at", tie=["codigoorgao", "titulo"])
 
 
 def clean_contracts(df: DataFrame) -> DataFrame:
     out = parse_dates(df, CONTRACT_DATES)
-    out = out.withColumn("cpf_cnpj_financiador", only_digits("cpf_cnpj_financiador"))
+    if "cpf_cnpj_financiador" in out.columns:
+        out = out.withColumn("cpf_cnpj_financiador", only_digits("cpf_cnpj_financiador"))
     for c in ("valor_contrato", "calculated_valor_pago", "calculated_valor_empenhado"):
         if c in out.columns:
             out = out.withColumn(c, parse_num(c))

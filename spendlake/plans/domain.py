@@ -80,10 +80,26 @@ def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver contracts: parsed dates, digits-only documents, tolerant numbers, latest per id."""
+def _project(raw: DataFrame, cols, always) -> DataFrame:
+    """Keep only the needed columns before the latest-version dedupe: the dedupe packs the
+    row into one aggregate value, which the optimizer cannot prune afterwards."""
+    if cols is None:
+        return raw
+    keep = [c for c in raw.columns if c in set(cols) | set(always)]
+    return raw.select(*keep)
+
+
+CONTRACT_DEDUPE = ("id", "updated_at", "data_assinatura", "valor_contrato")
+EVENT_DEDUPE = ("id", "ano", "updated_at", "dataemissao", "valor", "codigoug")
+UNIT_DEDUPE = ("codigo", "ano", "updated_at", "codigoorgao", "titulo")
+
+
+def contracts(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
+    """Silver contracts: parsed dates, digits-only documents, tolerant numbers, latest per id.
+
+    ``cols`` restricts the output to what the caller needs (plus the dedupe columns)."""
     from spendlake.operators.clean import clean_contracts
-    return clean_contracts(raw_contracts(spark, sf_dir))
+    return clean_contracts(_project(raw_contracts(spark, sf_dir), cols, CONTRACT_DEDUPE))
 
 
 def _line_events(li: DataFrame, prefix: str) -> DataFrame:
@@ -114,14 +130,14 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_events(li, "OB").withColumnRenamed("modalidade", "tipoob").drop("codcontrato")
 
 
-def commitments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commitments(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     from spendlake.operators.clean import clean_events
-    return clean_events(raw_commitments(spark, sf_dir))
+    return clean_events(_project(raw_commitments(spark, sf_dir), cols, EVENT_DEDUPE))
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     from spendlake.operators.clean import clean_events
-    return clean_events(raw_payments(spark, sf_dir))
+    return clean_events(_project(raw_payments(spark, sf_dir), cols, EVENT_DEDUPE))
 
 
 def raw_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,9 +162,9 @@ def raw_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
+def units(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     from spendlake.operators.clean import clean_units
-    return clean_units(raw_units(spark, sf_dir))
+    return clean_units(_project(raw_units(spark, sf_dir), cols, UNIT_DEDUPE))
 
 
 # --------------------------------------------------------------------------- #

@@ -15,19 +15,22 @@ from spendlake.operators.joins import lookup_join
 from spendlake.operators.merge import assign_keys
 from spendlake.plans import domain
 
+CREDITOR_CONTRACT_COLS = ["cpf_cnpj_financiador", "descricao_nome_credor", "infringement_status"]
+CREDITOR_EVENT_COLS = ["codigocredor", "nomecredor"]
+
 # Fixed load date for the driver queries (SCD2 versions open on it).
 LOAD_DATE = _dt.date(2026, 7, 23)
 
 
 def unit_map(spark: SparkSession, d: str) -> DataFrame:
-    return latest_mapping(domain.units(spark, d), "codigo", "codigoorgao", "ano",
+    return latest_mapping(domain.units(spark, d, cols=["codigo", "ano", "codigoorgao"]), "codigo", "codigoorgao", "ano",
                           key_alias="codigo_ug", value_alias="codigo_orgao")
 
 
 def dim_tempo(spark: SparkSession, d: str) -> DataFrame:
-    cal = calendar_dim((domain.contracts(spark, d), "data_assinatura"),
-                       (domain.commitments(spark, d), "dataemissao"),
-                       (domain.payments(spark, d), "dataemissao"))
+    cal = calendar_dim((domain.contracts(spark, d, cols=["data_assinatura"]), "data_assinatura"),
+                       (domain.commitments(spark, d, cols=["dataemissao"]), "dataemissao"),
+                       (domain.payments(spark, d, cols=["dataemissao"]), "dataemissao"))
     return assign_keys(cal, "sk_tempo", ["data"])
 
 
@@ -36,13 +39,15 @@ def dim_orgao(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_modalidade(spark: SparkSession, d: str) -> DataFrame:
-    return assign_keys(modality_dim(domain.contracts(spark, d)), "sk_modalidade",
+    con = domain.contracts(spark, d, cols=["descricao_modalidade", "descricao_tipo"])
+    return assign_keys(modality_dim(con), "sk_modalidade",
                        ["descricao_modalidade", "descricao_tipo"])
 
 
 def dim_credor(spark: SparkSession, d: str, as_of=LOAD_DATE) -> DataFrame:
     """First load of the creditor dimension: every creditor opens a current version."""
-    base = creditor_dim(domain.contracts(spark, d), domain.commitments(spark, d))
+    base = creditor_dim(domain.contracts(spark, d, cols=CREDITOR_CONTRACT_COLS),
+                        domain.commitments(spark, d, cols=CREDITOR_EVENT_COLS))
     base = base.select("*", F.lit(str(as_of)).cast("date").alias("data_inicio"),
                        F.lit(None).cast("date").alias("data_fim"), F.lit(True).alias("versao_atual"))
     return assign_keys(base, "sk_credor", ["cpf_cnpj"])

@@ -502,3 +502,8 @@ UNION ALL SELECT 'gold', 'dim_credor', (SELECT count(*) FROM creditor_cur)
 UNION ALL SELECT 'gold', 'fato_contrato', (SELECT count(*) FROM contract_star)
 UNION ALL SELECT 'gold', 'fato_empenho', (SELECT count(*) FROM commit_fact)
 UNION ALL SELECT 'gold', 'fato_ordem_bancaria', (SELECT count(*) FROM pay_fact)"""))
+
+register("s2_extract_snapshot", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+register("x16_json_text", """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+WHERE CAST(json_extract(props, '$.k') AS BIGINT) >= 50""")

@@ -148,7 +148,8 @@ def a2_agency_dim(spark, d):
 
 @query
 def a3_creditor_dim(spark, d):
-    return creditor_dim(domain.contracts(spark, d), domain.commitments(spark, d))
+    return creditor_dim(domain.contracts(spark, d, cols=gold.CREDITOR_CONTRACT_COLS),
+                        domain.commitments(spark, d, cols=gold.CREDITOR_EVENT_COLS))
 
 
 @query
@@ -349,10 +350,11 @@ PREVIOUS_LOAD = "2026-01-01"
 @query
 def g1_insert_absent(spark, d):
     """Calendar of contract days, then the days of commitments/payments inserted if absent."""
-    con = domain.contracts(spark, d)
+    con = domain.contracts(spark, d, cols=["data_assinatura"])
     target = assign_keys(calendar_dim((con, "data_assinatura")), "sk_tempo", ["data"])
-    source = calendar_dim((con, "data_assinatura"), (domain.commitments(spark, d), "dataemissao"),
-                          (domain.payments(spark, d), "dataemissao"))
+    source = calendar_dim((con, "data_assinatura"),
+                          (domain.commitments(spark, d, cols=["dataemissao"]), "dataemissao"),
+                          (domain.payments(spark, d, cols=["dataemissao"]), "dataemissao"))
     return insert_absent(target, source, ["data"], sk="sk_tempo")
 
 
@@ -367,8 +369,10 @@ def g2_upsert_agency(spark, d):
 
 
 def _creditors_before(spark, d, cutoff):
-    con = domain.contracts(spark, d).filter(F.col("data_assinatura") < F.lit(cutoff).cast("timestamp_ntz"))
-    com = domain.commitments(spark, d).filter(F.col("dataemissao") < F.lit(cutoff).cast("timestamp_ntz"))
+    con = domain.contracts(spark, d, cols=gold.CREDITOR_CONTRACT_COLS).filter(
+        F.col("data_assinatura") < F.lit(cutoff).cast("timestamp_ntz"))
+    com = domain.commitments(spark, d, cols=gold.CREDITOR_EVENT_COLS).filter(
+        F.col("dataemissao") < F.lit(cutoff).cast("timestamp_ntz"))
     return creditor_dim(con, com)
 
 
@@ -379,7 +383,8 @@ def g4_scd2_merge(spark, d):
         "*", F.lit(PREVIOUS_LOAD).cast("date").alias("data_inicio"), F.lit(None).cast("date").alias("data_fim"),
         F.lit(True).alias("versao_atual"))
     history = assign_keys(prev, "sk_credor", ["cpf_cnpj"])
-    incoming = creditor_dim(domain.contracts(spark, d), domain.commitments(spark, d))
+    incoming = creditor_dim(domain.contracts(spark, d, cols=gold.CREDITOR_CONTRACT_COLS),
+                            domain.commitments(spark, d, cols=gold.CREDITOR_EVENT_COLS))
     return scd2_merge(history, incoming, "cpf_cnpj", versioned=["nome"], inplace=["historico_infringement"],
                       as_of=gold.LOAD_DATE, sk="sk_credor")
 
@@ -677,3 +682,19 @@ def i3_pipeline_silver_gold(spark, d):
     """Silver and Gold stages written as tables; the run log (rows per table) is the result."""
     from spendlake.plans.pipeline import run_pipeline
     return run_pipeline(spark, d, scratch_path(spark, "pipeline"), stages=("silver", "gold"))
+
+
+@query
+def s2_extract_snapshot(spark, d):
+    """Full snapshot read of a reference table with an explicit schema."""
+    from spendlake.sources.files import extract_snapshot
+    return extract_snapshot(spark, f"{d}/supplier.parquet",
+                            schema="s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+
+
+@query
+def x16_json_text(spark, d):
+    """JSON held as text parsed into columns (``from_json``) and filtered on the parsed value."""
+    ev = domain.read(spark, d, "events")
+    parsed = ev.select("event_id", "event_type", F.from_json("props", "k long").alias("p"))
+    return parsed.select("event_id", "event_type", F.col("p.k").alias("k")).filter(F.col("k") >= 50)

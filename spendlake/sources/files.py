@@ -23,7 +23,7 @@ def extract_incremental(df: DataFrame, date_col: str, start, end) -> DataFrame:
     return df.filter(c.between(lo, hi))
 
 
-def extract_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def extract_snapshot(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
