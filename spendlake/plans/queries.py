@@ -23,8 +23,16 @@ def query(fn):
 
 
 def quarterly_history(spark: SparkSession, d: str, org: DataFrame | None = None) -> DataFrame:
-    """Payments per agency and quarter with the agency's key and name (inner star join)."""
-    pay = payment_fact(domain.payments(spark, d), gold.unit_map(spark, d))
+    """Payments per agency and quarter with the agency's key and name (inner star join).
+
+    Only the columns the series needs are carried through the latest-version dedupe."""
+    from spendlake.operators.joins import lookup_join
+    from spendlake.functions import to_money
+    pay = domain.payments(spark, d, cols=["codigoug", "dataemissao", "valor"])
+    pay = lookup_join(pay, gold.unit_map(spark, d), on=[("codigoug", "codigo_ug")],
+                      take={"codigo_orgao": "codigo_orgao"})
+    pay = pay.select("codigo_orgao", F.col("dataemissao").cast("date").alias("data_emissao"),
+                     to_money("valor").alias("valor")).filter(F.col("data_emissao").isNotNull())
     hist = quarterly_totals(pay, "codigo_orgao", "data_emissao")
     org = org if org is not None else gold.dim_orgao(spark, d)
     org = org.select("codigo_orgao", "sk_orgao", F.col("nome").alias("nome_orgao"))
@@ -32,7 +40,13 @@ def quarterly_history(spark: SparkSession, d: str, org: DataFrame | None = None)
 
 
 def contracted_running(spark: SparkSession, d: str) -> DataFrame:
-    con = contract_fact(domain.contracts(spark, d))
+    """Contracted value per agency and quarter (signing year) with its running total."""
+    from spendlake.functions import to_money
+    con = domain.contracts(spark, d, cols=["cod_orgao", "data_assinatura", "valor_contrato"])
+    con = con.select(F.col("cod_orgao").alias("codigo_orgao"),
+                     F.col("data_assinatura").cast("date").alias("data_assinatura"),
+                     F.year("data_assinatura").alias("ano"),
+                     to_money("valor_contrato").alias("valor_contratado")).filter(F.col("ano").isNotNull())
     cq = quarterly_totals(con, "codigo_orgao", "data_assinatura", "valor_contratado",
                           "valor_contratado_trimestre", year_col="ano")
     return running_total(cq, "codigo_orgao", ["ano", "trimestre"], "valor_contratado_trimestre",
