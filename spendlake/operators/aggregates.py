@@ -18,21 +18,36 @@ def describe_exact(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                    digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, exact (interpolated) quartiles, max per column.
 
-    Long format: one row per (group..., column). Quartiles use ``percentile`` (linear
-    interpolation), not the approximate ``summary()``.
+    Long format: one row per (group..., column). Quartiles come from ``exact_percentiles``
+    (distributed, never one group in one task), not the approximate ``summary()``.
     """
+    from spendlake.operators.quantiles import exact_percentiles
+    keys = list(by) if by else ["__g"]
+    base = df if by else df.withColumn("__g", F.lit(0))
     out = None
     for c in cols:
         x = F.col(c).cast("double")
-        aggs = [F.count(x).alias("count"), F.round(F.avg(x), digits).alias("mean"),
-                F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min")]
-        aggs += [F.round(F.percentile(x, q), digits).alias(f"p{int(q * 100)}") for q in QUARTILES]
-        aggs += [F.max(x).alias("max")]
-        part = (df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)).withColumn("column", F.lit(c))
+        moments = base.groupBy(*keys).agg(
+            F.count(x).alias("count"), F.round(F.avg(x), digits).alias("mean"),
+            F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+        qs = exact_percentiles(base, c, QUARTILES, by=keys)
+        qs = qs.select(*keys, *[F.round(F.col(f"q{i}"), digits).alias(f"p{int(q * 100)}")
+                                for i, q in enumerate(QUARTILES)])
+        part = moments.join(qs if by else F.broadcast(qs), keys, "left").withColumn("column", F.lit(c))
+        part = part.select(*keys, "count", "mean", "std", "min", *[f"p{int(q * 100)}" for q in QUARTILES],
+                           "max", "column")
+        if not by:
+            part = part.drop("__g")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def percentile_scalar(df: DataFrame, col: str, p: float):
+    """Exact percentile of a whole column as a scalar subquery Column."""
+    from spendlake.operators.quantiles import exact_percentiles
+    return exact_percentiles(df, col, [p]).select("q0").scalar()
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col(col))
 

@@ -222,7 +222,7 @@ def j6_payment_star(spark, d):
 # Aggregations, windows, top-k
 # --------------------------------------------------------------------------- #
 from spendlake.operators.aggregates import (describe_exact, forecast_errors, histogram,  # noqa: E402
-                                            minmax_scale, period_sum, value_counts)
+                                            minmax_scale, percentile_scalar, period_sum, value_counts)
 from spendlake.operators.forecast_naive import clamp_interval, naive_forecast, next_quarter_rows  # noqa: E402
 from spendlake.operators.insights import financial_summary, infraction_creditors, top_by  # noqa: E402
 from spendlake.operators.timeseries import holdout_last  # noqa: E402
@@ -254,7 +254,7 @@ def a8_infraction_creditors(spark, d):
 def a11_heuristic_p95(spark, d):
     """Waiver-like modality AND value >= exact p95: value described per heuristic group."""
     fc = contract_fact(domain.contracts(spark, d))
-    p95 = fc.select(F.percentile(F.col("valor_contratado").cast("double"), 0.95)).scalar()
+    p95 = percentile_scalar(fc, "valor_contratado", 0.95)
     flag = (F.col("descricao_modalidade").isin("1-URGENT", "2-HIGH")
             & (F.col("valor_contratado").cast("double") >= p95))
     return describe_exact(fc.withColumn("heuristica", flag), ["valor_contratado", "dias_vigencia"],
@@ -532,7 +532,7 @@ def o3_top_anomalies_named(spark, d):
 def m14_heuristic_scores(spark, d):
     """Score described inside / outside the heuristic (waiver-like modality AND value >= p95)."""
     _, fc, feats = anomaly_run(spark, d)
-    p95 = fc.select(F.percentile(F.col("valor_contratado").cast("double"), 0.95)).scalar()
+    p95 = percentile_scalar(fc, "valor_contratado", 0.95)
     flag = (F.col("descricao_modalidade").isin("1-URGENT", "2-HIGH")
             & (F.col("valor_contratado").cast("double") >= p95))
     return describe_exact(fc.withColumn("heuristica", flag), ["score_anomalia"], by=["heuristica"])
