@@ -42,8 +42,19 @@ def calendar_dim(*cols: tuple[DataFrame, str]) -> DataFrame:
 
 def mode_by_group(df: DataFrame, key: str, attrs: dict[str, str]) -> DataFrame:
     """Most frequent non-null value per group for each ``attr -> alias``; ties give the
-    smallest value, an all-null group gives null (built-in deterministic ``mode``)."""
-    return df.groupBy(key).agg(*[F.mode(F.col(a), True).alias(alias) for a, alias in attrs.items()])
+    smallest value, an all-null group gives null.
+
+    Two aggregations, both combined map-side: occurrences per (group, value), then per group
+    the value with the largest count (``min_by`` over ``(-count, value)``). No reducer ever
+    holds a group's distinct values, however large the group.
+    """
+    out = df.select(key).distinct()
+    for a, alias in attrs.items():
+        counts = df.select(key, F.col(a).alias("__v")).groupBy(key, "__v").agg(F.count("__v").alias("__c"))
+        best = counts.groupBy(key).agg(
+            F.min_by("__v", F.struct((-F.col("__c")).alias("c"), F.col("__v").alias("v"))).alias(alias))
+        out = out.join(best, key, "left")
+    return out
 
 
 def agency_dim(units: DataFrame, code: str = "codigo", parent: str = "codigoorgao",
