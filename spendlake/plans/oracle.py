@@ -507,3 +507,21 @@ register("s2_extract_snapshot", "SELECT s_suppkey, s_name, s_nationkey, s_acctba
 register("x16_json_text", """
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
 WHERE CAST(json_extract(props, '$.k') AS BIGINT) >= 50""")
+
+register("s3_extraction_runs", """
+SELECT 'run1' AS run_id, 'orders' AS table_name, 'incremental' AS kind,
+       (SELECT count(*) FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1997-12-31') AS "rows",
+       '1995-01-01' AS start, '1997-12-31' AS "end", true AS ok, '1997-12-31' AS mark_after
+UNION ALL SELECT 'run1', 'lineitem', 'incremental',
+       (SELECT count(*) FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1997-12-31'),
+       '1995-01-01', '1997-12-31', true, '1997-12-31'
+UNION ALL SELECT 'run1', 'supplier', 'snapshot', (SELECT count(*) FROM supplier), '1995-01-01', '1997-12-31', true, '1997-12-31'
+UNION ALL SELECT 'run1', 'nation', 'snapshot', (SELECT count(*) FROM nation), '1995-01-01', '1997-12-31', true, '1997-12-31'
+UNION ALL SELECT 'run2', 'orders', 'incremental',
+       (SELECT count(*) FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1997-12-31' AND TIMESTAMP '2001-12-31'),
+       '1997-12-31', '2001-12-31', true, '2001-12-31'
+UNION ALL SELECT 'run2', 'lineitem', 'incremental',
+       (SELECT count(*) FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1997-12-31' AND TIMESTAMP '2001-12-31'),
+       '1997-12-31', '2001-12-31', true, '2001-12-31'
+UNION ALL SELECT 'run2', 'supplier', 'snapshot', (SELECT count(*) FROM supplier), '1997-12-31', '2001-12-31', true, '2001-12-31'
+UNION ALL SELECT 'run2', 'nation', 'snapshot', (SELECT count(*) FROM nation), '1997-12-31', '2001-12-31', true, '2001-12-31'""")

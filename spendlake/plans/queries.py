@@ -712,3 +712,21 @@ def x16_json_text(spark, d):
     ev = domain.read(spark, d, "events")
     parsed = ev.select("event_id", "event_type", F.from_json("props", "k long").alias("p"))
     return parsed.select("event_id", "event_type", F.col("p.k").alias("k")).filter(F.col("k") >= 50)
+
+
+@query
+def s3_extraction_runs(spark, d):
+    """Two incremental runs (orders by order date, line items by ship date) plus snapshots,
+    landed as Bronze run folders; the mark advances after each validated run, so the second
+    window starts where the first ended (boundary-day rows are read by both)."""
+    from spendlake.sources.extract import TableSpec, incremental_run
+    specs = [
+        TableSpec("orders", lambda: domain.read(spark, d, "orders"), "o_orderdate", ["o_orderkey", "o_orderdate"]),
+        TableSpec("lineitem", lambda: domain.read(spark, d, "lineitem"), "l_shipdate", ["l_orderkey", "l_linenumber"]),
+        TableSpec("supplier", lambda: domain.read(spark, d, "supplier"), None, ["s_suppkey"], 1),
+        TableSpec("nation", lambda: domain.read(spark, d, "nation"), None, ["n_nationkey"], 1),
+    ]
+    base = scratch_path(spark, "extraction")
+    r1 = incremental_run(spark, specs, "1997-12-31", "run1", f"{base}/bronze", f"{base}/mark", "1995-01-01")
+    r2 = incremental_run(spark, specs, "2001-12-31", "run2", f"{base}/bronze", f"{base}/mark", "1995-01-01")
+    return r1.unionByName(r2)

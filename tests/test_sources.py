@@ -104,3 +104,18 @@ def test_incremental_second_run_reads_only_new_runs(spark, tmpdir_path):
     assert sum(sizes) == 1
     got = {r["k"]: r["v"] for r in read_bucketed(spark, silver).collect()}
     assert got == {1: "x2", 2: "y"}
+
+
+def test_mark_advances_only_after_validation(spark, tmpdir_path):
+    from spendlake.sources.extract import HighWaterMark, TableSpec, incremental_run
+    df = spark.createDataFrame([(1, dt.datetime(2026, 1, 5)), (2, dt.datetime(2026, 2, 5))], "id int, d timestamp_ntz")
+    good = [TableSpec("t", lambda: df, "d", ["id"])]
+    bad = [TableSpec("t", lambda: df, "d", ["id"], min_rows=100)]
+    mark = os.path.join(tmpdir_path, "mark")
+    r = incremental_run(spark, bad, "2026-01-31", "r1", tmpdir_path + "/b", mark, "2026-01-01").first()
+    assert not r["ok"] and r["mark_after"] == "2026-01-01"
+    r = incremental_run(spark, good, "2026-01-31", "r2", tmpdir_path + "/b", mark, "2026-01-01").first()
+    assert r["ok"] and r["rows"] == 1 and r["mark_after"] == "2026-01-31"
+    r = incremental_run(spark, good, "2026-02-28", "r3", tmpdir_path + "/b", mark, "2026-01-01").first()
+    assert r["start"] == "2026-01-31" and r["rows"] == 1
+    assert HighWaterMark(spark, mark, "extraction").get("x") == "2026-02-28"
