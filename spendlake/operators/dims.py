@@ -44,17 +44,29 @@ def mode_by_group(df: DataFrame, key: str, attrs: dict[str, str]) -> DataFrame:
     """Most frequent non-null value per group for each ``attr -> alias``; ties give the
     smallest value, an all-null group gives null.
 
-    Two aggregations, both combined map-side: occurrences per (group, value), then per group
-    the value with the largest count (``min_by`` over ``(-count, value)``). No reducer ever
-    holds a group's distinct values, however large the group.
+    Two aggregations, both combined map-side: occurrences per (group, attribute, value),
+    then per (group, attribute) the value with the largest count (``min_by`` over
+    ``(-count, value)``); a final pivot puts attributes back in columns. No reducer ever
+    holds a group's distinct values, however large the group. Attributes of one type are
+    stacked so all modes share the same two aggregations.
     """
-    out = df.select(key).distinct()
-    for a, alias in attrs.items():
-        counts = df.select(key, F.col(a).alias("__v")).groupBy(key, "__v").agg(F.count("__v").alias("__c"))
-        best = counts.groupBy(key).agg(
-            F.min_by("__v", F.struct((-F.col("__c")).alias("c"), F.col("__v").alias("v"))).alias(alias))
-        out = out.join(best, key, "left")
-    return out
+    names = list(attrs)
+    types = {df.schema[a].dataType.simpleString() for a in names}
+    if len(types) > 1:
+        # mixed types: one stack per type keeps each value's own ordering
+        out = df.select(key).distinct()
+        for t in sorted(types):
+            sub = {a: al for a, al in attrs.items() if df.schema[a].dataType.simpleString() == t}
+            out = out.join(mode_by_group(df, key, sub), key, "left")
+        return out.select(key, *attrs.values())
+    stacked = df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("a"), F.col(a).alias("v")) for i, a in enumerate(names)])).alias("__s")) \
+        .select(key, "__s.a", "__s.v")
+    counts = stacked.groupBy(key, "a", "v").agg(F.count("v").alias("c"))
+    best = counts.groupBy(key, "a").agg(
+        F.min_by("v", F.struct((-F.col("c")).alias("c"), F.col("v").alias("v"))).alias("m"))
+    return best.groupBy(key).agg(*[F.max(F.when(F.col("a") == i, F.col("m"))).alias(attrs[a])
+                                   for i, a in enumerate(names)])
 
 
 def agency_dim(units: DataFrame, code: str = "codigo", parent: str = "codigoorgao",

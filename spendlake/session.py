@@ -28,6 +28,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # checkpoint files of DataFrames that are no longer referenced are removed by Spark
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
