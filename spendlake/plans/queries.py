@@ -6,13 +6,34 @@ matching DuckDB SQL lives in ``spendlake.plans.oracle`` under the same name.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendlake.operators.facts import contract_fact, payment_fact
-from spendlake.operators.timeseries import forecast_features, quarterly_totals, running_total
+from spendlake.functions import api_date, only_digits, parse_num, parse_ts, to_money
+from spendlake.operators import anomaly as IF
+from spendlake.operators import quality as Q
+from spendlake.operators.aggregates import (describe_exact, forecast_errors, histogram, minmax_scale,
+                                            percentile_scalar, period_sum, value_counts)
+from spendlake.operators.clean import clean_contracts, enrich_with_units
+from spendlake.operators.dims import agency_dim, calendar_dim, creditor_dim, mode_by_group
+from spendlake.operators.facts import (commitment_fact, contract_fact, link_commitments_to_contracts,
+                                       payment_fact)
+from spendlake.operators.forecast import backtest, forecast
+from spendlake.operators.forecast_naive import clamp_interval, naive_forecast, next_quarter_rows
+from spendlake.operators.insights import (financial_summary, infraction_creditors, render_report,
+                                          top_by)
+from spendlake.operators.joins import lookup_join
+from spendlake.operators.merge import (assign_keys, insert_absent, merge_upsert, scd2_merge,
+                                       update_by_key)
+from spendlake.operators.timeseries import (forecast_features, holdout_last, quarterly_totals,
+                                            running_total)
 from spendlake.plans import domain, gold
+from spendlake.session import scratch_path
+from spendlake.sources.files import extract_incremental, page_checks, read_pages, read_runs
+from spendlake.sources.tables import read_partitioned, write_pages, write_partitioned
+from spendlake.streaming.incremental import read_bucketed, run_incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,8 +47,6 @@ def quarterly_history(spark: SparkSession, d: str, org: DataFrame | None = None)
     """Payments per agency and quarter with the agency's key and name (inner star join).
 
     Only the columns the series needs are carried through the latest-version dedupe."""
-    from spendlake.operators.joins import lookup_join
-    from spendlake.functions import to_money
     pay = domain.payments(spark, d, cols=["codigoug", "dataemissao", "valor"])
     pay = lookup_join(pay, gold.unit_map(spark, d), on=[("codigoug", "codigo_ug")],
                       take={"codigo_orgao": "codigo_orgao"})
@@ -41,7 +60,6 @@ def quarterly_history(spark: SparkSession, d: str, org: DataFrame | None = None)
 
 def contracted_running(spark: SparkSession, d: str) -> DataFrame:
     """Contracted value per agency and quarter (signing year) with its running total."""
-    from spendlake.functions import to_money
     con = domain.contracts(spark, d, cols=["cod_orgao", "data_assinatura", "valor_contrato"])
     con = con.select(F.col("cod_orgao").alias("codigo_orgao"),
                      F.col("data_assinatura").cast("date").alias("data_assinatura"),
@@ -62,8 +80,6 @@ def m6_forecast_features(spark: SparkSession, d: str) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # Scans and scalar functions
 # --------------------------------------------------------------------------- #
-from spendlake.functions import api_date, only_digits, parse_num, parse_ts  # noqa: E402
-from spendlake.sources.files import extract_incremental  # noqa: E402
 
 
 @query
@@ -111,9 +127,6 @@ def x3_parse_num(spark, d):
 # --------------------------------------------------------------------------- #
 # Silver entities, dimensions, facts
 # --------------------------------------------------------------------------- #
-from spendlake.operators.clean import enrich_with_units  # noqa: E402
-from spendlake.operators.dims import agency_dim, creditor_dim, mode_by_group, modality_dim  # noqa: E402
-from spendlake.operators.facts import (commitment_fact, link_commitments_to_contracts)  # noqa: E402
 
 
 @query
@@ -221,11 +234,6 @@ def j6_payment_star(spark, d):
 # --------------------------------------------------------------------------- #
 # Aggregations, windows, top-k
 # --------------------------------------------------------------------------- #
-from spendlake.operators.aggregates import (describe_exact, forecast_errors, histogram,  # noqa: E402
-                                            minmax_scale, percentile_scalar, period_sum, value_counts)
-from spendlake.operators.forecast_naive import clamp_interval, naive_forecast, next_quarter_rows  # noqa: E402
-from spendlake.operators.insights import financial_summary, infraction_creditors, top_by  # noqa: E402
-from spendlake.operators.timeseries import holdout_last  # noqa: E402
 
 
 @query
@@ -351,11 +359,7 @@ def o6_overpaid_head(spark, d):
 # --------------------------------------------------------------------------- #
 # Keyed merges (dataflow into Gold)
 # --------------------------------------------------------------------------- #
-from decimal import Decimal  # noqa: E402
 
-from spendlake.operators.dims import calendar_dim  # noqa: E402
-from spendlake.operators.merge import (assign_keys, insert_absent, merge_upsert,  # noqa: E402
-                                       scd2_merge, update_by_key)
 
 PREVIOUS_CUTOFF = "1999-01-01"      # the "previous load" saw data signed/emitted before this day
 PREVIOUS_LOAD = "2026-01-01"
@@ -440,7 +444,6 @@ def g9_assign_keys(spark, d):
 # --------------------------------------------------------------------------- #
 # Data quality
 # --------------------------------------------------------------------------- #
-from spendlake.operators import quality as Q  # noqa: E402
 
 
 @query
@@ -471,8 +474,6 @@ def q5_quality_report(spark, d):
 # --------------------------------------------------------------------------- #
 # Anomaly detection (Isolation Forest)
 # --------------------------------------------------------------------------- #
-from spendlake.operators import anomaly as IF  # noqa: E402
-from spendlake.operators.joins import lookup_join  # noqa: E402
 
 IF_NUMERIC = ["valor_contratado", "dias_vigencia", "historico_credor_infringement"]
 IF_CATEGORICAL = ["descricao_modalidade", "tipo_objeto"]
@@ -547,7 +548,6 @@ def a20_score_histogram(spark, d):
 # --------------------------------------------------------------------------- #
 # Payment forecast (quantile boosting) and backtest
 # --------------------------------------------------------------------------- #
-from spendlake.operators.forecast import backtest, forecast  # noqa: E402
 
 
 @query
@@ -566,11 +566,6 @@ def m13_backtest(spark, d):
 # --------------------------------------------------------------------------- #
 # Sources, sinks, incremental stream (round trips through the shared checkpoint folder)
 # --------------------------------------------------------------------------- #
-from spendlake.operators.clean import clean_contracts  # noqa: E402
-from spendlake.session import scratch_path  # noqa: E402
-from spendlake.sources.files import page_checks, read_pages, read_runs  # noqa: E402
-from spendlake.sources.tables import read_partitioned, write_pages, write_partitioned  # noqa: E402
-from spendlake.streaming.incremental import read_bucketed, run_incremental  # noqa: E402
 
 PAGE_SIZE = 500
 
@@ -634,9 +629,7 @@ def i1_incremental_stream(spark, d):
 # --------------------------------------------------------------------------- #
 # Report and end-to-end run
 # --------------------------------------------------------------------------- #
-from pyspark.sql import Window  # noqa: E402
 
-from spendlake.operators.insights import render_report  # noqa: E402
 
 # Section headings and "nothing to show" lines of the deterministic report.
 REPORT_SECTIONS = [
