@@ -91,3 +91,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its filesystem (any Hadoop-supported scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -38,14 +38,12 @@ class HighWaterMark:
         self.spark, self.path, self.source = spark, path, source
 
     def get(self, default: str) -> str:
-        try:
-            rows = (self.spark.read.schema(self.SCHEMA).parquet(self.path)
-                    .filter(F.col("source") == self.source)
-                    .agg(F.max_by("mark", F.struct("written_at", "run_id")).alias("m")).first())
-        except Exception as e:  # noqa: BLE001 - no mark yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return default
-            raise
+        from spendlake.session import path_exists
+        if not path_exists(self.spark, self.path):
+            return default
+        rows = (self.spark.read.schema(self.SCHEMA).parquet(self.path)
+                .filter(F.col("source") == self.source)
+                .agg(F.max_by("mark", F.struct("written_at", "run_id")).alias("m")).first())
         return rows["m"] if rows and rows["m"] is not None else default
 
     def advance(self, mark: str, run_id: str) -> None:

@@ -35,10 +35,13 @@ def read_runs(spark: SparkSession, base: str, schema: StructType, merge_schema:
 
     With an explicit schema an empty or missing base gives a typed empty result.
     """
+    from spendlake.session import path_exists
+    if not path_exists(spark, base):
+        return spark.createDataFrame([], schema)
     try:
         return (spark.read.schema(schema).option("mergeSchema", str(merge_schema).lower())
                 .option("basePath", base).parquet(f"{base}/run_id=*"))
-    except Exception as e:  # noqa: BLE001 - missing path: typed empty frame
+    except Exception as e:  # noqa: BLE001 - base without any run folder: typed empty frame
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise

@@ -37,14 +37,12 @@ def merge_into_buckets(batch: DataFrame, path: str, keys: Sequence[str], order:
     touched = sorted(r[0] for r in b.select(BUCKET).distinct().collect())   # at most `buckets`
     if not touched:
         return 0
-    try:
+    from spendlake.session import path_exists
+    if path_exists(spark, path):
         stored = spark.read.schema(b.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
         both = stored.unionByName(b)
-    except Exception as e:  # noqa: BLE001 - first batch: no table yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            both = b
-        else:
-            raise
+    else:                                   # first batch: no table yet
+        both = b
     merged = dedupe_latest(both, list(keys) + [BUCKET], order, tie=tie).checkpoint(eager=True)
     (merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
