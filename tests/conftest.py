@@ -13,8 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from spendlake.session import build_session
-    s = build_session("local[*]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="spendlake-test-ckpt-")})
+    # the checkpoint folder comes from the session (spark-defaults); build_session only
+    # creates one when none is configured
+    s = build_session("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
 
