@@ -8,7 +8,9 @@ page fetcher is pluggable (``fetcher`` option, ``module:function`` taking
 ``(options, page) -> dict``); the built-in one reads ``<path>/page_%05d.json`` files.
 
 Options: ``schema`` (DDL of one record), ``path``, ``max_pages``, ``pages_per_partition``,
-``start`` / ``end`` (ISO dates, passed to the fetcher as ``dd/MM/yyyy`` in ``params``).
+``start`` / ``end`` (ISO dates, passed to the fetcher as ``dd/MM/yyyy`` in ``params``),
+``pause_seconds`` (pause between two page requests of the same partition: the endpoint's
+rate limit applies per task, and total request rate = tasks running x 1 / pause).
 """
 from __future__ import annotations
 
@@ -16,6 +18,7 @@ import datetime as _dt
 import importlib
 import json
 import os
+import time
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructType
@@ -77,7 +80,10 @@ class PagedJsonReader(DataSourceReader):
     def read(self, partition: PageBlock):
         fetch = _resolve(self.options)
         fields = self.schema.fields
-        for page in partition.pages:
+        pause = float(self.options.get("pause_seconds", 0) or 0)
+        for i, page in enumerate(partition.pages):
+            if i and pause:
+                time.sleep(pause)
             payload = (json.loads(partition.first_payload) if page == 1 and partition.first_payload
                        else fetch(self.options, page))
             for rec in payload.get("data") or []:
