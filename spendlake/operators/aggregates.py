@@ -18,28 +18,23 @@ def describe_exact(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                    digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, exact (interpolated) quartiles, max per column.
 
-    Long format: one row per (group..., column). Quartiles come from ``exact_percentiles``
-    (distributed, never one group in one task), not the approximate ``summary()``.
+    Long format: one row per (group..., column). The columns are stacked into one
+    (column, value) frame, so every statistic of every column comes from the same passes;
+    quartiles come from ``exact_percentiles`` (distributed, never one group in one task),
+    not the approximate ``summary()``.
     """
     from spendlake.operators.quantiles import exact_percentiles
-    keys = list(by) if by else ["__g"]
-    base = df if by else df.withColumn("__g", F.lit(0))
-    out = None
-    for c in cols:
-        x = F.col(c).cast("double")
-        moments = base.groupBy(*keys).agg(
-            F.count(x).alias("count"), F.round(F.avg(x), digits).alias("mean"),
-            F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
-        qs = exact_percentiles(base, c, QUARTILES, by=keys)
-        qs = qs.select(*keys, *[F.round(F.col(f"q{i}"), digits).alias(f"p{int(q * 100)}")
-                                for i, q in enumerate(QUARTILES)])
-        part = moments.join(qs if by else F.broadcast(qs), keys, "left").withColumn("column", F.lit(c))
-        part = part.select(*keys, "count", "mean", "std", "min", *[f"p{int(q * 100)}" for q in QUARTILES],
-                           "max", "column")
-        if not by:
-            part = part.drop("__g")
-        out = part if out is None else out.unionByName(part)
-    return out
+    by = list(by)
+    stacked = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__s")) \
+        .select(*by, "__s.column", "__s.v")
+    keys = by + ["column"]
+    moments = {"count": F.count, "mean": lambda v: F.round(F.avg(v), digits),
+               "std": lambda v: F.round(F.stddev_samp(v), digits), "min": F.min, "max": F.max}
+    out = exact_percentiles(stacked, "v", QUARTILES, by=keys, extra=moments)
+    return out.select(*by, "count", "mean", "std", "min",
+                      *[F.round(F.col(f"q{i}"), digits).alias(f"p{int(q * 100)}") for i, q in enumerate(QUARTILES)],
+                      "max", "column")
 
 
 def percentile_scalar(df: DataFrame, col: str, p: float):
