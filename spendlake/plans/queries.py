@@ -253,9 +253,15 @@ def a7_financial_summary(spark, d):
 
 @query
 def a8_infraction_creditors(spark, d):
-    dims = _dims(spark, d)
-    fc = gold.fato_contrato(spark, d, dims)
-    return infraction_creditors(dims["dim_credor"], fc, 10)
+    """Top 10 current creditors with infractions by contracted value. Only the creditor
+    dimension is needed: contracts resolve their creditor key by document, as in the star."""
+    cred = gold.dim_credor(spark, d)
+    con = domain.contracts(spark, d, cols=["cpf_cnpj_financiador", "valor_contrato"])
+    fc = con.filter(F.col("data_assinatura").isNotNull()).select(
+        F.col("id").alias("id_contrato_origem"), F.col("cpf_cnpj_financiador").alias("cpf_cnpj"),
+        to_money("valor_contrato").alias("valor_contratado"))
+    fc = lookup_join(fc, cred.filter("versao_atual"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+    return infraction_creditors(cred, fc, 10, contract_key="id_contrato_origem")
 
 
 @query
