@@ -87,3 +87,9 @@ def test_scd2_same_day_rerun_is_noop(spark):
     once = _scd(spark, h, inc, d1)
     twice = _scd(spark, once, inc, d1)
     assert sorted(twice.collect()) == sorted(once.collect())
+
+
+def test_assign_keys_null_business_key_first(spark):
+    df = spark.createDataFrame([("b", None), ("a", "x"), ("a", None)], "m string, t string")
+    out = sorted((r["sk"], r["m"], r["t"]) for r in assign_keys(df, "sk", ["m", "t"]).collect())
+    assert out == [(1, "a", None), (2, "a", "x"), (3, "b", None)]
