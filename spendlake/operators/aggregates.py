@@ -27,11 +27,11 @@ def describe_exact(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     by = list(by)
     stacked = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__s")) \
-        .select(*by, "__s.column", "__s.v")
+        .select(*by, "__s.column", F.col("__s.v").alias("__v"))
     keys = by + ["column"]
     moments = {"count": F.count, "mean": lambda v: F.round(F.avg(v), digits),
                "std": lambda v: F.round(F.stddev_samp(v), digits), "min": F.min, "max": F.max}
-    out = exact_percentiles(stacked, "v", QUARTILES, by=keys, extra=moments)
+    out = exact_percentiles(stacked, "__v", QUARTILES, by=keys, extra=moments)
     return out.select(*by, "count", "mean", "std", "min",
                       *[F.round(F.col(f"q{i}"), digits).alias(f"p{int(q * 100)}") for i, q in enumerate(QUARTILES)],
                       "max", "column")

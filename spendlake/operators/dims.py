@@ -61,11 +61,11 @@ def mode_by_group(df: DataFrame, key: str, attrs: dict[str, str]) -> DataFrame:
         return out.select(key, *attrs.values())
     stacked = df.select(key, F.explode(F.array(*[
         F.struct(F.lit(i).alias("a"), F.col(a).alias("v")) for i, a in enumerate(names)])).alias("__s")) \
-        .select(key, "__s.a", "__s.v")
-    counts = stacked.groupBy(key, "a", "v").agg(F.count("v").alias("c"))
-    best = counts.groupBy(key, "a").agg(
-        F.min_by("v", F.struct((-F.col("c")).alias("c"), F.col("v").alias("v"))).alias("m"))
-    return best.groupBy(key).agg(*[F.max(F.when(F.col("a") == i, F.col("m"))).alias(attrs[a])
+        .select(key, F.col("__s.a").alias("__a"), F.col("__s.v").alias("__v"))
+    counts = stacked.groupBy(key, "__a", "__v").agg(F.count("__v").alias("__c"))
+    best = counts.groupBy(key, "__a").agg(
+        F.min_by("__v", F.struct((-F.col("__c")).alias("c"), F.col("__v").alias("v"))).alias("__m"))
+    return best.groupBy(key).agg(*[F.max(F.when(F.col("__a") == i, F.col("__m"))).alias(attrs[a])
                                    for i, a in enumerate(names)])
 
 
