@@ -591,7 +591,7 @@ def q3_page_checks(spark, d):
     raw = domain.raw_contracts(spark, d)
     base = scratch_path(spark, "pages")
     write_pages(raw, base, "r1", ["id"], page_size=PAGE_SIZE)
-    return page_checks(spark, base)
+    return page_checks(spark, base, multiline=False)
 
 
 @query

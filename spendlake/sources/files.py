@@ -75,14 +75,16 @@ def read_pages(spark: SparkSession, base: str, record_schema: StructType, multil
             .select("r.*", "run_id", "page_file", "page"))
 
 
-def page_checks(spark: SparkSession, base: str, expected_pages: int | None = None) -> DataFrame:
+def page_checks(spark: SparkSession, base: str, expected_pages: int | None = None,
+                multiline: bool = True) -> DataFrame:
     """Per run: pages landed, pages expected (from the pages themselves or the argument) and
     pages missing ``data`` or ``sumary`` — every page is checked, not only the first."""
     from pyspark.sql.types import IntegerType, StringType, StructField
     schema = StructType([StructField("sumary", StructType([StructField("total_pages", IntegerType()),
                                                            StructField("current_page", StringType())])),
                          StructField("data", StringType())])
-    pages = spark.read.schema(schema).option("basePath", base).json(f"{base}/run_id=*")
+    pages = (spark.read.schema(schema).option("multiLine", str(multiline).lower())
+             .option("basePath", base).json(f"{base}/run_id=*"))
     exp = F.lit(expected_pages) if expected_pages is not None else F.max("sumary.total_pages")
     return pages.groupBy(F.col("run_id").cast("string").alias("run_id")).agg(
         F.count_distinct("sumary.current_page").alias("pages"),

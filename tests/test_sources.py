@@ -78,7 +78,7 @@ def test_page_sink_and_reader(spark, tmpdir_path):
     assert n == 13
     back = read_pages(spark, tmpdir_path, recs.schema, multiline=False)
     assert back.count() == 1234 and back.select(F.max("page")).first()[0] == 13
-    chk = page_checks(spark, tmpdir_path).first()
+    chk = page_checks(spark, tmpdir_path, multiline=False).first()
     assert chk["pages"] == 13 and chk["ok"]
 
 
@@ -119,3 +119,23 @@ def test_mark_advances_only_after_validation(spark, tmpdir_path):
     r = incremental_run(spark, good, "2026-02-28", "r3", tmpdir_path + "/b", mark, "2026-01-01").first()
     assert r["start"] == "2026-01-31" and r["rows"] == 1
     assert HighWaterMark(spark, mark, "extraction").get("x") == "2026-02-28"
+
+
+def test_read_pages_reference_layout(spark, tmpdir_path):
+    # one pretty-printed document per page file, two runs; every row of every page is read
+    for run, pages in (("20260101", 3), ("20260102", 2)):
+        d = os.path.join(tmpdir_path, f"run_id={run}")
+        os.makedirs(d)
+        for p in range(1, pages + 1):
+            doc = {"sumary": {"total_pages": pages, "current_page": str(p), "total_records": pages * 2},
+                   "data": [{"id": p * 10 + i, "nome": "Órgão ç"} for i in range(2)]}
+            with open(os.path.join(d, f"page_{p:05d}.json"), "w", encoding="utf-8") as fh:
+                json.dump(doc, fh, ensure_ascii=False, indent=2)
+    schema = "id long, nome string"
+    rec = spark.createDataFrame([], schema).schema
+    rows = read_pages(spark, tmpdir_path, rec).collect()
+    assert len(rows) == 10
+    assert {r["run_id"] for r in rows} == {"20260101", "20260102"}
+    assert all(r["nome"] == "Órgão ç" for r in rows)
+    chk = {r["run_id"]: (r["pages"], r["ok"]) for r in page_checks(spark, tmpdir_path).collect()}
+    assert chk == {"20260101": (3, True), "20260102": (2, True)}
