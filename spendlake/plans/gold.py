@@ -61,7 +61,9 @@ def fato_contrato(spark: SparkSession, d: str, dims: dict | None = None) -> Data
     o = dims.get("dim_orgao") or dim_orgao(spark, d)
     m = dims.get("dim_modalidade") or dim_modalidade(spark, d)
     c = dims.get("dim_credor") or dim_credor(spark, d)
-    f = lookup_join(f, t, [("data_assinatura", "data")], {"sk_tempo": "sk_tempo_assinatura"})
+    # the calendar has one row per day of the covered span whatever the data volume: a proven
+    # bound, so it is broadcast and the fact is not shuffled (nor skewed by a busy day) for it
+    f = lookup_join(f, t, [("data_assinatura", "data")], {"sk_tempo": "sk_tempo_assinatura"}, hint="broadcast")
     f = lookup_join(f, o, [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
     f = lookup_join(f, m, [("descricao_modalidade", "descricao_modalidade"),
                            ("descricao_tipo", "descricao_tipo")], {"sk_modalidade": "sk_modalidade"},
@@ -75,7 +77,7 @@ def _unit_fact_keys(f: DataFrame, spark, d, dims, date_col="data_emissao") -> Da
     t = dims.get("dim_tempo") or dim_tempo(spark, d)
     o = dims.get("dim_orgao") or dim_orgao(spark, d)
     c = dims.get("dim_credor") or dim_credor(spark, d)
-    f = lookup_join(f, t, [(date_col, "data")], {"sk_tempo": "sk_tempo"})
+    f = lookup_join(f, t, [(date_col, "data")], {"sk_tempo": "sk_tempo"}, hint="broadcast")
     f = lookup_join(f, o, [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
     return lookup_join(f, c.filter("versao_atual"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
 
