@@ -44,7 +44,8 @@ def percentile_scalar(df: DataFrame, col: str, p: float):
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col(col))
+    """Rows per non-null value, most frequent first."""
+    return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col(col))
 
 
 def period_sum(df: DataFrame, date_col: str, value: str, unit: str = "month",
@@ -64,12 +65,14 @@ def minmax_scale(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins between the batch min and max; the max lands in the last bin."""
+    """Equal-width bins between the batch min and max, empty ones included; the max lands in the last bin."""
     x = F.col(col).cast("double")
     mn = df.select(F.min(x)).scalar()
     mx = df.select(F.max(x)).scalar()
     b = F.least(F.width_bucket(x, mn, mx, F.lit(bins)), F.lit(bins))
-    return df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(x.isNotNull()).groupBy(b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
+    return every.join(F.broadcast(counts), "bin", "left").select("bin", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

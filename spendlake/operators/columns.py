@@ -22,18 +22,3 @@ def ensure_columns(df: DataFrame, spec: dict[str, tuple[str, object]]) -> DataFr
 
 def drop_if_present(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
-
-
-def drop_null_keys(df: DataFrame, *cols: str) -> DataFrame:
-    return df.dropna(subset=list(cols))
-
-
-def fill_default(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Null to constant per column (numeric NaN is also replaced)."""
-    out = df
-    for name, value in defaults.items():
-        c = F.col(name)
-        if isinstance(value, float):
-            c = F.nanvl(c.cast("double"), F.lit(value))
-        out = out.withColumn(name, F.coalesce(c, F.lit(value)))
-    return out

@@ -80,7 +80,8 @@ def link_commitments_to_contracts(fact_commitment: DataFrame, contracts: DataFra
     from spendlake.operators.dedupe import last_per_key
 
     nums = last_per_key(contracts.select(number, order, key).dropna(subset=[number]), [number], [order], tie=[key])
-    clean = fact_commitment.withColumn(
-        "__code", F.when(F.regexp_like(F.col(code), F.lit("^0+$")), F.lit(None)).otherwise(F.col(code)))
-    out = lookup_join(clean, nums, on=[("__code", number)], take={key: key})
-    return out.drop("__code")
+    none = F.col(code).isNull() | F.regexp_like(F.col(code), F.lit("^0+$"))
+    # rows without a number have nothing to look up; in the join they would all meet in one task
+    linked = lookup_join(fact_commitment.filter(~none), nums, on=[(code, number)], take={key: key})
+    rest = fact_commitment.filter(none).withColumn(key, F.lit(None).cast(contracts.schema[key].dataType))
+    return linked.unionByName(rest)

@@ -62,6 +62,12 @@ def _key_cond(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe:
     return cond
 
 
+def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key value occurs in more than one row (null keys match nothing and may repeat)."""
+    if source.select(*keys).dropna().groupBy(*keys).count().filter("count > 1").limit(1).count():
+        raise ValueError(f"source has duplicate keys on {list(keys)}")
+
+
 # --------------------------------------------------------------------------- #
 # Insert-if-absent, update-by-key, upsert
 # --------------------------------------------------------------------------- #
@@ -69,10 +75,15 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], sk:
                   null_safe: bool = False) -> DataFrame:
     """Add source rows whose key is not in the target (``ON CONFLICT DO NOTHING``).
 
-    Source rows are de-duplicated on the key first (null-safe when asked, so a null part of
-    the key is one value, not a fresh one per run). New rows get keys after the target's max.
+    Of source rows with one key the smallest by the other columns counts (nulls first); a null
+    part of the key is one value when ``null_safe``. New rows get keys after the target's max.
     """
-    src = source.select(*[c for c in target.columns if c != sk]).dropDuplicates(list(keys))
+    cols = [c for c in target.columns if c != sk]
+    rest = [c for c in cols if c not in keys]
+    if rest:
+        src = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r")).select(*keys, "__r.*").select(*cols)
+    else:
+        src = source.select(*cols).distinct()
     t = target.select(*keys)
     new = src.join(t, _key_cond(src, t, keys, null_safe), "left_anti")
     if sk:
@@ -82,7 +93,8 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], sk:
 
 def update_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   cols: Sequence[str]) -> DataFrame:
-    """Replace ``cols`` of target rows whose key is in ``source``; others unchanged."""
+    """Replace ``cols`` of target rows whose key is in ``source`` (once); others unchanged."""
+    require_unique(source, keys)
     s = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in cols],
                       F.lit(True).alias("__hit"))
     out = target.join(s, list(keys), "left")
@@ -102,9 +114,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     target) and fresh keys. Target rows absent from the source pass through.
     """
     if check_unique:
-        dup = source.groupBy(*keys).count().filter("count > 1").limit(1).count()
-        if dup:
-            raise ValueError(f"source has duplicate keys on {list(keys)}")
+        require_unique(source, keys)
     insert_cols = list(insert_cols) if insert_cols is not None else [
         c for c in source.columns if c in target.columns]
     tcols = target.columns
@@ -151,6 +161,7 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, key: str, versioned: Seq
     overwritten in the current version. Closed versions and keys absent from the batch pass
     through. New versions get surrogate keys after the history's max.
     """
+    require_unique(incoming, [key])
     as_of_c = F.lit(str(as_of)).cast("date")
     hcols = history.columns
     attrs = [c for c in incoming.columns if c != key and c in hcols]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators.dedupe import latest_mapping
 from spendlake.operators.dims import agency_dim, calendar_dim, creditor_dim, modality_dim
-from spendlake.operators.facts import commitment_fact, contract_fact, payment_fact
+from spendlake.operators.facts import commitment_fact, contract_fact, link_commitments_to_contracts, payment_fact
 from spendlake.operators.joins import lookup_join
 from spendlake.operators.merge import assign_keys
 from spendlake.plans import domain
@@ -53,40 +53,63 @@ def dim_credor(spark: SparkSession, d: str, as_of=LOAD_DATE) -> DataFrame:
     return assign_keys(base, "sk_credor", ["cpf_cnpj"])
 
 
-def fato_contrato(spark: SparkSession, d: str, dims: dict | None = None) -> DataFrame:
-    """Contract fact with its four foreign keys (modality matched null-safe) and a key."""
-    dims = dims or {}
-    f = contract_fact(domain.contracts(spark, d))
-    t = dims.get("dim_tempo") or dim_tempo(spark, d)
-    o = dims.get("dim_orgao") or dim_orgao(spark, d)
-    m = dims.get("dim_modalidade") or dim_modalidade(spark, d)
-    c = dims.get("dim_credor") or dim_credor(spark, d)
-    # the calendar has one row per day of the covered span whatever the data volume: a proven
-    # bound, so it is broadcast and the fact is not shuffled (nor skewed by a busy day) for it
-    f = lookup_join(f, t, [("data_assinatura", "data")], {"sk_tempo": "sk_tempo_assinatura"}, hint="broadcast")
-    f = lookup_join(f, o, [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
-    f = lookup_join(f, m, [("descricao_modalidade", "descricao_modalidade"),
-                           ("descricao_tipo", "descricao_tipo")], {"sk_modalidade": "sk_modalidade"},
+def calendar_hint(dim: DataFrame, limit: int = 1_000_000) -> str | None:
+    """``broadcast`` for a calendar of a checked size (one row per day), else a plain join."""
+    return "broadcast" if dim.limit(limit + 1).count() <= limit else None
+
+
+def contract_keys(f: DataFrame, dims: dict) -> DataFrame:
+    """Contract fact with its four foreign keys (modality matched null-safe)."""
+    t = dims["dim_tempo"]
+    f = lookup_join(f, t, [("data_assinatura", "data")], {"sk_tempo": "sk_tempo_assinatura"}, hint=calendar_hint(t))
+    f = lookup_join(f, dims["dim_orgao"], [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
+    f = lookup_join(f, dims["dim_modalidade"], [("descricao_modalidade", "descricao_modalidade"),
+                                                ("descricao_tipo", "descricao_tipo")], {"sk_modalidade": "sk_modalidade"},
                     null_safe=["descricao_tipo"])
-    f = lookup_join(f, c.filter("versao_atual"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+    return lookup_join(f, dims["dim_credor"].filter("versao_atual"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+
+
+def unit_fact_keys(f: DataFrame, dims: dict, date_col: str = "data_emissao") -> DataFrame:
+    """Commitment or payment fact with its day, agency and creditor keys."""
+    t = dims["dim_tempo"]
+    f = lookup_join(f, t, [(date_col, "data")], {"sk_tempo": "sk_tempo"}, hint=calendar_hint(t))
+    f = lookup_join(f, dims["dim_orgao"], [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
+    return lookup_join(f, dims["dim_credor"].filter("versao_atual"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+
+
+DIMENSIONS = {"dim_tempo": dim_tempo, "dim_orgao": dim_orgao, "dim_modalidade": dim_modalidade, "dim_credor": dim_credor}
+UNIT_FACT_DIMS = ("dim_tempo", "dim_orgao", "dim_credor")
+
+
+def dimensions(spark: SparkSession, d: str, names=tuple(DIMENSIONS)) -> dict[str, DataFrame]:
+    return {n: DIMENSIONS[n](spark, d) for n in names}
+
+
+def fato_contrato(spark: SparkSession, d: str, dims: dict | None = None) -> DataFrame:
+    """Contract fact with its foreign keys and a key."""
+    f = contract_keys(contract_fact(domain.contracts(spark, d)), dims or dimensions(spark, d))
     f = f.withColumn("score_anomalia", F.lit(None).cast("decimal(5,4)"))
     return assign_keys(f, "sk_contrato", ["id_contrato_origem", "ano"])
 
 
-def _unit_fact_keys(f: DataFrame, spark, d, dims, date_col="data_emissao") -> DataFrame:
-    t = dims.get("dim_tempo") or dim_tempo(spark, d)
-    o = dims.get("dim_orgao") or dim_orgao(spark, d)
-    c = dims.get("dim_credor") or dim_credor(spark, d)
-    f = lookup_join(f, t, [(date_col, "data")], {"sk_tempo": "sk_tempo"}, hint="broadcast")
-    f = lookup_join(f, o, [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
-    return lookup_join(f, c.filter("versao_atual"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+def contract_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Contract number, signing day and key, numbered as in the contract fact."""
+    con = domain.contracts(spark, d, cols=["num_contrato"])
+    f = con.select(F.col("id").cast("long").alias("id_contrato_origem"), F.year("data_assinatura").alias("ano"), "num_contrato",
+                   F.col("data_assinatura").cast("date").alias("data_assinatura")).dropna(subset=["id_contrato_origem", "ano"])
+    return assign_keys(f, "sk_contrato", ["id_contrato_origem", "ano"])
 
 
 def fato_empenho(spark: SparkSession, d: str, dims: dict | None = None) -> DataFrame:
+    """Commitment fact with its foreign keys, its contract and a key."""
     f = commitment_fact(domain.commitments(spark, d), unit_map(spark, d))
-    return _unit_fact_keys(f, spark, d, dims or {})
+    f = unit_fact_keys(f, dims or dimensions(spark, d, UNIT_FACT_DIMS))
+    f = link_commitments_to_contracts(f, contract_numbers(spark, d))
+    return assign_keys(f, "sk_empenho", ["id_empenho_origem", "ano"])
 
 
 def fato_ordem_bancaria(spark: SparkSession, d: str, dims: dict | None = None) -> DataFrame:
+    """Payment fact with its foreign keys and a key."""
     f = payment_fact(domain.payments(spark, d), unit_map(spark, d))
-    return _unit_fact_keys(f, spark, d, dims or {})
+    f = unit_fact_keys(f, dims or dimensions(spark, d, UNIT_FACT_DIMS))
+    return assign_keys(f, "sk_ordem_bancaria", ["id_ob_origem", "ano"])

@@ -242,14 +242,25 @@ register("j18_commitment_contract_link", sql(
 SELECT f.*, n.id_contrato_origem FROM commit_fact f
 LEFT JOIN nums n ON (CASE WHEN regexp_full_match(f.codcontrato, '0+') THEN NULL ELSE f.codcontrato END) = n.num_contrato"""))
 register("j4_contract_star", sql(*GOLD, SQL_CONTRACT_STAR, body="SELECT * FROM contract_star"))
-register("j5_commitment_star", sql(*GOLD, body="""
-SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor FROM commit_fact f
+SQL_CONTRACT_NUMBERS = """
+ck AS (SELECT num_contrato, sk_contrato FROM (
+    SELECT num_contrato, sk_contrato, row_number() OVER (PARTITION BY num_contrato ORDER BY data_assinatura DESC, sk_contrato DESC) AS rn
+    FROM contract_star WHERE num_contrato IS NOT NULL) WHERE rn = 1)"""
+register("j5_commitment_star", sql(*GOLD, SQL_CONTRACT_STAR, SQL_CONTRACT_NUMBERS, body="""
+SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor, ck.sk_contrato, row_number() OVER (ORDER BY f.id_empenho_origem, f.ano) AS sk_empenho
+FROM commit_fact f
 LEFT JOIN cal t ON t.data = f.data_emissao LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao
-LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj"""))
+LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj
+LEFT JOIN ck ON (CASE WHEN regexp_full_match(f.codcontrato, '0+') THEN NULL ELSE f.codcontrato END) = ck.num_contrato"""))
 register("j6_payment_star", sql(*GOLD, body="""
-SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor FROM pay_fact f
+SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor, row_number() OVER (ORDER BY f.id_ob_origem, f.ano) AS sk_ordem_bancaria FROM pay_fact f
 LEFT JOIN cal t ON t.data = f.data_emissao LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao
 LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj"""))
+register("j15_analysis_star", sql(*GOLD, SQL_CONTRACT_STAR, body="""
+SELECT f.sk_contrato, f.ano, t.data, t.trimestre, t.ano_mes, a.nome AS nome_orgao, m.descricao_modalidade, m.descricao_tipo, c.nome AS nome_credor,
+       c.cpf_cnpj, c.tipo_pessoa, f.valor_contratado, f.valor_empenhado, f.valor_pago, f.dias_vigencia
+FROM contract_star f LEFT JOIN cal t ON t.sk_tempo = f.sk_tempo_assinatura LEFT JOIN agency a ON a.sk_orgao = f.sk_orgao
+LEFT JOIN modal m ON m.sk_modalidade = f.sk_modalidade LEFT JOIN creditor_cur c ON c.sk_credor = f.sk_credor"""))
 
 register("a5_quarterly_payments", sql(*BASE_FEATURES, body="SELECT * FROM hist_named"))
 register("a6_contracted_running", sql(*BASE_FEATURES, body="SELECT * FROM cq_run"))
@@ -273,20 +284,21 @@ register("a11_heuristic_p95", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
         FROM contract_fact)
 """ + _describe("h", ["valor_contratado", "dias_vigencia"], by="heuristica")))
 register("a12_describe", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body=_describe(
-    "contract_fact", ["valor_contratado", "dias_vigencia", "historico_credor_infringement"])))
+    "contract_fact", ["valor_contratado", "valor_empenhado", "valor_pago", "dias_vigencia"])))
 register("a13_describe_by_group", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body=_describe(
     "contract_fact", ["valor_contratado"], by="descricao_modalidade")))
 register("a14_value_counts", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
-SELECT descricao_modalidade, count(*) AS n FROM contract_fact GROUP BY descricao_modalidade"""))
-register("a15_monthly_sum", sql(SQL_PAYMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_PAY_FACT, body="""
-SELECT CAST(date_trunc('month', data_emissao) AS DATE) AS periodo, CAST(sum(valor) AS DECIMAL(18,2)) AS total_pago
-FROM pay_fact GROUP BY 1"""))
+SELECT descricao_modalidade, count(*) AS n FROM contract_fact WHERE descricao_modalidade IS NOT NULL GROUP BY descricao_modalidade"""))
+register("a15_monthly_sum", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+SELECT CAST(date_trunc('month', data_assinatura) AS DATE) AS periodo, CAST(sum(valor_contratado) AS DECIMAL(18,2)) AS total_contratado
+FROM contract_fact GROUP BY 1"""))
 register("a20_histogram", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
 , b AS (SELECT min(CAST(valor_contratado AS DOUBLE)) AS mn, max(CAST(valor_contratado AS DOUBLE)) AS mx FROM contract_fact)
-SELECT least(CASE WHEN x >= mx THEN 31 ELSE CAST(floor(30 * (x - mn) / (mx - mn)) AS BIGINT) + 1 END, 30) AS bin,
+, h AS (SELECT least(CASE WHEN x >= mx THEN 31 ELSE CAST(floor(30 * (x - mn) / (mx - mn)) AS BIGINT) + 1 END, 30) AS bin,
        count(*) AS n
 FROM (SELECT CAST(valor_contratado AS DOUBLE) AS x FROM contract_fact WHERE valor_contratado IS NOT NULL), b
-GROUP BY 1"""))
+GROUP BY 1)
+SELECT r.bin, coalesce(h.n, 0) AS n FROM range(1, 31) r(bin) LEFT JOIN h ON h.bin = r.bin"""))
 register("w9_minmax_scale", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
 , b AS (SELECT min(CAST(valor_contratado AS DOUBLE)) AS mn, max(CAST(valor_contratado AS DOUBLE)) AS mx FROM contract_fact)
 SELECT id_contrato_origem, ano, valor_contratado,
@@ -341,9 +353,10 @@ SELECT p.trimestre_referencia, a.nome AS nome_orgao, p.valor_previsto, p.interva
 FROM batch p JOIN agency a ON a.sk_orgao = p.sk_orgao
 WHERE p.data_geracao = (SELECT max(data_geracao) FROM batch)
 ORDER BY p.valor_previsto DESC, p.sk_orgao LIMIT 15"""))
-register("o6_overpaid_head", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
-SELECT id_contrato_origem, valor_contratado, valor_pago FROM contract_fact
-WHERE valor_pago > valor_contratado ORDER BY id_contrato_origem LIMIT 10"""))
+register("o6_overpaid_head", sql(SQL_CONTRACTS, SQL_COMMITMENTS, SQL_CREDITOR, SQL_CONTRACT_FACT, body="""
+SELECT f.id_contrato_origem, c.nome AS nome_credor, f.valor_contratado, f.valor_pago FROM contract_fact f
+LEFT JOIN creditor c ON c.cpf_cnpj = f.cpf_cnpj
+WHERE f.valor_pago > f.valor_contratado ORDER BY f.id_contrato_origem LIMIT 10"""))
 
 
 def creditor_sql(contracts: str, commitments: str, name: str) -> str:
@@ -505,8 +518,7 @@ UNION ALL SELECT 'gold', 'fato_ordem_bancaria', (SELECT count(*) FROM pay_fact)"
 
 register("s2_extract_snapshot", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 register("x16_json_text", """
-SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
-WHERE CAST(json_extract(props, '$.k') AS BIGINT) >= 50""")
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 
 register("s3_extraction_runs", """
 SELECT 'run1' AS run_id, 'orders' AS table_name, 'incremental' AS kind,
@@ -525,3 +537,94 @@ UNION ALL SELECT 'run2', 'lineitem', 'incremental',
        '1997-12-31', '2001-12-31', true, '2001-12-31'
 UNION ALL SELECT 'run2', 'supplier', 'snapshot', (SELECT count(*) FROM supplier), '1997-12-31', '2001-12-31', true, '2001-12-31'
 UNION ALL SELECT 'run2', 'nation', 'snapshot', (SELECT count(*) FROM nation), '1997-12-31', '2001-12-31', true, '2001-12-31'""")
+
+
+def modality_insert_sql(old: str, name: str) -> str:
+    """Modalities of ``old`` numbered, then the others of all contracts (as CTE ``name``)."""
+    return f"""
+{name}_old AS (
+  SELECT *, row_number() OVER (ORDER BY descricao_modalidade NULLS FIRST, descricao_tipo NULLS FIRST) AS sk_modalidade
+  FROM (SELECT DISTINCT descricao_modalidade, descricao_tipo FROM {old} WHERE descricao_modalidade IS NOT NULL)),
+{name} AS (
+  SELECT * FROM {name}_old
+  UNION ALL
+  SELECT descricao_modalidade, descricao_tipo, (SELECT coalesce(max(sk_modalidade), 0) FROM {name}_old)
+         + row_number() OVER (ORDER BY descricao_modalidade NULLS FIRST, descricao_tipo NULLS FIRST)
+  FROM (SELECT DISTINCT descricao_modalidade, descricao_tipo FROM contracts WHERE descricao_modalidade IS NOT NULL) c
+  WHERE NOT EXISTS (SELECT 1 FROM {name}_old o WHERE o.descricao_modalidade = c.descricao_modalidade
+                    AND o.descricao_tipo IS NOT DISTINCT FROM c.descricao_tipo))"""
+
+
+register("g3_modality_insert", sql(
+    SQL_CONTRACTS, "first_days AS (SELECT * FROM contracts WHERE data_assinatura < TIMESTAMP '1995-01-03')",
+    modality_insert_sql("first_days", "m"), body="SELECT * FROM m"))
+
+
+def _line_upsert(fact: str, key: str, code: str, sk: str, rest: list[str]) -> str:
+    cols = ", ".join("s." + c for c in rest)
+    return f"""
+, tgt AS (SELECT {key}, ano, 'OLD-' || {code} AS {code}, row_number() OVER (ORDER BY {key}, ano) AS {sk}
+          FROM {fact} WHERE data_emissao < DATE '1999-01-01')
+SELECT s.{key}, s.ano, t.{code}, {cols}, t.{sk} FROM tgt t JOIN {fact} s USING ({key}, ano)
+UNION ALL
+SELECT s.{key}, s.ano, s.{code}, {cols}, (SELECT max({sk}) FROM tgt) + row_number() OVER (ORDER BY s.{key}, s.ano)
+FROM {fact} s ANTI JOIN tgt t USING ({key}, ano)"""
+
+
+register("g6_upsert_commitments", sql(SQL_COMMITMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_COMMIT_FACT, body=_line_upsert(
+    "commit_fact", "id_empenho_origem", "codigo_empenho", "sk_empenho", ["data_emissao", "codigo_orgao", "cpf_cnpj", "codcontrato", "modalidade", "valor"])))
+register("g7_upsert_payments", sql(SQL_PAYMENTS, SQL_UNITS, SQL_UNIT_MAP, SQL_PAY_FACT, body=_line_upsert(
+    "pay_fact", "id_ob_origem", "codigo", "sk_ordem_bancaria", ["data_emissao", "codigo_orgao", "cpf_cnpj", "tipo_ob", "valor"])))
+
+
+def _two_keys(src: str, order: str, old: str) -> str:
+    """Keys of two loads: rows of the first numbered, then the others."""
+    return (f"CASE WHEN {old} THEN row_number() OVER (PARTITION BY {old} ORDER BY {order}) "
+            f"ELSE (SELECT count(*) FROM {src} WHERE {old}) + row_number() OVER (PARTITION BY {old} ORDER BY {order}) END")
+
+
+def _content(table: str, sk: str, cols: list[str], src: str) -> str:
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols)
+    return f"SELECT '{table}' AS table_name, {sk} AS sk, concat_ws('|', {text}) AS content FROM {src}"
+
+
+_G4 = ORACLE["g4_scd2_merge"]
+register("i3_two_loads", sql(
+    *GOLD,
+    "contracts_old AS (SELECT * FROM contracts WHERE data_assinatura < TIMESTAMP '1999-01-01')",
+    "commitments_old AS (SELECT * FROM commitments WHERE dataemissao < TIMESTAMP '1999-01-01')",
+    "payments_old AS (SELECT * FROM payments WHERE dataemissao < TIMESTAMP '1999-01-01')",
+    "units_old AS (SELECT * FROM units WHERE ano < 1998)",
+    """days_old AS (SELECT DISTINCT CAST(d AS DATE) AS data FROM (
+  SELECT data_assinatura AS d FROM contracts_old UNION ALL SELECT dataemissao FROM commitments_old UNION ALL SELECT dataemissao FROM payments_old))""",
+    "cal_flag AS (SELECT data, ano_mes, data IN (SELECT data FROM days_old) AS old FROM cal)",
+    "cal2 AS (SELECT data, ano_mes, " + _two_keys("cal_flag", "data", "old") + " AS sk_tempo FROM cal_flag)",
+    agency_sql("units_old", "agency_old", "o_"),
+    "org_flag AS (SELECT * EXCLUDE (sk_orgao), codigo_orgao IN (SELECT codigo_orgao FROM agency_old) AS old FROM agency)",
+    "org2 AS (SELECT *, " + _two_keys("org_flag", "codigo_orgao", "old") + " AS sk_orgao FROM org_flag)",
+    modality_insert_sql("contracts_old", "modal2"),
+    "cred2 AS (" + _G4 + ")",
+    """con_flag AS (SELECT f.*, t.sk_tempo AS sk_tempo_assinatura, o.sk_orgao, m.sk_modalidade, c.sk_credor, f.data_assinatura < DATE '1999-01-01' AS old
+  FROM contract_fact f LEFT JOIN cal2 t ON t.data = f.data_assinatura LEFT JOIN org2 o ON o.codigo_orgao = f.codigo_orgao
+  LEFT JOIN modal2 m ON m.descricao_modalidade = f.descricao_modalidade AND m.descricao_tipo IS NOT DISTINCT FROM f.descricao_tipo
+  LEFT JOIN cred2 c ON c.cpf_cnpj = f.cpf_cnpj AND c.versao_atual)""",
+    "contract_star AS (SELECT *, " + _two_keys("con_flag", "id_contrato_origem, ano", "old") + " AS sk_contrato FROM con_flag)",
+    SQL_CONTRACT_NUMBERS,
+    """emp_flag AS (SELECT f.*, t.sk_tempo, o.sk_orgao, c.sk_credor, ck.sk_contrato, f.data_emissao < DATE '1999-01-01' AS old
+  FROM commit_fact f LEFT JOIN cal2 t ON t.data = f.data_emissao LEFT JOIN org2 o ON o.codigo_orgao = f.codigo_orgao
+  LEFT JOIN cred2 c ON c.cpf_cnpj = f.cpf_cnpj AND c.versao_atual
+  LEFT JOIN ck ON (CASE WHEN regexp_full_match(f.codcontrato, '0+') THEN NULL ELSE f.codcontrato END) = ck.num_contrato)""",
+    "emp2 AS (SELECT *, " + _two_keys("emp_flag", "id_empenho_origem, ano", "old") + " AS sk_empenho FROM emp_flag)",
+    """pay_flag AS (SELECT f.*, t.sk_tempo, o.sk_orgao, c.sk_credor, f.data_emissao < DATE '1999-01-01' AS old
+  FROM pay_fact f LEFT JOIN cal2 t ON t.data = f.data_emissao LEFT JOIN org2 o ON o.codigo_orgao = f.codigo_orgao
+  LEFT JOIN cred2 c ON c.cpf_cnpj = f.cpf_cnpj AND c.versao_atual)""",
+    "pay2 AS (SELECT *, " + _two_keys("pay_flag", "id_ob_origem, ano", "old") + " AS sk_ordem_bancaria FROM pay_flag)",
+    body="\nUNION ALL\n".join([
+        _content("dim_tempo", "sk_tempo", ["data", "ano_mes"], "cal2"),
+        _content("dim_orgao", "sk_orgao", ["codigo_orgao", "nome", "cnpj", "tipo_administracao", "esfera"], "org2"),
+        _content("dim_modalidade", "sk_modalidade", ["descricao_modalidade", "descricao_tipo"], "modal2"),
+        _content("dim_credor", "sk_credor", ["cpf_cnpj", "nome", "historico_infringement", "data_inicio", "data_fim", "versao_atual"], "cred2"),
+        _content("fato_contrato", "sk_contrato", ["id_contrato_origem", "ano", "num_contrato", "sk_tempo_assinatura", "sk_orgao", "sk_modalidade", "sk_credor", "valor_contratado", "valor_pago"], "contract_star"),
+        _content("fato_empenho", "sk_empenho", ["id_empenho_origem", "ano", "codigo_empenho", "sk_tempo", "sk_orgao", "sk_credor", "sk_contrato", "valor"], "emp2"),
+        _content("fato_ordem_bancaria", "sk_ordem_bancaria", ["id_ob_origem", "ano", "codigo", "sk_tempo", "sk_orgao", "sk_credor", "valor"], "pay2"),
+    ])))

@@ -17,7 +17,7 @@ from spendlake.operators import quality as Q
 from spendlake.operators.aggregates import (describe_exact, forecast_errors, histogram, minmax_scale,
                                             percentile_scalar, period_sum, value_counts)
 from spendlake.operators.clean import clean_contracts, enrich_with_units
-from spendlake.operators.dims import agency_dim, calendar_dim, creditor_dim, mode_by_group
+from spendlake.operators.dims import agency_dim, calendar_dim, creditor_dim, modality_dim, mode_by_group
 from spendlake.operators.facts import (commitment_fact, contract_fact, link_commitments_to_contracts,
                                        payment_fact)
 from spendlake.operators.forecast import backtest, forecast
@@ -71,6 +71,15 @@ def contracted_running(spark: SparkSession, d: str) -> DataFrame:
                          "valor_contratado_acumulado")
 
 
+def stored_forecast_features(payments: DataFrame, contracts: DataFrame, agencies: DataFrame) -> DataFrame:
+    """The forecast's features from the stored facts and the agency dimension they refer to."""
+    hist = quarterly_totals(payments.select("codigo_orgao", "data_emissao", "valor").dropna(subset=["data_emissao"]), "codigo_orgao", "data_emissao")
+    hist = hist.join(agencies.select("codigo_orgao", "sk_orgao", F.col("nome").alias("nome_orgao")), "codigo_orgao")
+    cq = quarterly_totals(contracts.select("codigo_orgao", "data_assinatura", "ano", "valor_contratado"), "codigo_orgao", "data_assinatura",
+                          "valor_contratado", "valor_contratado_trimestre", year_col="ano")
+    return forecast_features(hist, running_total(cq, "codigo_orgao", ["ano", "trimestre"], "valor_contratado_trimestre", "valor_contratado_acumulado"), "codigo_orgao")
+
+
 @query
 def m6_forecast_features(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: agency x quarter payments, cumulative contracted value, lags."""
@@ -184,6 +193,15 @@ def g3_modality_dim(spark, d):
     return gold.dim_modalidade(spark, d)
 
 
+@query
+def g3_modality_insert(spark, d):
+    """Modalities of the previous load, then today's inserted if absent (a null type is one value)."""
+    con = domain.contracts(spark, d, cols=["descricao_modalidade", "descricao_tipo"])
+    keys = ["descricao_modalidade", "descricao_tipo"]
+    old = modality_dim(con.filter(F.col("data_assinatura") < F.lit(FIRST_MODALITIES).cast("timestamp_ntz")))
+    return insert_absent(assign_keys(old, "sk_modalidade", keys), modality_dim(con), keys, sk="sk_modalidade", null_safe=True)
+
+
 @query
 def x5_calendar_dim(spark, d):
     return gold.dim_tempo(spark, d)
@@ -211,24 +229,32 @@ def j18_commitment_contract_link(spark, d):
     return link_commitments_to_contracts(f, c, key="id_contrato_origem")
 
 
-def _dims(spark, d):
-    return {"dim_tempo": gold.dim_tempo(spark, d), "dim_orgao": gold.dim_orgao(spark, d),
-            "dim_modalidade": gold.dim_modalidade(spark, d), "dim_credor": gold.dim_credor(spark, d)}
-
-
 @query
 def j4_contract_star(spark, d):
-    return gold.fato_contrato(spark, d, _dims(spark, d))
+    return gold.fato_contrato(spark, d)
 
 
 @query
 def j5_commitment_star(spark, d):
-    return gold.fato_empenho(spark, d, _dims(spark, d))
+    return gold.fato_empenho(spark, d)
 
 
 @query
 def j6_payment_star(spark, d):
-    return gold.fato_ordem_bancaria(spark, d, _dims(spark, d))
+    return gold.fato_ordem_bancaria(spark, d)
+
+
+@query
+def j15_analysis_star(spark, d):
+    """Every contract with the attributes of its four dimensions (left star join)."""
+    dims = gold.dimensions(spark, d)
+    fc = gold.fato_contrato(spark, d, dims).drop("cpf_cnpj", "descricao_modalidade", "descricao_tipo")
+    fc = lookup_join(fc, dims["dim_tempo"], [("sk_tempo_assinatura", "sk_tempo")], {"data": "data", "trimestre": "trimestre", "ano_mes": "ano_mes"}, hint=gold.calendar_hint(dims["dim_tempo"]))
+    fc = lookup_join(fc, dims["dim_orgao"], [("sk_orgao", "sk_orgao")], {"nome": "nome_orgao"})
+    fc = lookup_join(fc, dims["dim_modalidade"], [("sk_modalidade", "sk_modalidade")], {"descricao_modalidade": "descricao_modalidade", "descricao_tipo": "descricao_tipo"})
+    fc = lookup_join(fc, dims["dim_credor"], [("sk_credor", "sk_credor")], {"nome": "nome_credor", "cpf_cnpj": "cpf_cnpj", "tipo_pessoa": "tipo_pessoa"})
+    return fc.select("sk_contrato", "ano", "data", "trimestre", "ano_mes", "nome_orgao", "descricao_modalidade", "descricao_tipo", "nome_credor",
+                     "cpf_cnpj", "tipo_pessoa", "valor_contratado", "valor_empenhado", "valor_pago", "dias_vigencia")
 
 
 # --------------------------------------------------------------------------- #
@@ -278,7 +304,7 @@ def a11_heuristic_p95(spark, d):
 @query
 def a12_describe(spark, d):
     fc = contract_fact(domain.contracts(spark, d))
-    return describe_exact(fc, ["valor_contratado", "dias_vigencia", "historico_credor_infringement"])
+    return describe_exact(fc, ["valor_contratado", "valor_empenhado", "valor_pago", "dias_vigencia"])
 
 
 @query
@@ -294,8 +320,9 @@ def a14_value_counts(spark, d):
 
 @query
 def a15_monthly_sum(spark, d):
-    pay = payment_fact(domain.payments(spark, d), gold.unit_map(spark, d))
-    return period_sum(pay, "data_emissao", "valor", "month", "total_pago")
+    """Contracted value by signing month."""
+    con = contract_fact(domain.contracts(spark, d))
+    return period_sum(con, "data_assinatura", "valor_contratado", "month", "total_contratado")
 
 
 @query
@@ -356,9 +383,10 @@ def o5_top_forecasts(spark, d):
 
 @query
 def o6_overpaid_head(spark, d):
+    """First contracts paid above their value, with the creditor's name."""
     fc = contract_fact(domain.contracts(spark, d))
-    over = fc.filter(F.col("valor_pago") > F.col("valor_contratado"))
-    return top_by(over.select("id_contrato_origem", "valor_contratado", "valor_pago"), 10,
+    over = lookup_join(fc.filter(F.col("valor_pago") > F.col("valor_contratado")), gold.dim_credor(spark, d), [("cpf_cnpj", "cpf_cnpj")], {"nome": "nome_credor"})
+    return top_by(over.select("id_contrato_origem", "nome_credor", "valor_contratado", "valor_pago"), 10,
                   F.col("id_contrato_origem"))
 
 
@@ -369,6 +397,7 @@ def o6_overpaid_head(spark, d):
 
 PREVIOUS_CUTOFF = "1999-01-01"      # the "previous load" saw data signed/emitted before this day
 PREVIOUS_LOAD = "2026-01-01"
+FIRST_MODALITIES = "1995-01-03"     # the modality query's previous load: a few days, so that some are absent
 
 
 @query
@@ -431,6 +460,25 @@ def g5_merge_upsert(spark, d):
                         sk="sk_contrato")
 
 
+def _upsert_lines(spark, d, fact, entity, key, code, sk):
+    """Unit fact upsert on (id, year): the source code is kept from the target."""
+    src = fact(entity(spark, d), gold.unit_map(spark, d))
+    old = src.filter(F.col("data_emissao") < F.lit(PREVIOUS_CUTOFF).cast("date"))
+    old = old.withColumns({code: F.concat(F.lit("OLD-"), F.col(code)), "valor": F.lit(0).cast("decimal(18,2)")})
+    target = assign_keys(old, sk, [key, "ano"])
+    return merge_upsert(target, src, [key, "ano"], update_cols=[c for c in src.columns if c not in (key, "ano", code)], sk=sk)
+
+
+@query
+def g6_upsert_commitments(spark, d):
+    return _upsert_lines(spark, d, commitment_fact, domain.commitments, "id_empenho_origem", "codigo_empenho", "sk_empenho")
+
+
+@query
+def g7_upsert_payments(spark, d):
+    return _upsert_lines(spark, d, payment_fact, domain.payments, "id_ob_origem", "codigo", "sk_ordem_bancaria")
+
+
 @query
 def g8_update_by_key(spark, d):
     """Write anomaly-style scores back onto the contract fact by (key, year)."""
@@ -455,7 +503,7 @@ def g9_assign_keys(spark, d):
 @query
 def q5_quality_report(spark, d):
     """Constraint checks over the Gold build as (check, table, n_bad, ok) rows."""
-    dims = _dims(spark, d)
+    dims = gold.dimensions(spark, d)
     fc = gold.fato_contrato(spark, d, dims)
     fo = gold.fato_ordem_bancaria(spark, d, dims)
     fe = commitment_fact(domain.commitments(spark, d), gold.unit_map(spark, d))
@@ -481,6 +529,7 @@ def q5_quality_report(spark, d):
 # Anomaly detection (Isolation Forest)
 # --------------------------------------------------------------------------- #
 
+# The anomaly model's inputs.
 IF_NUMERIC = ["valor_contratado", "dias_vigencia", "historico_credor_infringement"]
 IF_CATEGORICAL = ["descricao_modalidade", "tipo_objeto"]
 IF_BOOLEAN = ["flag_emergency"]
@@ -496,7 +545,7 @@ def contract_features(fc: DataFrame, modal: DataFrame) -> DataFrame:
 
 
 def anomaly_run(spark, d, trees: int = 200):
-    dims = _dims(spark, d)
+    dims = gold.dimensions(spark, d)
     fc = gold.fato_contrato(spark, d, dims)
     feats = contract_features(fc, dims["dim_modalidade"])
     nodes = IF.fit(feats, "sk_contrato", IF_NUMERIC + IF_BOOLEAN, IF_CATEGORICAL, trees=trees, seed=42)
@@ -650,13 +699,8 @@ def _ranked(df: DataFrame, *order) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
 
 
-def build_report(spark, d, fc: DataFrame | None = None, forecasts: DataFrame | None = None) -> DataFrame:
-    dims = _dims(spark, d)
-    if fc is None:
-        _, fc, _ = anomaly_run(spark, d)
-    if forecasts is None:
-        forecasts = m7_naive_forecast(spark, d).withColumn(
-            "data_geracao", F.lit(str(gold.LOAD_DATE)).cast("timestamp_ntz"))
+def build_report(dims: dict, fc: DataFrame, forecasts: DataFrame, as_of: str) -> DataFrame:
+    """The report over scored contracts, the dimensions they refer to, and stored forecasts."""
     summary = financial_summary(fc)
     j = lookup_join(fc.filter(F.col("score_anomalia").isNotNull()), dims["dim_modalidade"],
                     [("sk_modalidade", "sk_modalidade")], {"descricao_modalidade": "modalidade"})
@@ -681,13 +725,15 @@ def build_report(spark, d, fc: DataFrame | None = None, forecasts: DataFrame | N
          ["trimestre_referencia", "nome_orgao", "valor_previsto", "intervalo_inferior", "intervalo_superior",
           "modelo"], REPORT_SECTIONS[2][1]),
     ]
-    return render_report(summary, sections)
+    return render_report(summary, sections, title=f"Relatório de Insights ({as_of})")
 
 
 @query
 def r2_report(spark, d):
     """Deterministic Markdown report over scored contracts, creditors and forecasts (one row)."""
-    return build_report(spark, d)
+    dims, fc, _ = anomaly_run(spark, d)
+    forecasts = m7_naive_forecast(spark, d).withColumn("data_geracao", F.lit(str(gold.LOAD_DATE)).cast("timestamp_ntz"))
+    return build_report(dims, fc, forecasts, str(gold.LOAD_DATE))
 
 
 @query
@@ -697,6 +743,43 @@ def i3_pipeline_silver_gold(spark, d):
     return run_pipeline(spark, d, scratch_path(spark, "pipeline"), stages=("silver", "gold"))
 
 
+@query
+def i3_two_loads(spark, d):
+    """What Gold holds after two loads: data before the cutoff, then all of it. Keys given out by
+    the first load stay, renamed creditors have a closed and a current version."""
+    from spendlake.plans.load import load_gold
+    base = scratch_path(spark, "two-loads")
+    entities = {"contratos": (domain.contracts, "data_assinatura"), "empenhos": (domain.commitments, "dataemissao"),
+                "ordem_bancaria_orcamentaria": (domain.payments, "dataemissao"), "unidade_gestora": (domain.units, None)}
+    silver = {}
+    for name, (entity, _) in entities.items():
+        df = entity(spark, d)
+        df.write.parquet(f"{base}/silver/{name}")
+        silver[name] = spark.read.schema(df.schema).parquet(f"{base}/silver/{name}")
+    before = {n: df.filter(F.col(entities[n][1]) < F.lit(PREVIOUS_CUTOFF).cast("timestamp_ntz")) if entities[n][1] else df.filter("ano < 1998")
+              for n, df in silver.items()}
+    load_gold(spark, before, f"{base}/gold", PREVIOUS_LOAD)
+    tables = load_gold(spark, silver, f"{base}/gold", gold.LOAD_DATE)
+    out = None
+    for name, (sk, cols) in GOLD_CONTENT.items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+        part = tables[name].select(F.lit(name).alias("table_name"), F.col(sk).alias("sk"), text.alias("content"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+#: What the two-load query shows of each table: its key and the columns that make up its content.
+GOLD_CONTENT = {
+    "dim_tempo": ("sk_tempo", ["data", "ano_mes"]),
+    "dim_orgao": ("sk_orgao", ["codigo_orgao", "nome", "cnpj", "tipo_administracao", "esfera"]),
+    "dim_modalidade": ("sk_modalidade", ["descricao_modalidade", "descricao_tipo"]),
+    "dim_credor": ("sk_credor", ["cpf_cnpj", "nome", "historico_infringement", "data_inicio", "data_fim", "versao_atual"]),
+    "fato_contrato": ("sk_contrato", ["id_contrato_origem", "ano", "num_contrato", "sk_tempo_assinatura", "sk_orgao", "sk_modalidade", "sk_credor", "valor_contratado", "valor_pago"]),
+    "fato_empenho": ("sk_empenho", ["id_empenho_origem", "ano", "codigo_empenho", "sk_tempo", "sk_orgao", "sk_credor", "sk_contrato", "valor"]),
+    "fato_ordem_bancaria": ("sk_ordem_bancaria", ["id_ob_origem", "ano", "codigo", "sk_tempo", "sk_orgao", "sk_credor", "valor"]),
+}
+
+
 @query
 def s2_extract_snapshot(spark, d):
     """Full snapshot read of a reference table with an explicit schema."""
@@ -707,10 +790,10 @@ def s2_extract_snapshot(spark, d):
 
 @query
 def x16_json_text(spark, d):
-    """JSON held as text parsed into columns (``from_json``) and filtered on the parsed value."""
+    """JSON held as text parsed into columns (``from_json``)."""
     ev = domain.read(spark, d, "events")
     parsed = ev.select("event_id", "event_type", F.from_json("props", "k long").alias("p"))
-    return parsed.select("event_id", "event_type", F.col("p.k").alias("k")).filter(F.col("k") >= 50)
+    return parsed.select("event_id", "event_type", F.col("p.k").alias("k"))
 
 
 @query

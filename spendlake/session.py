@@ -6,6 +6,7 @@ settings that are unset, so cluster-wide values (checkpoint dir, partition count
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -77,10 +78,13 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) is a fresh scratch folder made.
+    A cluster names it; only a local session without one (tests) gets a fresh scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set; on {master} it must name a shared folder")
         d = tempfile.mkdtemp(prefix="spendlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

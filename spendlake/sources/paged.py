@@ -7,7 +7,10 @@ partitions of ``pages_per_partition`` pages, fetched in parallel by the executor
 page fetcher is pluggable (``fetcher`` option, ``module:function`` taking
 ``(options, page) -> dict``); the built-in one reads ``<path>/page_%05d.json`` files.
 
-Options: ``schema`` (DDL of one record), ``path``, ``max_pages``, ``pages_per_partition``,
+Every field is delivered as text, to be cleaned by the Silver functions (tolerant numbers, dates
+and booleans), so one odd value never stops a read.
+
+Options: ``columns`` (field names, comma-separated), ``path``, ``max_pages``, ``pages_per_partition``,
 ``start`` / ``end`` (ISO dates, passed to the fetcher as ``dd/MM/yyyy`` in ``params``),
 ``pause_seconds`` (pause between two page requests of the same partition: the endpoint's
 rate limit applies per task, and total request rate = tasks running x 1 / pause).
@@ -21,7 +24,7 @@ import os
 import time
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructType
+from pyspark.sql.types import StructType
 
 
 def to_api_date(iso: str) -> str:
@@ -30,14 +33,9 @@ def to_api_date(iso: str) -> str:
 
 
 def file_fetcher(options: dict, page: int) -> dict:
-    """Reads ``<path>/page_%05d.json``; with a ``fetch_log`` option each fetched page number
-    is appended to that file (an audit trail of requests)."""
+    """Reads ``<path>/page_%05d.json`` (a folder that every executor sees)."""
     with open(os.path.join(options["path"], f"page_{page:05d}.json"), encoding="utf-8") as fh:
-        payload = json.load(fh)
-    if options.get("fetch_log"):
-        with open(options["fetch_log"], "a", encoding="utf-8") as log:
-            log.write(f"{page}\n")
-    return payload
+        return json.load(fh)
 
 
 def _resolve(options: dict):
@@ -59,10 +57,11 @@ class PagedJsonReader(DataSourceReader):
         self.schema = schema
         self.options = dict(options)
         params = {}
+        # The endpoint's request parameters.
         if self.options.get("start"):
-            params["dataAssinaturaInicio"] = to_api_date(self.options["start"])
+            params["data_assinatura_inicio"] = to_api_date(self.options["start"])
         if self.options.get("end"):
-            params["dataAssinaturaFim"] = to_api_date(self.options["end"])
+            params["data_assinatura_fim"] = to_api_date(self.options["end"])
         self.options["params"] = json.dumps(params)
 
     def partitions(self):
@@ -87,23 +86,14 @@ class PagedJsonReader(DataSourceReader):
             payload = (json.loads(partition.first_payload) if page == 1 and partition.first_payload
                        else fetch(self.options, page))
             for rec in payload.get("data") or []:
-                out = []
-                for f in fields:
-                    if f.name == "_page":
-                        out.append(page)
-                        continue
-                    v = rec.get(f.name)
-                    if v is None:
-                        out.append(None)
-                    elif isinstance(f.dataType, (IntegerType, LongType)):
-                        out.append(int(v))
-                    elif isinstance(f.dataType, DoubleType):
-                        out.append(float(v))
-                    elif isinstance(f.dataType, BooleanType):
-                        out.append(bool(v))
-                    else:
-                        out.append(str(v))
-                yield tuple(out)
+                yield tuple(page if f.name == "_page" else as_text(rec.get(f.name)) for f in fields)
+
+
+def as_text(value) -> str | None:
+    """A JSON value as text: booleans in lower case, nested values as JSON."""
+    if value is None or isinstance(value, str):
+        return value
+    return json.dumps(value, ensure_ascii=False)
 
 
 class PagedJsonDataSource(DataSource):
@@ -112,8 +102,7 @@ class PagedJsonDataSource(DataSource):
         return "paged_json"
 
     def schema(self):
-        ddl = self.options.get("schema", "id long")
-        return ddl if "_page" in ddl else f"{ddl}, _page int"
+        return ", ".join(f"{c} string" for c in self.options.get("columns", "id").split(",")) + ", _page int"
 
     def reader(self, schema: StructType):
         return PagedJsonReader(schema, self.options)

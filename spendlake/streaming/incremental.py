@@ -44,7 +44,8 @@ def merge_into_buckets(batch: DataFrame, path: str, keys: Sequence[str], order:
     else:                                   # first batch: no table yet
         both = b
     merged = dedupe_latest(both, list(keys) + [BUCKET], order, tie=tie).checkpoint(eager=True)
-    (merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # a rebalance brings a bucket's rows together and splits a bucket that is large
+    (merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(path))
     return len(touched)
 

@@ -93,3 +93,46 @@ def test_assign_keys_null_business_key_first(spark):
     df = spark.createDataFrame([("b", None), ("a", "x"), ("a", None)], "m string, t string")
     out = sorted((r["sk"], r["m"], r["t"]) for r in assign_keys(df, "sk", ["m", "t"]).collect())
     assert out == [(1, "a", None), (2, "a", "x"), (3, "b", None)]
+
+
+def test_merges_refuse_repeated_source_keys(spark):
+    t = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    twice = spark.createDataFrame([(1, 2.0), (1, 3.0)], "k int, v double")
+    with pytest.raises(ValueError, match="duplicate"):
+        update_by_key(t, twice, ["k"], ["v"])
+    history = spark.createDataFrame([("A", "n", dt.date(2020, 1, 1), None, True, 1)],
+                                    "cpf string, nome string, data_inicio date, data_fim date, versao_atual boolean, sk long")
+    with pytest.raises(ValueError, match="duplicate"):
+        scd2_merge(history, spark.createDataFrame([("A", "x"), ("A", "y")], "cpf string, nome string"), "cpf", ["nome"], [], dt.date(2021, 1, 1))
+
+
+def test_insert_absent_takes_the_smallest_of_repeated_rows(spark):
+    t = spark.createDataFrame([], "k int, v string, sk long")
+    s = spark.createDataFrame([(1, "b"), (1, "a"), (2, "z"), (1, "c")], "k int, v string")
+    for order in (1, 4):
+        got = sorted(insert_absent(t, s.repartition(order), ["k"], sk="sk").collect())
+        assert [tuple(r) for r in got] == [(1, "a", 1), (2, "z", 2)]
+
+
+def test_second_gold_load_keeps_keys_and_history(spark, tmpdir_path):
+    """Customers renamed, a fifth of the contracts absent: nothing is lost, keys stay, versions close."""
+    from spendlake.plans import domain
+    from spendlake.plans.load import load_gold
+    sf = "/root/testdata/sf0.001"
+    silver = {"contratos": domain.contracts(spark, sf), "empenhos": domain.commitments(spark, sf),
+              "ordem_bancaria_orcamentaria": domain.payments(spark, sf), "unidade_gestora": domain.units(spark, sf)}
+    silver = {n: df.checkpoint() for n, df in silver.items()}
+    one = {n: df.checkpoint() for n, df in load_gold(spark, silver, tmpdir_path, "2026-01-01").items()}
+    con = silver["contratos"].filter("id % 5 != 0").withColumn("descricao_nome_credor", F.concat("descricao_nome_credor", F.lit(" II")))
+    two = load_gold(spark, silver | {"contratos": con}, tmpdir_path, "2026-07-23")
+    for name, sk, key in (("fato_contrato", "sk_contrato", "id_contrato_origem"), ("fato_empenho", "sk_empenho", "id_empenho_origem"),
+                          ("dim_orgao", "sk_orgao", "codigo_orgao"), ("dim_tempo", "sk_tempo", "data")):
+        before = {r[key]: r[sk] for r in one[name].select(key, sk).collect()}
+        after = {r[key]: r[sk] for r in two[name].select(key, sk).collect()}
+        assert after == before
+    old, cred = one["dim_credor"].count(), two["dim_credor"]
+    renamed = con.select("cpf_cnpj_financiador").distinct().count()
+    assert cred.filter("NOT versao_atual").count() == renamed == cred.filter("NOT versao_atual AND data_fim = '2026-07-23'").count()
+    assert cred.count() == old + renamed and cred.filter("versao_atual").groupBy("cpf_cnpj").count().filter("count > 1").isEmpty()
+    current = {r["sk_credor"] for r in cred.filter("versao_atual").collect()}
+    assert {r["sk_credor"] for r in two["fato_contrato"].filter("id_contrato_origem % 5 != 0").collect()} <= current

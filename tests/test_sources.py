@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from spendlake.sources.files import extract_incremental, page_checks, read_pages, read_runs
-from spendlake.sources.paged import register, to_api_date
+from spendlake.sources.paged import PagedJsonReader, file_fetcher, register, to_api_date
 from spendlake.sources.tables import VersionedTable, read_partitioned, write_pages, write_partitioned, write_run
 from spendlake.streaming.incremental import read_bucketed, run_incremental
 
@@ -24,26 +24,50 @@ def test_api_date():
     assert to_api_date("2026-01-05") == "05/01/2026"
 
 
+def logging_fetcher(options, page):
+    """The file fetcher, with one file left for every request."""
+    with open(os.path.join(options["log"], f"{page}-{os.getpid()}-{os.urandom(4).hex()}"), "w"):
+        pass
+    return file_fetcher(options, page)
+
+
 def test_paged_source_reads_all_pages_page_one_once(spark, tmpdir_path):
     register(spark)
-    _pages(tmpdir_path, 3)
-    log = os.path.join(tmpdir_path, "fetch.log")
-    df = (spark.read.format("paged_json").option("path", tmpdir_path).option("schema", "id long")
-          .option("fetch_log", log).load())
+    _pages(os.path.join(tmpdir_path, "pages"), 3)
+    log = os.path.join(tmpdir_path, "log")
+    os.makedirs(log)
+    df = (spark.read.format("paged_json").option("path", os.path.join(tmpdir_path, "pages")).option("columns", "id")
+          .option("fetcher", "tests.test_sources:logging_fetcher").option("log", log).load())
     rows = df.collect()
-    assert sorted(r["id"] for r in rows) == list(range(6))
-    fetched = [int(x) for x in open(log).read().split()]
-    assert fetched.count(1) == 1 and sorted(fetched) == [1, 2, 3]
+    assert sorted(int(r["id"]) for r in rows) == list(range(6))
+    fetched = sorted(int(x.split("-")[0]) for x in os.listdir(log))
+    assert fetched == [1, 2, 3]
 
 
 def test_paged_source_max_pages(spark, tmpdir_path):
     register(spark)
     _pages(tmpdir_path, 10)
-    df = (spark.read.format("paged_json").option("path", tmpdir_path).option("schema", "id long")
+    df = (spark.read.format("paged_json").option("path", tmpdir_path).option("columns", "id")
           .option("max_pages", "2").load())
     assert df.select(F.max("_page")).first()[0] == 2 and df.count() == 4
 
 
+def test_paged_source_delivers_text_for_the_tolerant_functions(spark, tmpdir_path):
+    from spendlake.functions import parse_bool, parse_num
+    register(spark)
+    records = [{"id": 1, "ok": "false", "v": "junk"}, {"id": 2, "ok": False, "v": 1.5}, {"id": 3, "ok": None}, {"id": 4, "ok": True, "v": "7"}]
+    with open(os.path.join(tmpdir_path, "page_00001.json"), "w", encoding="utf-8") as fh:
+        json.dump({"sumary": {"total_pages": 1}, "data": records}, fh)
+    df = spark.read.format("paged_json").option("path", tmpdir_path).option("columns", "id,ok,v").load()
+    got = df.select(F.col("id").cast("int"), parse_bool("ok").alias("ok"), parse_num("v").alias("v")).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, False, 0.0), (2, False, 1.5), (3, False, 0.0), (4, True, 7.0)]
+
+
+def test_paged_source_request_parameters():
+    reader = PagedJsonReader(None, {"start": "2026-01-05", "end": "2026-02-06"})
+    assert json.loads(reader.options["params"]) == {"data_assinatura_inicio": "05/01/2026", "data_assinatura_fim": "06/02/2026"}
+
+
 def test_extract_incremental_inclusive(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 1, 1),), (dt.datetime(2026, 1, 31),),
                                 (dt.datetime(2026, 1, 31, 8),)], "d timestamp_ntz")
