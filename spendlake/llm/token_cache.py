@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm import tokens
-from spendlake.llm.frames import ready
+from spendlake.llm.frames import ready, stored
 from spendlake.session import path_exists
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
@@ -75,6 +75,7 @@ def token_counts(docs: DataFrame, cache: str, path: str, doc_id: str = "doc_id",
     digest = F.unhex(F.sha2(whole, 256))
     add_misses(docs.select(digest.alias("digest"), whole.alias("text")), cache, path)
     keyed = docs.select(F.col(doc_id), digest.alias("digest"), F.octet_length(whole).cast("long").alias("n_bytes"))
-    counts = read_cache(spark, cache, tokens.version(path))
+    # one written row a digest: the join then has shuffles of its own, which are split where a digest is hot
+    counts = stored(read_cache(spark, cache, tokens.version(path)), "token-counts")
     out = keyed.join(counts, "digest")
     return out.select(doc_id, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
