@@ -10,8 +10,8 @@ classes are joined:
   one link to a member of either size stands for all the links within a key.
 * Heavy sets scan inverted lists. Shingles are ordered by how common they are (counted over all
   documents in a hashed table of fixed size; the order only decides how long lists get, never
-  the result), and by the prefix principle two linked sets share one of their first few. What
-  meets in a list is verified on the whole sets.
+  the result), and by the prefix principle two linked sets share at least ``MEETINGS`` of their
+  first few. What meets that often is verified on the whole sets.
 * x is the size at which enumerating costs more rows than lists would, over the sizes present.
 
 A list of copies is not turned into pairs: each list is first verified against one hub, and
@@ -32,7 +32,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlake.llm import sketch
@@ -43,6 +43,7 @@ from spendlake.llm.frames import ready, stored
 SHINGLE, PERCENT = 5, 80
 MAX_LIGHT = 24          # sizes up to this may be enumerated, if that is cheaper
 LIST_ROW_COST = 4       # a list entry is scanned and may be verified; a subset row is only met
+MEETINGS = 4            # shingles that two sets must share within their prefixes (or all, if they need fewer)
 HOT_LIST = 20_000       # entries of a list that one part should hold
 
 
@@ -67,7 +68,7 @@ def boundary(sizes: dict[int, int], percent: int = PERCENT) -> int:
     """The light size limit with the fewest weighted rows; ``sizes``: classes by size up to MAX_LIGHT."""
     def cost(x: int) -> int:
         light = sum(k * sum(comb(n, c) for _, _, c in subset_keys(n, percent)) for n, k in sizes.items() if n <= x)
-        lists = sum(k * (n - -(-percent * n // 100) + 1) for n, k in sizes.items() if 100 * n > percent * x)
+        lists = sum(k * min(n, n - -(-percent * n // 100) + MEETINGS) for n, k in sizes.items() if 100 * n > percent * x)
         return light + LIST_ROW_COST * lists
     return min(range(MAX_LIGHT + 1), key=lambda x: (cost(x), x))
 
@@ -119,8 +120,8 @@ def _entries(levels, light: int, percent: int):
                 keys = np.array([xxhash.xxh3_64_intdigest(r.tobytes(), seed=a * 1000 + b) for r in raw], np.uint64)
                 out.append((keys, np.full(len(keys), -1), np.full(len(keys), a == b)))
         if 100 * n > percent * light:
-            index = n - need(n, n, percent) + 1
-            probe = n - -(-percent * n // 100) + 1 if n > light else index
+            index = min(n, n - need(n, n, percent) + MEETINGS)
+            probe = min(n, n - -(-percent * n // 100) + MEETINGS) if n > light else index
             rarity = table[sketch.place(s)]
             order = np.lexsort((s, rarity))[:probe]
             parts = 1 + (sketch.count_at(rarity[order].astype(float)) // HOT_LIST).astype(np.int64)
@@ -211,24 +212,26 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     small = members.filter((F.col("n") > 0) & (F.col("n") <= 100 * MAX_LIGHT // percent)).select("cid", "n").distinct()
     light = boundary({r["n"]: r["k"] for r in small.groupBy("n").agg(F.count("*").alias("k")).collect()}, percent)
 
-    # lists and subset keys with at least two classes
-    entries = texts.mapInArrow(_entries(spark.sparkContext.broadcast(levels), light, percent), ENTRY).repartition("key", "part")
-    whole = entries.groupBy("key", "part").agg(F.min("cid").alias("hub"), F.max("cid").alias("top"), F.max("parts").alias("most"),
-                                               F.min(F.struct("n", "cid")).alias("lo"), F.max(F.struct("n", "cid")).alias("hi"))
-    whole = whole.filter("hub != top or most > 1").select("key", "part", "hub", "lo", "hi")
-    met = entries.join(whole.hint("merge"), ["key", "part"]).dropDuplicates(["key", "part", "cid"])
-    met = stored(met.select("key", "part", "parts", "cid", "n", "first", "hub", "lo", "hi"), "lists")
+    # entries of lists and subset keys with at least two classes
+    entries = texts.mapInArrow(_entries(spark.sparkContext.broadcast(levels), light, percent), ENTRY)
+    together = Window.partitionBy("key", "part")
+    met = entries.withColumns({"hub": F.min("cid").over(together), "top": F.max("cid").over(together)})
+    met = stored(met.filter("hub != top or parts > 1").drop("top").dropDuplicates(["key", "part", "cid"]), "lists")
 
     subsets = met.filter("part = -1")
+    ends = subsets.groupBy("key").agg(F.min(F.struct("n", "cid")).alias("lo"), F.max(F.struct("n", "cid")).alias("hi"))
+    subsets = subsets.join(ends, "key")
     same = subsets.filter("first and cid != hub").select(*_pair("cid", "hub"))
     other = F.when(F.col("n") == F.col("lo.n"), F.col("hi.cid")).otherwise(F.col("lo.cid"))
     unlike = subsets.filter("not first and lo.n < hi.n").withColumn("o", other).select(*_pair("cid", "o"))
     exact = same.unionByName(unlike).distinct()
 
     lists = met.filter("part >= 0").select("key", "part", "parts", "cid", "n", "first", "hub")
-    to_hub = lists.filter("cid != hub").select(*_pair("cid", "hub"))
+    to_hub = lists.filter("cid != hub").select(*_pair("cid", "hub"), "n")
     hubs = lists.filter("parts > 1").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select(F.array_min("hubs").alias("m"), F.explode("hubs").alias("hub"))
-    stars = to_hub.unionByName(hubs.filter("m != hub").select(*_pair("m", "hub"))).distinct()
+    hubs = hubs.filter("m != hub").select(*_pair("m", "hub"), F.lit(MEETINGS).alias("n"))
+    stars = to_hub.unionByName(hubs).groupBy("u", "v").agg(F.count("*").alias("k"), F.min("n").alias("n"))
+    stars = stored(stars.filter(F.col("k") >= F.least(F.lit(MEETINGS), "n")).select("u", "v"), "stars")
     links = exact.unionByName(verified(stars, texts, percent))
     joined = components(links)
 
@@ -244,7 +247,9 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     cross = cross.filter(F.when(F.col("n") < F.col("n2"), F.col("first") & (F.col("n") * 100 >= F.col("n2") * percent))
                          .when(F.col("n") > F.col("n2"), F.col("first2") & (F.col("n2") * 100 >= F.col("n") * percent))
                          .otherwise(F.col("first") | F.col("first2")))
-    cross = cross.select(*_pair("cid", "cid2")).distinct().join(stars, ["u", "v"], "left_anti")
+    least = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent))
+    cross = cross.groupBy(*_pair("cid", "cid2")).agg(F.count("*").alias("k"), F.min(least).alias("least"))
+    cross = cross.filter(F.col("k") >= F.least(F.lit(MEETINGS), "least")).select("u", "v").join(stars, ["u", "v"], "left_anti")
     joined = components(joined.unionByName(verified(cross, texts, percent)))
 
     labelled = members.filter("n > 0").join(joined.select(F.col("u").alias("cid"), F.col("v").alias("c")), "cid", "left").select("doc_id", "n", F.coalesce("c", "cid").alias("comp"))
