@@ -14,9 +14,12 @@ classes are joined:
   first few. What meets that often is verified on the whole sets.
 * x is the size at which enumerating costs more rows than lists would, over the sizes present.
 
-A list of copies is not turned into pairs: each list is first verified against one hub, and
-after the components of those links are known, only entries of different components that still
-meet are compared. Lists of very common shingles are salted and have a hub for each part.
+A list of copies is not turned into pairs: each list is first verified against one hub. Then, for
+a few rounds, entries of long lists that are in different components are verified against their
+neighbours in a hashed order, another one in every list, which joins a group whose members are
+alike without all being like one hub. Only entries of different components that still meet are
+then compared one by one, which makes the result exact whatever the rounds have found. Lists of
+very common shingles are salted and have a hub for each part.
 
 Defined cases: null, empty and wordless texts have an empty set, link with nothing and are their
 own component; fewer words than five make one shingle; several rows with one id are handled
@@ -44,6 +47,8 @@ SHINGLE, PERCENT = 5, 80
 MAX_LIGHT = 24          # sizes up to this may be enumerated, if that is cheaper
 LIST_ROW_COST = 4       # a list entry is scanned and may be verified; a subset row is only met
 MEETINGS = 4            # shingles that two sets must share within their prefixes (or all, if they need fewer)
+LONG_LIST = 16          # entries from which a list is walked in rounds
+ROUNDS = 4
 HOT_LIST = 20_000       # entries of a list that one part should hold
 
 
@@ -227,6 +232,9 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     exact = same.unionByName(unlike).distinct()
 
     lists = met.filter("part >= 0").select("key", "part", "parts", "cid", "n", "first", "hub")
+    often = lists.groupBy("cid").agg(F.count("*").alias("k"), F.max("n").alias("n"))
+    often = often.filter(F.col("k") >= F.least(F.lit(MEETINGS), F.ceil(F.col("n") * percent / 100))).select("cid")
+    lists = stored(lists.join(often, "cid", "left_semi"), "candidates")
     to_hub = lists.filter("cid != hub").select(*_pair("cid", "hub"), "n")
     hubs = lists.filter("parts > 1").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select(F.array_min("hubs").alias("m"), F.explode("hubs").alias("hub"))
     hubs = hubs.filter("m != hub").select(*_pair("m", "hub"), F.lit(MEETINGS).alias("n"))
@@ -235,8 +243,26 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links = exact.unionByName(verified(stars, texts, percent))
     joined = components(links)
 
+    def named_lists() -> DataFrame:
+        names = joined.select(F.col("u").alias("cid"), F.col("v").alias("c"))
+        return lists.join(names, "cid", "left").withColumn("comp", F.coalesce("c", "cid")).drop("c", "hub")
+
+    sizes = lists.groupBy("key", "part").agg(F.count("*").alias("entries")).filter(F.col("entries") >= LONG_LIST)
+    for r in range(ROUNDS):
+        walk = named_lists().join(sizes, ["key", "part"])
+        if r == 0:      # most entries are still alone: a quarter of the lists has partners enough
+            walk = walk.filter(F.pmod(F.xxhash64("key"), F.lit(4)) == 0)
+        order = Window.partitionBy("key", "part").orderBy(F.floor(F.log("n") * 4), F.xxhash64("cid", "key", F.lit(r)), "cid")
+        walk = walk.withColumn("next", F.lead(F.struct("cid", "n", "comp")).over(order))
+        alike = (F.col("n") * 100 >= F.col("next.n") * percent) & (F.col("next.n") * 100 >= F.col("n") * percent)
+        pairs = stored(walk.filter((F.col("comp") != F.col("next.comp")) & alike).select(
+            F.least("cid", "next.cid").alias("u"), F.greatest("cid", "next.cid").alias("v")).distinct(), "walked")
+        if pairs.isEmpty():
+            break
+        joined = components(joined.unionByName(verified(pairs, texts, percent)))
+
     # what still meets across components
-    named = lists.join(joined.select(F.col("u").alias("cid"), F.col("v").alias("c")), "cid", "left").select("key", "cid", "n", "first", F.coalesce("c", "cid").alias("comp"))
+    named = named_lists().select("key", "cid", "n", "first", "comp")
     mixed = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a != b").select("key")
     open_ = stored(named.join(mixed, "key", "left_semi"), "open")
     span = open_.groupBy("key", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
