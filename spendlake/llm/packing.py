@@ -128,8 +128,10 @@ def pack_round(items: DataFrame, capacity: int, seed: int) -> DataFrame:
     sizes = dealt.groupBy("shard").agg(F.array_sort(F.collect_list("length")).cast("array<int>").alias("sizes"))
     state = sizes.select("shard", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"), F.lit(0).alias("rank"), "sizes",
                          F.lit(None).cast("array<array<int>>").alias("bins"))
+    # islands are few rows but much work: they are not left to be coalesced by their bytes
+    tasks = min(shards * ISLANDS, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for epoch in range(EPOCHS):
-        state = state.groupBy("shard", "island").applyInPandas(_epoch(capacity, epoch), SOLUTION)
+        state = state.repartition(tasks, "shard", "island").groupBy("shard", "island").applyInPandas(_epoch(capacity, epoch), SOLUTION)
         if epoch + 1 < EPOCHS:
             state = _migrated(stored(state, "islands"))
     order = F.struct(F.size("bins"), "island", "rank")
