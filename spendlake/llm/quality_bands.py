@@ -38,10 +38,10 @@ class Band(NamedTuple):
 
 #: Whole texts. Prose of any length lies well inside: a short text has little to refer back to,
 #: a long one approaches the entropy of its language.
-WHOLE_BANDS = (Band(0, 0.35, 1.60), Band(128, 0.35, 1.00), Band(512, 0.28, 0.85), Band(2048, 0.23, 0.78),
-               Band(16384, 0.20, 0.75))
+WHOLE_BANDS = (Band(0, 0.35, 1.60), Band(128, 0.35, 1.00), Band(512, 0.28, 0.85), Band(2048, 0.23, 0.72),
+               Band(16384, 0.20, 0.70))
 #: Chunks of CHUNK bytes (the last may be shorter); a share of up to MAX_BAD_CHUNKS may lie outside.
-CHUNK_BANDS = (Band(0, 0.0, 9.0), Band(512, 0.28, 0.90), Band(2048, 0.22, 0.80))
+CHUNK_BANDS = (Band(0, 0.0, 9.0), Band(512, 0.28, 0.90), Band(2048, 0.22, 0.75))
 MAX_BAD_CHUNKS = 0.34
 
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
