@@ -288,8 +288,11 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without near-copies: of every component the document with the smallest id stays.
 
-    Rows that repeat a document (id and text) become one; rows without an id can't be named and stay."""
-    found = similar_components(docs, doc_id, text)
-    stay = found.filter(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).join(stay, doc_id, "left_semi").dropDuplicates([doc_id, text])
-    return named.unionByName(docs.filter(F.col(doc_id).isNull())).select(*docs.columns)
+    What goes is joined by id, so texts are shuffled only if that is much. Rows that repeat a
+    document (id and text) become one; rows without an id can't be named and stay."""
+    found = stored(similar_components(docs, doc_id, text), "found")
+    stays = F.col(doc_id) == F.col("component_id")
+    repeated = found.groupBy(doc_id).count().filter("count > 1").select(doc_id)
+    once = docs.join(found.filter(~stays).select(doc_id).unionByName(repeated).distinct(), doc_id, "left_anti")
+    several = docs.join(repeated, doc_id, "left_semi").join(found.filter(stays).select(doc_id).distinct(), doc_id, "left_semi")
+    return once.select(*docs.columns).unionByName(several.dropDuplicates([doc_id, text]).select(*docs.columns))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE = 4 << 20     # bytes of text handled at once
+SLICE = 1 << 20     # bytes of text handled at once
 BLOCK = 1 << 18     # bytes hashed at once
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
