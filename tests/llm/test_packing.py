@@ -62,7 +62,8 @@ def test_several_shards_and_rounds_stay_near_the_bound(spark, monkeypatch):
         fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
         count += 1
     assert count == 700 and max(fill.values()) <= 1024 and sum(fill.values()) == sum(sizes)
-    assert len(fill) <= 1.03 * sum(sizes) / 1024 + 1
+    # shards of 60 pieces, half of them longer than half a sequence, leave more room than production shards
+    assert len(fill) <= 1.06 * sum(sizes) / 1024 + 1
 
 
 def whole(bins, n):
