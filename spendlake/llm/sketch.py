@@ -58,11 +58,11 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([level(x).tobytes() for x in total.values()], pa.binary())], names=["segment", "counts"])
 
 
-def summed(parts: DataFrame, size: int = 1 << BITS) -> np.ndarray:
-    """The levels of the whole table from the tasks' rows."""
+def summed(parts: DataFrame, size: int = 1 << BITS, tasks: int | None = None) -> np.ndarray:
+    """The levels of the whole table from the tasks' rows, by a task a segment or by ``tasks``."""
     width = min(SEGMENT, size)
     out = np.zeros(size, np.uint8)
-    for s, raw in parts.repartition(size // width, F.col("segment")).mapInArrow(_sum, SCHEMA).collect():
+    for s, raw in parts.repartition(tasks or size // width, F.col("segment")).mapInArrow(_sum, SCHEMA).collect():
         out[s * width:(s + 1) * width] = np.frombuffer(raw, np.uint8)
     return out
 
