@@ -72,3 +72,21 @@ def test_no_python_in_the_plan(spark):
     from tests.llm.helpers import SF
     plan = QUERIES["op4_chat_format"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_texts_longer_than_the_json_parser_reads_are_kept_or_reported(spark):
+    n = C.JSON_CHARS + 1
+    rows = spark.range(2).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.when(F.col("id") == 0, F.repeat(F.lit("z"), n)).otherwise("short").alias("text"))
+    got, = C.chat_digests(C.format_chat(C.records_of_turns(rows), keep=["conv_id"])).collect()
+    assert (got["n_turns"], got["loss_chars"]) == (2, 5)
+    assert got["turns_sha256"] == hashlib.sha256(b"user\n" + b"z" * n + b"\nassistant\nshort\n").hexdigest()
+    wrap = lambda x: F.concat(F.lit('{"prompt":"'), x, F.lit('","response":"b"}'))
+    json_texts = spark.range(3).select("id", F.when(F.col("id") == 0, wrap(F.repeat(F.lit("z"), n))).when(F.col("id") == 1, wrap(F.lit("a"))).otherwise("no json").alias("record"))
+    assert {r["id"]: r["status"] for r in C.format_chat(json_texts).select("id", "status").collect()} == {0: "too large", 1: "ok", 2: "no layout"}
+
+
+def test_fingerprints_of_types_are_those_of_samples(spark):
+    from pyspark.sql import types as T
+    for x in C.LAYOUTS:
+        assert spark.range(1).select(C.fingerprint(F.lit(x.sample))).first()[0] == C.typed_fingerprint(T._parse_datatype_string(x.schema))
