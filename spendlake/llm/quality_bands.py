@@ -36,13 +36,28 @@ class Band(NamedTuple):
     high: float
 
 
+#: Upper limits by size: just above the highest ratio of clean texts cut to that size, in the four languages of the
+#: tables, and below the ratio of random base64 at the next size. Under 128 bytes the two can't be told apart.
+HIGH = ((0, 1.60), (128, 1.00), (144, 0.97), (160, 0.95), (192, 0.91), (256, 0.83), (384, 0.78), (512, 0.73), (768, 0.69),
+        (1024, 0.65), (1536, 0.62), (16384, 0.60))
+#: Lower limits by size, of whole texts and of chunks.
+WHOLE_LOW = ((0, 0.35), (512, 0.28), (2048, 0.23), (16384, 0.20))
+CHUNK_LOW = ((0, 0.0), (512, 0.28), (2048, 0.22))
+
+
+def bands(low: tuple, high: tuple) -> tuple[Band, ...]:
+    """A band for each size at which one of the limits changes."""
+    at = lambda limits, size: [x for least, x in limits if least <= size][-1]
+    return tuple(Band(size, at(low, size), at(high, size)) for size in sorted({x[0] for x in low + high}))
+
+
 #: Whole texts. Prose of any length lies well inside: a short text has little to refer back to,
 #: a long one approaches the entropy of its language.
-WHOLE_BANDS = (Band(0, 0.35, 1.60), Band(128, 0.35, 1.00), Band(512, 0.28, 0.85), Band(2048, 0.23, 0.72),
-               Band(16384, 0.20, 0.70))
+WHOLE_BANDS = bands(WHOLE_LOW, HIGH)
 #: Chunks of CHUNK bytes (the last may be shorter); a share of up to MAX_BAD_CHUNKS may lie outside.
-CHUNK_BANDS = (Band(0, 0.0, 9.0), Band(512, 0.28, 0.90), Band(2048, 0.22, 0.75))
-MAX_BAD_CHUNKS = 0.34
+CHUNK_BANDS = bands(CHUNK_LOW, ((0, 9.0), *HIGH[1:]))
+#: A share of a text's bytes; the last chunk counts by its size.
+MAX_BAD_CHUNKS = 0.10
 
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "base_failed boolean, whole_ratio double, n_chunks long, n_bad_chunks long, band string, kept boolean")
@@ -78,7 +93,7 @@ def judge(raw: bytes, squeeze) -> tuple[float | None, int, int, str]:
     found = [outside(whole if len(chunks) == 1 else squeeze(c) / len(c), len(c), CHUNK_BANDS) for c in chunks]
     bad = sum(map(bool, found))
     reason = outside(whole, len(raw), WHOLE_BANDS)
-    if not reason and bad > MAX_BAD_CHUNKS * len(chunks):
+    if not reason and sum(len(c) for c, x in zip(chunks, found) if x) > MAX_BAD_CHUNKS * len(raw):
         reason = "chunks " + max(("low", "high"), key=found.count)
     return whole, len(chunks), bad, reason
 

@@ -52,3 +52,15 @@ def test_repetition_and_noise_are_rejected_and_prose_stays(spark):
     loop = " ".join(f"{a} {b}" for a in "alpha beta gamma delta".split() for b in ("one", "two") for _ in range(100))
     kept = dict(rows(Q.quality_rules(docs(spark, [noise, loop, prose(60, 3), prose(600, 4), prose(9000, 5)]), keep=["doc_id"]), "doc_id", "kept"))
     assert kept == {0: False, 1: False, 2: True, 3: True, 4: True}
+
+
+def test_noise_of_any_length_and_mixed_documents_are_rejected(spark):
+    rng = random.Random(2)
+    letters = string.ascii_letters + string.digits + "+/"
+    noise = lambda n, width=20: " ".join("".join(rng.choice(letters) for _ in range(width)) for _ in range(n // width + 1))[:n]
+    clean = lambda n, seed: prose(n, seed)[:n]
+    bad = [noise(300, 12)] + [noise(n) for n in (600, 1200, 2000, 2040)]
+    bad += [clean(8192, 3) + noise(4096), clean(6144, 4) + noise(4096) + clean(2048, 5), clean(4096, 6) + noise(480)]
+    good = [clean(n, 7 + n) for n in (150, 300, 600, 1200, 2000, 4500, 8600, 12_288)]
+    kept = dict(rows(Q.quality_rules(docs(spark, bad + good), keep=["doc_id"]), "doc_id", "kept"))
+    assert [kept[i] for i in range(len(bad + good))] == [False] * len(bad) + [True] * len(good)
