@@ -7,8 +7,8 @@ text is encoded in blocks with every dictionary; the language with the smallest
 a text whose winner leads by little is rejected. Matches may be as short as four bytes, because
 most of what a word shares with a dictionary is short.
 
-The sample is the only thing fitted: about ``SAMPLE_TEXTS`` texts a language, chosen by a hash
-over all labelled rows, ``SNIPPET`` characters each. Labels may have at most ``MAX_LANGUAGES``
+The sample is the only thing fitted: at most ``SAMPLE_TEXTS`` unlike texts a language, chosen by a
+hash over all labelled rows, ``SNIPPET`` characters each. Labels may have at most ``MAX_LANGUAGES``
 values, which bounds what is broadcast.
 
 Defined cases: null text or one without a letter is ``und`` with score 0 and is rejected; rows
@@ -20,7 +20,7 @@ from __future__ import annotations
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlake.llm.frames import crc32_mod, map_batches, ready, with_columns
@@ -35,6 +35,17 @@ MIN_MARGIN = 0.01   # the runner-up must be this much larger, as a share of its
 UNKNOWN = "und"
 
 
+def sampled(rows: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """(lang, s, h) of at most SAMPLE_TEXTS unlike texts a language, by their hash ``h``; ties go by the text's digest.
+
+    Copies are dropped and each task keeps its own first ones, before the rows of a language meet."""
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE_TEXTS / n))])
+    drawn = rows.filter(F.pmod("h", F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
+    unlike = drawn.select("lang", F.substring("text", 1, SNIPPET).alias("s"), "h").distinct()
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1_000_003)), F.xxhash64("s"), "s", "h")
+    return unlike.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= SAMPLE_TEXTS).drop("nth")
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict[str, bytes]:
     """Dictionary content per language from a bounded sample of ``labelled``."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
@@ -44,10 +55,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
         raise ValueError(f"more than {MAX_LANGUAGES} languages among the labels")
     if not counts:
         return {}
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE_TEXTS / n))])
-    drawn = rows.filter(F.pmod("h", F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
     snippets: dict[str, dict[str, int]] = {k: {} for k in counts}
-    for r in drawn.select("lang", F.substring("text", 1, SNIPPET).alias("s"), "h").collect():
+    for r in sorted(sampled(rows, counts).collect(), key=lambda r: (r["h"], r["s"])):
         snippets[r["lang"]].setdefault(r["s"].lower(), r["h"])
     out = {}
     for name, found in snippets.items():

@@ -53,3 +53,14 @@ def test_no_prediction_reads_the_label(spark):
     a = sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in L.identify(df, content, keep=["doc_id"]).collect())
     b = sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in L.identify(df.select("doc_id", "text"), content, keep=["doc_id"]).collect())
     assert a == b
+
+
+def test_one_id_with_most_rows_does_not_enlarge_the_sample(spark, monkeypatch):
+    """Unlike texts of one length and id share a hash, so they are drawn together."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(L, "SAMPLE_TEXTS", 20)
+    rows = spark.range(600).select(F.lit("aa").alias("lang"), F.format_string("text %05d", "id").alias("text"), F.lit(7).cast("long").alias("h"))
+    rows = rows.unionByName(rows)
+    found = L.sampled(rows, {"aa": 1200}).collect()
+    assert len(found) == 20 == len({r["s"] for r in found})
+    assert found and L.sampled(rows.repartition(7), {"aa": 1200}).exceptAll(L.sampled(rows, {"aa": 1200})).isEmpty()
