@@ -91,4 +91,26 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
-ORACLE = {"op3_jaccard_join": OP3, "op4_chat_format": OP4, "op6_url_rules": OP6, "op9_warc_revisits": OP9, "op10_decontaminate": OP10}
+OP12 = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM w, unnest(range(1, 5)) s(n), unnest(range(1, len(w) - n + 2)) t(i)),
+f AS (SELECT lang, n, phrase, count(*)::BIGINT AS f FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE n = 1 GROUP BY 1),
+c AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND f >= 30),
+cut AS (
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM c, unnest(range(1, c.n)) t(k) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:c.n], ' ')),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM cut),
+longer AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most FROM c, unnest(range(2, n)) t(m), unnest(range(1, n - m + 2)) u(i) GROUP BY 1, 2)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT x.lang, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, x.phrase) AS rank, x.phrase, a, l, r, score
+  FROM weakest x LEFT JOIN longer y ON y.lang = x.lang AND y.phrase = x.phrase
+  WHERE o = 1 AND (most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)) JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op3_jaccard_join": OP3, "op4_chat_format": OP4, "op6_url_rules": OP6, "op9_warc_revisits": OP9, "op10_decontaminate": OP10, "op12_collocations": OP12}

@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the whole tables, with production parameters."""
+"""The queries of the operators over the whole tables, with production parameters."""
 from __future__ import annotations
 
 from collections.abc import Callable
@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import (chat_format, context_mixing, decontaminate, jaccard_join, language, packing, quality_bands, token_cache, tokens, url_rules, warc_revisit)
+from spendlake.llm import (chat_format, context_mixing, decontaminate, jaccard_join, language, packing, phrases, quality_bands, token_cache, tokens, url_rules, warc_revisit)
 from spendlake.llm.frames import table
 from spendlake.session import scratch_path
 
@@ -78,3 +78,8 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
