@@ -91,6 +91,35 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
+# crc32 of a decimal number: eight shifts a byte, 3988292384 is the reversed polynomial
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda e, f: CASE WHEN e % 2 = 1 THEN xor(e // 2, 3988292384::BIGINT) ELSE e // 2 END)))"""
+
+OP11 = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+b AS (SELECT DISTINCT c, c - c % 100 AS base, ({_CRC.format("c")}) % 6 AS h FROM t),
+s AS (
+  SELECT b.c, 0 AS own, t.place, role, text FROM b JOIN t ON t.c = base AND place < h
+  UNION ALL SELECT b.c, 1, t.place, role, text FROM b JOIN t ON t.c = b.c AND place >= h),
+r AS (
+  SELECT c, coalesce(list(sha256(length(role) || ':' || role || ':' || text) ORDER BY own, place) FILTER (own IS NOT NULL), []) AS k,
+    list(length(text) ORDER BY own, place) AS z FROM b LEFT JOIN s USING (c) GROUP BY c),
+p AS (SELECT c, d, k[1:d] AS prefix, CASE WHEN d > 0 THEN z[d] ELSE 0 END AS size, len(k) AS l FROM r, unnest(range(0, len(k) + 1)) u(d)),
+n AS (
+  SELECT d, prefix, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (l = d), '')) AS ends FROM p GROUP BY d, prefix),
+f AS (SELECT x.*, y.c AS parent FROM n x LEFT JOIN n y ON x.d = y.d + 1 AND x.prefix[1:y.d] = y.prefix),
+g AS (SELECT x.d, x.prefix, count(y.d) AS n_children FROM n x LEFT JOIN n y ON y.d = x.d + 1 AND y.prefix[1:x.d] = x.prefix GROUP BY ALL),
+u AS (
+  SELECT x.d, x.prefix, sum((n_children = 0)::INTEGER)::BIGINT AS n_leaves, sum(y.saved)::BIGINT AS saved_tokens
+  FROM n x JOIN n y ON y.d >= x.d AND y.prefix[1:x.d] = x.prefix JOIN g ON g.d = y.d AND g.prefix = y.prefix GROUP BY ALL)
+SELECT f.c AS conv_id, f.d::BIGINT AS depth, f.parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends AS ends_sha256
+FROM f JOIN g USING (d, prefix) JOIN u USING (d, prefix)
+"""
+
 OP12 = rf"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
@@ -113,4 +142,15 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
   WHERE o = 1 AND (most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)) JOIN total USING (lang) WHERE rank <= 2000
 """
 
-ORACLE = {"op3_jaccard_join": OP3, "op4_chat_format": OP4, "op6_url_rules": OP6, "op9_warc_revisits": OP9, "op10_decontaminate": OP10, "op12_collocations": OP12}
+OP13 = """
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+pair AS (
+  SELECT q.k, q.vec_id AS query_id, c.vec_id, c.k AS ck, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda x: coalesce(x[1] * x[2], 0))), 0)::BIGINT AS score
+  FROM v q JOIN v c ON c.k <> q.k WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST, ck) AS rank FROM pair)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE = {"op3_jaccard_join": OP3, "op4_chat_format": OP4, "op6_url_rules": OP6, "op9_warc_revisits": OP9, "op10_decontaminate": OP10, "op11_prefix_trie": OP11, "op12_collocations": OP12, "op13_bit_sliced": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import (chat_format, context_mixing, decontaminate, jaccard_join, language, packing, phrases, quality_bands, token_cache, tokens, url_rules, warc_revisit)
+from spendlake.llm import (bit_sliced, chat_format, context_mixing, decontaminate, jaccard_join, language, packing, phrases, prefix_trie, quality_bands, token_cache, tokens, url_rules, warc_revisit)
 from spendlake.llm.frames import table
 from spendlake.session import scratch_path
 
@@ -80,6 +80,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"))
