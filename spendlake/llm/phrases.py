@@ -5,16 +5,18 @@ texts then counts S and its negative border (phrases outside S whose parts of on
 all in S; every word outside S). A border phrase that turns out to be frequent is a failure: it
 joins S, and a further pass counts the phrases that have thereby come into S or its border. This
 goes on until a pass has no failure that a longer phrase could contain; then every frequent phrase
-has been counted exactly, whatever the sample was.
+has been met, whatever the sample was. A last pass counts the frequent ones word by word.
+
+Border phrases are many and nearly all rare, so up to the last pass they travel as hashes: a slice of
+text sends the distinct hashes and their counts (up to the threshold) as arrays, one row a bucket of
+the hash space, and buckets are added up array-wise. Buckets grow in number with the text, so one holds
+about ``BUCKET`` words' hashes. Phrases that share a hash can only be counted too often there; the last
+pass, by exact words, decides.
 
 S reaches the tasks as bit tables over phrase hashes, one for each length, of ``SLOTS_A_PHRASE``
 slots a phrase up to 2^``MAX_BITS`` (16 MB). A slot shared by two phrases only makes S larger: more
 is counted and nothing is lost, so results do not depend on the tables' size.
 
-Counting: words of a slice of text become exact ids, n-grams become ids of (n-1)-gram and word, and
-each distinct n-gram of the slice leaves as one row; Spark adds the rows up, first within each map
-task. No hash decides a count.
-
 Texts: A-Z are lower-cased; ``[.,;:!?\\x0A-\\x0D]`` cut a text into pieces, and words
 ``[^\\x20\\x09]+`` never combine across pieces. A null text has no words; a null language is
 ``und``. Ties in score go to the more frequent phrase, then to the smaller one in byte order.
@@ -38,10 +40,12 @@ from spendlake.llm.frames import ready, stored
 SAMPLE = 0.25           # share of the documents that propose phrases
 SLACK = 0.5             # threshold in the sample, as a share of the expected count
 SLICE = 4 << 20         # bytes of text counted at once
+BUCKET = 1 << 21        # words a bucket of hashes stands for
 RANGE = 1 << 19         # words counted at once
 SLOTS_A_PHRASE = 16
 MIN_BITS, MAX_BITS = 20, 27
-COUNTS = "lang string, n int, phrase string, h long, f long"
+COUNTS = "lang string, n int, phrase string, f long"
+HASHED = "bucket int, n int, low binary, times binary"
 
 _PIECE = np.zeros(256, bool)
 _PIECE[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
@@ -82,70 +86,56 @@ def _lang_hash(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode())
 
 
-def _ranges(count: int, most: int) -> Iterator[tuple[int, int]]:
-    for a in range(0, count, most):
-        yield a, min(count, a + most)
-
-
-def _count_slice(data: np.ndarray, offsets: np.ndarray, langs: list[str], least: int, most: int, tables, old) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases of ``least`` to ``most`` words that are in S or its border, but for
-    those that the pass with the tables ``old`` has counted.
-
-    ``tables`` holds, at place n, the BitTable of S's phrases of n words."""
-    data = X.LOWER[data]
-    words = X.find_words(data, offsets, _GAP)
-    if not len(words.start):
-        return
-    names = sorted(set(langs))
-    code = {x: i for i, x in enumerate(names)}
-    of_text = np.array([code[x] for x in langs], np.int64)
-    text = X.text_of_word(words)
-    lang = of_text[text]
-    hashes = X.word_hashes(data, words)
-    hashes += np.array([_lang_hash(x) for x in names], np.uint64)[lang]
-    cuts = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(_PIECE[data], out=cuts[1:])
-    goes_on = np.zeros(len(words.start), bool)      # the next word follows in the same piece
-    goes_on[:-1] = (cuts[words.start[1:]] == cuts[words.end[:-1]]) & (text[1:] == text[:-1])
-    sizes = np.zeros(len(words.start) + 1, np.int64)
-    np.cumsum(words.end - words.start, out=sizes[1:])
-    inside = np.zeros(len(data) + 1, np.int8)
-    np.add.at(inside, words.start, 1)
-    np.add.at(inside, words.end, -1)
-    kept = data[np.cumsum(inside[:-1]) > 0]
-    column = pa.LargeStringArray.from_buffers(len(words.start), pa.py_buffer(sizes), pa.py_buffer(kept))
-    if least <= 1 and old is None:
-        n_words = np.bincount(lang, minlength=len(names))
-        yield _batch(pa.array(names), 0, pa.array([""] * len(names)), np.zeros(len(names), np.uint64), n_words)
-    named = pa.array(names)
-    for a, b in _ranges(len(words.start), RANGE):
-        end = min(len(words.start), b + most - 1)
-        coded = column.slice(a, end - a).dictionary_encode()
-        ids, vocabulary = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-        size, here, follows, own = len(vocabulary), b - a, goes_on[a:end], hashes[a:end]
-        at = np.arange(here)                        # where a phrase of the present length begins
-        gram = lang[a:b] * size + ids[:here]        # exact id of the phrase that begins there
-        counted = np.full(here, old is not None)    # an earlier pass has counted it
-        for n in range(1, most + 1):
-            if n > 1:
-                keep = (at + n - 1 < len(own)) & follows[np.minimum(at + n - 2, len(own) - 1)]
-                if tables:                          # in S or its border, and so are its beginnings
-                    keep[keep] = _both(tables, n, own, at[keep])
-                at, gram, counted = at[keep], gram[keep] * size, counted[keep]
-                if not len(at):
-                    break
-                gram += ids[at + n - 1]
-                if old is not None:
-                    counted &= _both(old, n, own, at)
-            _, first, gram, count = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
-            new = ~counted[first]
-            if n < least or not new.any():
-                continue
-            start = at[first[new]]
-            phrase = vocabulary.take(pa.array(ids[start]))
-            if n > 1:
-                phrase = pc.binary_join_element_wise(phrase, *[vocabulary.take(pa.array(ids[start + k])) for k in range(1, n)], pa.scalar(" ", pa.large_string()))
-            yield _batch(named.take(pa.array(lang[a + start])), n, phrase, _hash(own, start, n), count[new])
+class _Slice:
+    """The words of some texts: places, hashes and whether the next word follows in the same piece."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: list[str]):
+        self.data = data = X.LOWER[data]
+        self.words = words = X.find_words(data, offsets, _GAP)
+        self.names = sorted(set(langs))
+        code = {x: i for i, x in enumerate(self.names)}
+        text = X.text_of_word(words)
+        self.lang = np.array([code[x] for x in langs], np.int64)[text]
+        self.size = len(words.start)
+        self.hashes = X.word_hashes(data, words)
+        self.hashes += np.array([_lang_hash(x) for x in self.names], np.uint64)[self.lang]
+        cuts = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
+        np.cumsum(_PIECE[data], out=cuts[1:])
+        self.follows = np.zeros(self.size, bool)
+        self.follows[:-1] = (cuts[words.start[1:]] == cuts[words.end[:-1]]) & (text[1:] == text[:-1])
+
+    def ranges(self, most: int) -> Iterator[tuple[int, int, int]]:
+        """(first, last, end): phrases that begin in first:last lie within first:end."""
+        for a in range(0, self.size, RANGE):
+            b = min(self.size, a + RANGE)
+            yield a, b, min(self.size, b + most - 1)
+
+    def strings(self) -> pa.Array:
+        sizes = np.zeros(self.size + 1, np.int64)
+        np.cumsum(self.words.end - self.words.start, out=sizes[1:])
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.words.start] += 1
+        inside[self.words.end] -= 1
+        kept = self.data[np.cumsum(inside[:-1], dtype=np.int8) > 0]
+        return pa.LargeStringArray.from_buffers(self.size, pa.py_buffer(sizes), pa.py_buffer(kept))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
+    """About ``SLICE`` bytes of (lang, text) at a time, or one longer text."""
+    held: list[pa.RecordBatch] = []
+
+    def cut():
+        rows = pa.Table.from_batches(held).combine_chunks()
+        langs, (data, offsets) = rows.column(0).to_pylist(), X.utf8(rows.column(1))
+        for lo, hi in X.slices(offsets, SLICE):
+            yield _Slice(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], langs[lo:hi])
+    for batch in batches:
+        held.append(batch)
+        if sum(x.nbytes for x in held) >= SLICE:
+            yield from cut()
+            held = []
+    if held:
+        yield from cut()
 
 
 def _hash(own: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
@@ -157,56 +147,147 @@ def _hash(own: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
 
 def _both(tables, n: int, own: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether the first and the last n-1 words of the n-grams at ``at`` are in S."""
-    return tables[n - 1].has(_hash(own, at, n - 1)) & tables[n - 1].has(_hash(own, at + 1, n - 1))
-
-
-def _batch(lang, n, phrase, h, f) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(np.full(len(f), n, np.int32)), phrase.cast(pa.string()),
-                                       pa.array(h.view(np.int64)), pa.array(f.astype(np.int64))], names=["lang", "n", "phrase", "h", "f"])
+    out = tables[n - 1].has(_hash(own, at, n - 1))
+    out[out] = tables[n - 1].has(_hash(own, at[out] + 1, n - 1))
+    return out
 
 
-def _counted(texts: DataFrame, least: int, most: int, rule: str, tables, old=None) -> DataFrame:
-    """(lang, n, phrase, h, f) over ``texts`` (lang, text), as far as ``rule`` holds; stored.
+def _hashed(part: _Slice, least: int, most: int, bits: int, limit: int, tables, old) -> Iterator[pa.RecordBatch]:
+    """Counts by hash of the phrases of ``least`` to ``most`` words that are in S or its border, but for
+    those that the pass with the tables ``old`` has counted. ``tables`` holds, at place n, the
+    BitTable of S's phrases of n words."""
+    for a, b, end in part.ranges(most):
+        own, follows = part.hashes[a:end], part.follows[a:end]
+        at = np.arange(b - a)                       # where a phrase of the present length begins
+        counted = np.full(b - a, old is not None)   # an earlier pass has counted it
+        for n in range(1, most + 1):
+            if n > 1:
+                keep = (at + n - 1 < len(own)) & follows[np.minimum(at + n - 2, len(own) - 1)]
+                keep[keep] = _both(tables, n, own, at[keep])    # in S or its border, and so are its beginnings
+                at, counted = at[keep], counted[keep]
+                if old is not None:
+                    counted &= _both(old, n, own, at)
+            new = at[~counted]
+            if n < least or not len(new):
+                continue
+            h, times = np.unique(_hash(own, new, n), return_counts=True)
+            low = (h >> _U(32 - bits)).astype("<u4")
+            times = np.minimum(times, limit).astype("<u4" if limit > 255 else np.uint8)
+            edges = np.searchsorted(h >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(h)])
+            used = [i for i in range(1 << bits) if edges[i] < edges[i + 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([n] * len(used), pa.int32()),
+                                              pa.array([low[edges[i]:edges[i + 1]].tobytes() for i in used], pa.binary()),
+                                              pa.array([times[edges[i]:edges[i + 1]].tobytes() for i in used], pa.binary())], names=["bucket", "n", "low", "times"])
+
+
+def _add_buckets(bits: int, limit: int):
+    kind = "<u4" if limit > 255 else np.uint8
+
+    def total(key, parts) -> pa.RecordBatch:
+        low, times = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        order = np.argsort(low, kind="stable")
+        low, times = low[order], times[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        often = np.add.reduceat(times, first) >= limit
+        h = (np.uint64(key[0]) << _U(64 - bits) if bits else _U(0)) | low[first[often]].astype(np.uint64) << _U(32 - bits)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), key[1], np.int32)), pa.array(h.view(np.int64))], names=["n", "h"])
 
-    n = 0 holds the number of words of a language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a bucket and length follow one another."""
+        key, parts = None, []
+        for batch in batches:
+            for bucket, n, low, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != (bucket, n):
+                    if parts:
+                        yield total(key, parts)
+                    key, parts = (bucket, n), []
+                parts.append((np.frombuffer(low, "<u4"), np.frombuffer(times, kind)))
+        if parts:
+            yield total(key, parts)
+    return run
+
+
+def _often(texts: DataFrame, least: int, most: int, limit: int, bits: int, tables, old=None) -> DataFrame:
+    """(n, h): hashes of the counted phrases of ``texts`` (lang, text) that occur ``limit`` times; stored."""
     sc = texts.sparkSession.sparkContext
-    sent, sent_old = sc.broadcast(tables), sc.broadcast(old)
+    sent = sc.broadcast((tables, old))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = batch.column(0).to_pylist()
-            data, offsets = X.utf8(batch.column(1))
-            for lo, hi in X.slices(offsets, SLICE):
-                yield from _count_slice(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], langs[lo:hi], least, most, sent.value, sent_old.value)
-    rows = texts.mapInArrow(run, COUNTS)
-    out = stored(rows.groupBy("lang", "n", "phrase", "h").agg(F.sum("f").alias("f")).filter(rule), "counted")
-    sent.unpersist(), sent_old.unpersist()
+        for part in _slices(batches):
+            yield from _hashed(part, least, most, bits, limit, *sent.value)
+    rows = texts.mapInArrow(run, HASHED).repartition("bucket", "n").sortWithinPartitions("bucket", "n")
+    out = stored(rows.mapInArrow(_add_buckets(bits, limit), "n int, h long"), "often")
+    sent.unpersist()
     return out
 
 
+def _exact(part: _Slice, most: int, wanted) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases whose hash is wanted, by their words; n = 0 counts the words of a language."""
+    yield _batch(pa.array(part.names), 0, pa.array([""] * len(part.names)), np.bincount(part.lang, minlength=len(part.names)))
+    strings, named = part.strings(), pa.array(part.names)
+    for a, b, end in part.ranges(most):
+        coded = strings.slice(a, end - a).dictionary_encode()
+        ids, vocabulary = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        own, follows, lang = part.hashes[a:end], part.follows[a:end], part.lang[a:end]
+        at = np.arange(b - a)
+        for n in range(1, most + 1):
+            if n > 1:
+                at = at[(at + n - 1 < len(own)) & follows[np.minimum(at + n - 2, len(own) - 1)]]
+            h = _hash(own, at, n)
+            hit = wanted[n].has(h)
+            at, h = at[hit], h[hit]     # a frequent phrase begins with a frequent one
+            if not len(at):
+                break
+            _, first, group, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            start = at[first]
+            words = [ids[at + k] for k in range(n)] + [lang[at]]
+            if any((w != w[first][group]).any() for w in words):    # two phrases of one hash: group by the words
+                _, first, times = np.unique(np.stack(words, 1), axis=0, return_index=True, return_counts=True)
+                start = at[first]
+            phrase = vocabulary.take(pa.array(ids[start]))
+            if n > 1:
+                phrase = pc.binary_join_element_wise(phrase, *[vocabulary.take(pa.array(ids[start + k])) for k in range(1, n)], pa.scalar(" ", pa.large_string()))
+            yield _batch(named.take(pa.array(lang[start])), n, phrase, times)
+
+
+def _batch(lang, n, phrase, f) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(np.full(len(f), n, np.int32)), phrase.cast(pa.string()), pa.array(f.astype(np.int64))], names=["lang", "n", "phrase", "f"])
+
+
 def frequent_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, sample: float = SAMPLE,
                      slack: float = SLACK, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, n, phrase, f): every phrase of 1 to ``max_words`` words that occurs ``min_count`` times
     in its language, with its exact count; the row n = 0 of a language counts its words."""
     ready(docs)
     everything = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("k"))
+    texts = everything.select("lang", "text")
     drawn = everything.filter(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < int(sample * 1_000_000)).select("lang", "text")
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(31, max(0, int(n_bytes // 6 // BUCKET).bit_length()))
     lowered = max(2, int(min_count * sample * slack))
     tables: list[BitTable | None] = [None] * max_words
     for n in range(1, max_words):       # level by level: a phrase is proposed only if its parts are
-        tables[n] = bit_table(_counted(drawn, n, n, f"f >= {lowered} AND n = {n}", tables).select("h"))
-    texts = everything.select("lang", "text")
-    found, old = None, None
+        tables[n] = bit_table(_often(drawn, n, n, lowered, bits, tables).select("h"))
+    often, old = None, None
     while tables is not None:
-        counts = _counted(texts, 1, max_words, f"f >= {min_count} OR n = 0", tables, old)
-        found = counts if found is None else found.unionByName(counts)
-        tables, old = _with_failures(counts, tables, max_words), tables
-    return found.select("lang", "n", "phrase", "f")
+        more = _often(texts, 1, max_words, min_count, bits, tables, old)
+        often = more if often is None else often.unionByName(more)
+        tables, old = _with_failures(more, tables, max_words), tables
+    sent = docs.sparkSession.sparkContext.broadcast([None] + [bit_table(often.filter(f"n = {n}").select("h")) for n in range(1, max_words + 1)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            if part.size:
+                yield from _exact(part, max_words, sent.value)
+    counts = texts.mapInArrow(run, COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
+    out = stored(counts.filter(f"f >= {min_count} OR n = 0"), "counted")
+    sent.unpersist()
+    return out
 
 
-def _with_failures(counts: DataFrame, tables, max_words: int):
+def _with_failures(often: DataFrame, tables, max_words: int):
     """The tables with the frequent phrases that were not in them, or None if there are none."""
-    sent = counts.sparkSession.sparkContext.broadcast(tables)
+    sent = often.sparkSession.sparkContext.broadcast(tables)
 
     def outside(batches):
         for batch in batches:
@@ -215,15 +296,14 @@ def _with_failures(counts: DataFrame, tables, max_words: int):
             for k in range(1, max_words):
                 out |= (n == k) & ~sent.value[k].has(h)
             yield batch.filter(pa.array(out))
-    failures = stored(counts.filter(f"n BETWEEN 1 AND {max_words - 1}").select("n", "h").mapInArrow(outside, "n int, h long"), "failures")
+    failures = stored(often.filter(f"n < {max_words}").mapInArrow(outside, "n int, h long"), "failures")
     lengths = {r["n"] for r in failures.select("n").distinct().collect()}
     sent.unpersist()
     if not lengths:
         return None
     grown = list(tables)
     for n in lengths:
-        more = bit_table(failures.filter(f"n = {n}").select("h"))
-        grown[n] = _merged(tables[n], more)
+        grown[n] = _merged(tables[n], bit_table(failures.filter(f"n = {n}").select("h")))
     return grown
 
 

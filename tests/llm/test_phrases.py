@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from spendlake.llm import phrases as P
 from tests.llm.helpers import SF
 
@@ -47,8 +49,8 @@ def made(seed, n=150, sizes=(0, 60)):
 
 def test_equals_brute_force_with_failures_of_the_border(spark, monkeypatch):
     passes = []
-    inner = P._counted
-    monkeypatch.setattr(P, "_counted", lambda *a, **k: passes.append(a[-1] if len(a) > 5 else None) or inner(*a, **k))
+    inner = P._often
+    monkeypatch.setattr(P, "_often", lambda *a, **k: passes.append(a[6] if len(a) > 6 else None) or inner(*a, **k))
     rows = made(1)
     want = brute(rows, 8)
     assert want and run(spark, rows, min_count=8) == want
@@ -63,6 +65,28 @@ def test_small_tables_of_bits_and_ranges_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(P, "MIN_BITS", 15)
     monkeypatch.setattr(P, "MAX_BITS", 15)
     assert run(spark, rows, min_count=6) == want
+    monkeypatch.setattr(P, "BUCKET", 50)    # many buckets
+    assert run(spark, rows, min_count=6) == want
+
+
+def test_phrases_that_share_a_hash_are_counted_apart(monkeypatch):
+    rows = made(4, 30)
+    data, offsets = P.X.utf8(P.pa.array([t for t, _ in rows]))
+    part = P._Slice(data, offsets, [l or "und" for _, l in rows])
+    everything = P.BitTable(15, np.full(1 << 12, 255, np.uint8))
+    monkeypatch.setattr(P, "_hash", lambda own, start, n: np.zeros(len(start), np.uint64))
+    got = Counter()
+    for batch in P._exact(part, 3, [None] + [everything] * 3):
+        for r in batch.to_pylist():
+            if r["n"]:
+                got[r["lang"], r["phrase"]] += r["f"]
+    want = Counter()
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate({i: i + 32 for i in range(65, 91)})):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for n in (1, 2, 3):
+                want.update((lang or "und", " ".join(w[i:i + n])) for i in range(len(w) - n + 1))
+    assert got == want
 
 
 def test_long_text_ties_copies_and_subsumed_phrases(spark):
