@@ -3,9 +3,11 @@
 A sample of the texts, counted at a lowered threshold, proposes the phrases S. One pass over all
 texts then counts S and its negative border (phrases outside S whose parts of one word less are
 all in S; every word outside S). A border phrase that turns out to be frequent is a failure: it
-joins S, and a further pass counts the phrases that have thereby come into S or its border. This
-goes on until a pass has no failure that a longer phrase could contain; then every frequent phrase
-has been met, whatever the sample was. A last pass counts the frequent ones word by word.
+joins S, and S is closed over it: phrases that have thereby come into the border are taken to be
+frequent too, as are those that then come into it, and so on. One expansion pass counts this closure.
+A frequent phrase that the first pass has not counted contains a failure and has only frequent
+parts, so it is in the closure: then all frequent phrases have been met, whatever the sample was. A
+last pass counts the frequent ones word by word.
 
 Border phrases are many and nearly all rare, so up to the last pass they travel as hashes: a slice of
 text sends the distinct hashes and their counts (up to the threshold) as arrays, one row a bucket of
@@ -76,7 +78,7 @@ def bit_table(hashes: DataFrame) -> BitTable:
     maps = hashes.select(F.shiftright(slot, 15).alias("bucket"), slot.bitwiseAND(F.lit(32767)).alias("place"))
     maps = maps.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bitmap"))
     packed = np.zeros(1 << (bits - 3), np.uint8)
-    for bucket, bitmap in maps.toLocalIterator():
+    for bucket, bitmap in maps.collect():      # at most 4,096 bitmaps of 4 kB
         packed[bucket << 12:(bucket + 1) << 12] = np.frombuffer(bitmap, np.uint8)
     return BitTable(bits, packed)
 
@@ -145,39 +147,48 @@ def _hash(own: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
     return X.mix(out)
 
 
-def _both(tables, n: int, own: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether the first and the last n-1 words of the n-grams at ``at`` are in S."""
-    out = tables[n - 1].has(_hash(own, at, n - 1))
-    out[out] = tables[n - 1].has(_hash(own, at[out] + 1, n - 1))
-    return out
-
-
 def _hashed(part: _Slice, least: int, most: int, bits: int, limit: int, tables, old) -> Iterator[pa.RecordBatch]:
-    """Counts by hash of the phrases of ``least`` to ``most`` words that are in S or its border, but for
-    those that the pass with the tables ``old`` has counted. ``tables`` holds, at place n, the
-    BitTable of S's phrases of n words."""
+    """Counts by hash of the phrases of ``least`` to ``most`` words that are in S or its border.
+
+    ``tables`` holds, at place n, the BitTable of S's phrases of n words. With ``old``, the tables of
+    the pass before, S is closed over what it has gained, and only what that pass has not counted counts."""
     for a, b, end in part.ranges(most):
         own, follows = part.hashes[a:end], part.follows[a:end]
-        at = np.arange(b - a)                       # where a phrase of the present length begins
-        counted = np.full(b - a, old is not None)   # an earlier pass has counted it
+        at = np.arange(len(own))                    # where phrases of the present length may begin
+        h = _hash(own, at, 1)
+        counted = np.full(len(own), old is not None)    # by the earlier pass
         for n in range(1, most + 1):
-            if n > 1:
-                keep = (at + n - 1 < len(own)) & follows[np.minimum(at + n - 2, len(own) - 1)]
-                keep[keep] = _both(tables, n, own, at[keep])    # in S or its border, and so are its beginnings
-                at, counted = at[keep], counted[keep]
-                if old is not None:
-                    counted &= _both(old, n, own, at)
-            new = at[~counted]
-            if n < least or not len(new):
-                continue
-            h, times = np.unique(_hash(own, new, n), return_counts=True)
-            low = (h >> _U(32 - bits)).astype("<u4")
-            times = np.minimum(times, limit).astype("<u4" if limit > 255 else np.uint8)
-            edges = np.searchsorted(h >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(h)])
-            used = [i for i in range(1 << bits) if edges[i] < edges[i + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([n] * len(used), pa.int32()),
-                                              pa.array([low[edges[i]:edges[i + 1]].tobytes() for i in used], pa.binary()),
-                                              pa.array([times[edges[i]:edges[i + 1]].tobytes() for i in used], pa.binary())], names=["bucket", "n", "low", "times"])
+            new = ~counted & (at < b - a)
+            if n >= least and new.any():
+                yield _bucketed(h[new], n, bits, limit)
+            if n == most:
+                break
+            member = tables[n].has(h)               # in S, or taken to be so
+            if old is not None:
+                before = counted & old[n].has(h)
+                member |= ~counted
+            # a phrase is in S or the border if its first and its last n words are in S
+            place = np.full(len(own) + 1, -1, np.int32)
+            place[at[member]] = np.flatnonzero(member)
+            at = at[member]
+            at = at[follows[np.minimum(at + n - 1, len(own) - 1)] & (at + n < len(own))]
+            at = at[place[at + 1] >= 0]
+            if not len(at):
+                break
+            counted = before[place[at]] & before[place[at + 1]] if old is not None else np.zeros(len(at), bool)
+            h = _hash(own, at, n + 1)
+
+
+def _bucketed(hashes: np.ndarray, n: int, bits: int, limit: int) -> pa.RecordBatch:
+    """Distinct hashes and their counts, one row a bucket (a hash's highest ``bits`` bits)."""
+    h, times = np.unique(hashes, return_counts=True)
+    low = (h >> _U(32 - bits)).astype("<u4")
+    times = np.minimum(times, limit).astype("<u4" if limit > 255 else np.uint8)
+    edges = np.searchsorted(h >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(h)])
+    used = [i for i in range(1 << bits) if edges[i] < edges[i + 1]]
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([n] * len(used), pa.int32()),
+                                       pa.array([low[edges[i]:edges[i + 1]].tobytes() for i in used], pa.binary()),
+                                       pa.array([times[edges[i]:edges[i + 1]].tobytes() for i in used], pa.binary())], names=["bucket", "n", "low", "times"])
 
 
 def _add_buckets(bits: int, limit: int):
@@ -238,12 +249,19 @@ def _exact(part: _Slice, most: int, wanted) -> Iterator[pa.RecordBatch]:
             at, h = at[hit], h[hit]     # a frequent phrase begins with a frequent one
             if not len(at):
                 break
-            _, first, group, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-            start = at[first]
-            words = [ids[at + k] for k in range(n)] + [lang[at]]
-            if any((w != w[first][group]).any() for w in words):    # two phrases of one hash: group by the words
-                _, first, times = np.unique(np.stack(words, 1), axis=0, return_index=True, return_counts=True)
+            if n == 1:                  # the ids of words are small: no sort
+                word = lang[at] * len(vocabulary) + ids[at]
+                times = np.bincount(word)
+                start = np.zeros(len(times), np.int64)
+                start[word[::-1]] = at[::-1]
+                start, times = start[times > 0], times[times > 0]
+            else:
+                _, first, group, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
                 start = at[first]
+                words = [ids[at + k] for k in range(n)] + [lang[at]]
+                if any((w != w[first][group]).any() for w in words):    # two phrases of one hash: group by the words
+                    _, first, times = np.unique(np.stack(words, 1), axis=0, return_index=True, return_counts=True)
+                    start = at[first]
             phrase = vocabulary.take(pa.array(ids[start]))
             if n > 1:
                 phrase = pc.binary_join_element_wise(phrase, *[vocabulary.take(pa.array(ids[start + k])) for k in range(1, n)], pa.scalar(" ", pa.large_string()))
@@ -268,11 +286,10 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, s
     tables: list[BitTable | None] = [None] * max_words
     for n in range(1, max_words):       # level by level: a phrase is proposed only if its parts are
         tables[n] = bit_table(_often(drawn, n, n, lowered, bits, tables).select("h"))
-    often, old = None, None
-    while tables is not None:
-        more = _often(texts, 1, max_words, min_count, bits, tables, old)
-        often = more if often is None else often.unionByName(more)
-        tables, old = _with_failures(more, tables, max_words), tables
+    often = _often(texts, 1, max_words, min_count, bits, tables)
+    grown = _with_failures(often, tables, max_words)
+    if grown is not None:
+        often = often.unionByName(_often(texts, 2, max_words, min_count, bits, grown, tables))
     sent = docs.sparkSession.sparkContext.broadcast([None] + [bit_table(often.filter(f"n = {n}").select("h")) for n in range(1, max_words + 1)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

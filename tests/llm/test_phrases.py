@@ -56,7 +56,7 @@ def test_equals_brute_force_with_failures_of_the_border(spark, monkeypatch):
     assert want and run(spark, rows, min_count=8) == want
     passes.clear()      # a tiny sample at a high threshold proposes next to nothing: the border must find the rest
     assert run(spark, rows, min_count=8, sample=0.02, slack=20.0) == want
-    assert sum(p is not None for p in passes) >= 2      # expansion passes ran
+    assert sum(p is not None for p in passes) == 1      # the expansion pass ran
 
 
 def test_small_tables_of_bits_and_ranges_change_nothing(spark, monkeypatch):
