@@ -628,3 +628,136 @@ register("i3_two_loads", sql(
         _content("fato_empenho", "sk_empenho", ["id_empenho_origem", "ano", "codigo_empenho", "sk_tempo", "sk_orgao", "sk_credor", "sk_contrato", "valor"], "emp2"),
         _content("fato_ordem_bancaria", "sk_ordem_bancaria", ["id_ob_origem", "ano", "codigo", "sk_tempo", "sk_orgao", "sk_credor", "valor"], "pay2"),
     ])))
+
+
+# --------------------------------------------------------------------------- #
+# Isolation Forest: the fit and the walk, level by level
+# --------------------------------------------------------------------------- #
+#: Trees, rows a tree, levels, seed.
+_TREES, _PSI, _LEVELS, _SEED = 200, 256, 8, 42
+_NUM = ["n0", "n1", "n2", "n3"]
+_CAT = ["c0", "c1"]
+
+
+def _hex(text: str, start: int, n: int) -> str:
+    return f"('0x' || substr(md5({text}), {start}, {n}))::BIGINT"
+
+
+def _u(what: str) -> str:
+    node_text = f"'{_SEED}|' || tree || '|' || node || '|{what}'"
+    return f"({_hex(node_text, 1, 8)} / 4294967296.0::DOUBLE)"
+
+
+def _left(p: str = "") -> str:
+    value = " ".join(f"WHEN {j} THEN {c}" for j, c in enumerate(_NUM))
+    label = " ".join(f"WHEN {j} THEN {c}" for j, c in enumerate(_CAT))
+    return f"CASE WHEN {p}kind = 0 THEN (CASE {p}feature {value} END) <= {p}threshold ELSE (CASE {p}feature {label} END) <> {p}category END"
+
+
+def _forest() -> list[str]:
+    columns = ", ".join(_NUM + _CAT)
+    row_text = f"sk_contrato || '|{_SEED}'"
+    ctes = [f"""
+feat AS MATERIALIZED (
+  SELECT f.sk_contrato, f.ano, coalesce(CAST(valor_contratado AS DOUBLE), 0) AS n0, coalesce(CAST(dias_vigencia AS DOUBLE), 0) AS n1,
+    coalesce(CAST(historico_credor_infringement AS DOUBLE), 0) AS n2, coalesce(CAST(CAST(flag_emergency AS INTEGER) AS DOUBLE), 0) AS n3,
+    coalesce(m.descricao_modalidade, 'DESCONHECIDO') AS c0, coalesce(tipo_objeto, 'DESCONHECIDO') AS c1
+  FROM contract_star f LEFT JOIN modal m USING (sk_modalidade))""", f"""
+placed AS MATERIALIZED (SELECT *, {_hex(row_text, 1, 7)} + 1 AS a, {_hex(row_text, 8, 7)} AS b FROM feat)""", f"""
+grow0 AS MATERIALIZED (
+  SELECT tree, 0 AS node, {columns} FROM placed, range({_TREES}) t(tree)
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (a * (tree + 1) + b) % 268435399, sk_contrato) <= {_PSI})"""]
+    for d in range(_LEVELS + 1):
+        ways = " || ".join([f"CASE WHEN min({c}) < max({c}) THEN [{{'kind': 0, 'feature': {j}, 'category': NULL::VARCHAR, 'lo': min({c}), 'hi': max({c})}}] ELSE [] END" for j, c in enumerate(_NUM)]
+                           + [f"CASE WHEN count(DISTINCT {c}) > 1 THEN list_transform(list_sort(list(DISTINCT {c})), lambda x: {{'kind': 1, 'feature': {j}, 'category': x, 'lo': NULL::DOUBLE, 'hi': NULL::DOUBLE}}) ELSE [] END"
+                              for j, c in enumerate(_CAT)])
+        ctes.append(f"""
+met{d} AS (SELECT tree, node, count(*) AS size, {ways if d < _LEVELS else "[]"} AS ways FROM grow{d} GROUP BY tree, node)""")
+        chosen = f"ways[CAST(floor({_u('feature')} * len(ways)) AS BIGINT) + 1]" if d < _LEVELS else "NULL::STRUCT(kind INTEGER, feature INTEGER, category VARCHAR, lo DOUBLE, hi DOUBLE)"
+        ctes.append(f"""
+way{d} AS (SELECT tree, node, size, {chosen} AS way FROM met{d})""")
+        ctes.append(f"""
+node{d} AS MATERIALIZED (
+  SELECT tree, node, size, {d} AS depth, coalesce(way.kind, -1) AS kind, way.feature AS feature, way.category AS category,
+    CASE WHEN way.lo + {_u('threshold')} * (way.hi - way.lo) >= way.hi THEN way.lo ELSE way.lo + {_u('threshold')} * (way.hi - way.lo) END AS threshold FROM way{d})""")
+        if d < _LEVELS:
+            ctes.append(f"""
+grow{d + 1} AS MATERIALIZED (
+  SELECT tree, CASE WHEN {_left('s.')} THEN 2 * node + 1 ELSE 2 * node + 2 END AS node, {columns}
+  FROM grow{d} JOIN node{d} s USING (tree, node) WHERE s.kind >= 0)""")
+    ctes.append("""
+forest AS MATERIALIZED (
+  SELECT *, CAST(depth + CAST(round(CASE WHEN size <= 1 THEN 0 WHEN size = 2 THEN 1
+      ELSE 2 * (ln(size - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * (size - 1.0::DOUBLE) / size END, 10) AS DECIMAL(20,10)) AS DECIMAL(20,10)) AS length
+  FROM (""" + " UNION ALL ".join(f"SELECT * FROM node{d}" for d in range(_LEVELS + 1)) + "))")
+    ctes.append(f"""
+walk0 AS (SELECT sk_contrato, {columns}, tree, 0 AS node FROM feat, range({_TREES}) t(tree))""")
+    for d in range(_LEVELS):
+        ctes.append(f"""
+walk{d + 1} AS (
+  SELECT sk_contrato, {columns}, tree, CASE WHEN s.kind < 0 THEN node WHEN {_left('s.')} THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+  FROM walk{d} JOIN forest s USING (tree, node))""")
+    ctes.append(f"""
+raw AS MATERIALIZED (
+  SELECT sk_contrato, pow(2.0::DOUBLE, -(CAST(sum(length) AS DOUBLE) / {_TREES}.0::DOUBLE) / (2 * (ln(psi - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * (psi - 1.0::DOUBLE) / psi)) AS s
+  FROM walk{_LEVELS} JOIN forest USING (tree, node), (SELECT least({_PSI}, count(*)) AS psi FROM feat) GROUP BY sk_contrato, psi)""")
+    ctes.append("""
+scored AS MATERIALIZED (
+  SELECT f.* EXCLUDE (score_anomalia), CAST(CASE WHEN hi = lo THEN 0 ELSE (s - lo) / (hi - lo) END AS DECIMAL(5,4)) AS score_anomalia
+  FROM contract_star f LEFT JOIN raw USING (sk_contrato), (SELECT min(s) AS lo, max(s) AS hi FROM raw))""")
+    return ctes
+
+
+FOREST = [*GOLD, SQL_CONTRACT_STAR, *_forest()]
+register("m5_anomaly_scores", sql(*FOREST, body="SELECT sk_contrato, ano, id_contrato_origem, score_anomalia FROM scored"))
+register("o2_top_anomalies", sql(*FOREST, body="""
+SELECT sk_contrato, valor_contratado, descricao_modalidade, score_anomalia FROM scored ORDER BY score_anomalia DESC, sk_contrato LIMIT 10"""))
+SQL_TOP_ANOMALIES = """
+SELECT f.sk_contrato, f.num_contrato, f.valor_contratado, f.score_anomalia, m.descricao_modalidade, c.nome AS nome_credor, a.nome AS nome_orgao
+FROM scored f LEFT JOIN modal m USING (sk_modalidade) LEFT JOIN creditor_cur c USING (sk_credor) LEFT JOIN agency a USING (sk_orgao)
+WHERE f.score_anomalia IS NOT NULL ORDER BY f.score_anomalia DESC, f.sk_contrato LIMIT 10"""
+register("o3_top_anomalies_named", sql(*FOREST, body=SQL_TOP_ANOMALIES))
+register("m14_heuristic_scores", sql(*FOREST, body="""
+, h AS (SELECT *, descricao_modalidade IN ('1-URGENT', '2-HIGH')
+                  AND CAST(valor_contratado AS DOUBLE) >= (SELECT quantile_cont(CAST(valor_contratado AS DOUBLE), 0.95) FROM scored) AS heuristica
+        FROM scored)
+""" + _describe("h", ["score_anomalia"], by="heuristica")))
+register("a20_score_histogram", sql(*FOREST, body="""
+, b AS (SELECT min(CAST(score_anomalia AS DOUBLE)) AS mn, max(CAST(score_anomalia AS DOUBLE)) AS mx FROM scored)
+, h AS (SELECT least(CASE WHEN x >= mx THEN 31 ELSE CAST(floor(30 * (x - mn) / (mx - mn)) AS BIGINT) + 1 END, 30) AS bin, count(*) AS n
+FROM (SELECT CAST(score_anomalia AS DOUBLE) AS x FROM scored WHERE score_anomalia IS NOT NULL), b GROUP BY 1)
+SELECT r.bin, coalesce(h.n, 0) AS n FROM range(1, 31) r(bin) LEFT JOIN h ON h.bin = r.bin"""))
+
+
+def _table_text(source: str, columns: list[str], order: str) -> str:
+    cells = " || ' | ' || ".join(f"coalesce({c}::VARCHAR, '')" for c in columns)
+    head = "| " + " | ".join(columns) + " |" + "'" + " || chr(10) || '" + "|" + "|".join(["---"] * len(columns)) + "|"
+    return f"(SELECT '{head}' || chr(10) || string_agg('| ' || {cells} || ' |', chr(10) ORDER BY {order}) FROM {source})"
+
+
+register("r2_report", sql(*FOREST, SQL_HISTORY, body=SQL_NAIVE + ", anom AS (" + SQL_TOP_ANOMALIES + """),
+infr AS (
+  SELECT dc.nome, dc.cpf_cnpj, dc.historico_infringement, count(fc.sk_contrato) AS qtd_contratos, CAST(sum(fc.valor_contratado) AS DECIMAL(18,2)) AS valor_total
+  FROM creditor_cur dc JOIN contract_star fc ON fc.sk_credor = dc.sk_credor WHERE dc.historico_infringement > 0 AND dc.versao_atual
+  GROUP BY dc.nome, dc.cpf_cnpj, dc.historico_infringement ORDER BY valor_total DESC, dc.cpf_cnpj LIMIT 10),
+fcs AS (
+  SELECT p.trimestre_referencia, a.nome AS nome_orgao, p.valor_previsto, p.intervalo_inferior, p.intervalo_superior, p.modelo, p.sk_orgao
+  FROM naive p JOIN agency a USING (sk_orgao) ORDER BY p.valor_previsto DESC, p.sk_orgao LIMIT 15),
+total AS (
+  SELECT coalesce(sum(valor_contratado), 0) AS c, coalesce(sum(valor_pago), 0) AS p, count(*) FILTER (WHERE valor_pago > valor_contratado) AS n,
+    round(coalesce(CAST(sum(valor_pago) AS DOUBLE) * 100.0 / nullif(CAST(sum(valor_contratado) AS DOUBLE), 0), 0), 4) AS pct FROM contract_star)
+SELECT 'Relatório de Insights (2026-07-23)' AS titulo,
+  '## Rastreabilidade Financeira' || chr(10) || 'Do total contratado de R$ ' || format('{:,.2f}', c::DOUBLE) || ', R$ ' || format('{:,.2f}', p::DOUBLE)
+  || ' já foram efetivamente pagos (' || printf('%.1f', pct) || '%). Foram identificados ' || n
+  || ' contratos com pagamentos acima do valor originalmente contratado — recomenda-se auditoria pontual.' || chr(10) || chr(10)
+  || '## Contratos com Padrões Anômalos' || chr(10) || """
+    + _table_text("anom", ["sk_contrato", "num_contrato", "valor_contratado", "score_anomalia", "descricao_modalidade", "nome_credor", "nome_orgao"], "score_anomalia DESC, sk_contrato")
+    + """ || chr(10) || chr(10) || '## Credores com Histórico de Infrações' || chr(10) || coalesce("""
+    + _table_text("infr", ["nome", "cpf_cnpj", "historico_infringement", "qtd_contratos", "valor_total"], "valor_total DESC, cpf_cnpj")
+    + """, 'Nenhum credor com histórico de infração encontrado.') || chr(10) || chr(10) || '## Previsão de Pagamentos do Próximo Trimestre' || chr(10) || """
+    + _table_text("fcs", ["trimestre_referencia", "nome_orgao", "valor_previsto", "intervalo_inferior", "intervalo_superior", "modelo"], "valor_previsto DESC, sk_orgao")
+    + """ || chr(10) || chr(10) || array_to_string([
+    '## Recomendações', '1. Auditar prioritariamente os contratos no topo do ranking de anomalias.',
+    '2. Revisar processos de contratação de credores com histórico de infração.', '3. Reservar orçamento conforme as previsões trimestrais por órgão.',
+    '4. Investigar contratos com pagamento acima do valor contratado.', '', '_Relatório gerado por template determinístico._'], chr(10)) AS conteudo_markdown
+FROM total"""))
