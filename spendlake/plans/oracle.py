@@ -451,43 +451,55 @@ def _chk(check: str, table: str, expr: str) -> str:
     return f"SELECT '{check}' AS \"check\", '{table}' AS table_name, CAST(({expr}) AS BIGINT) AS n_bad, ({expr}) = 0 AS ok"
 
 
-register("q5_quality_report", sql(*GOLD, SQL_CONTRACT_STAR, """
-pay_star AS (SELECT f.*, a.sk_orgao FROM pay_fact f LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao)""",
+#: Table, its CTE, NOT NULL columns, unique keys (with a condition), foreign keys (column, CTE, key).
+_CONSTRAINTS = [
+    ("dim_tempo", "cal", "sk_tempo data ano trimestre mes dia dia_semana nome_dia_semana nome_mes ano_mes", [("sk_tempo", ""), ("data", "")], []),
+    ("dim_credor", "scd", "sk_credor cpf_cnpj nome tipo_pessoa historico_infringement data_inicio versao_atual", [("sk_credor", ""), ("cpf_cnpj", "WHERE versao_atual")], []),
+    ("dim_orgao", "agency", "sk_orgao codigo_orgao nome", [("sk_orgao", ""), ("codigo_orgao", "")], []),
+    ("dim_modalidade", "modal", "sk_modalidade descricao_modalidade", [("sk_modalidade", ""), ("descricao_modalidade,descricao_tipo", "")], []),
+    ("fato_contrato", "contract_star",
+     "sk_contrato id_contrato_origem valor_contratado valor_empenhado valor_pago flag_emergency historico_credor_infringement ano sk_tempo_assinatura sk_modalidade",
+     [("sk_contrato,ano", ""), ("id_contrato_origem,ano", ""), ("id_contrato_origem", "")],
+     [("sk_tempo_assinatura", "cal", "sk_tempo"), ("sk_credor", "creditor_cur", "sk_credor"), ("sk_orgao", "agency", "sk_orgao"), ("sk_modalidade", "modal", "sk_modalidade")]),
+    ("fato_empenho", "emp_star", "sk_empenho id_empenho_origem valor ano", [("sk_empenho", ""), ("id_empenho_origem,ano", "")],
+     [("sk_tempo", "cal", "sk_tempo"), ("sk_orgao", "agency", "sk_orgao"), ("sk_credor", "creditor_cur", "sk_credor")]),
+    ("fato_ordem_bancaria", "pay_star", "sk_ordem_bancaria id_ob_origem valor ano", [("sk_ordem_bancaria", ""), ("id_ob_origem,ano", "")],
+     [("sk_tempo", "cal", "sk_tempo"), ("sk_orgao", "agency", "sk_orgao"), ("sk_credor", "creditor_cur", "sk_credor")]),
+    ("previsao_pagamento_trimestral", "forecasts", "sk_previsao trimestre_referencia valor_previsto modelo data_geracao", [("sk_previsao", "")], [("sk_orgao", "agency", "sk_orgao")]),
+    ("relatorio_insights", "reports", "sk_relatorio titulo conteudo_markdown data_geracao", [("sk_relatorio", "")], []),
+]
+
+
+def _constraint_rows() -> list[str]:
+    out = [_chk("min_rows>=1", "fato_contrato", "SELECT CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END FROM contract_star"),
+           _chk("in_set:tipo_pessoa", "dim_credor", "SELECT count(*) FILTER (WHERE tipo_pessoa IS NOT NULL AND tipo_pessoa NOT IN ('PF', 'PJ')) FROM scd"),
+           _chk("unresolved:sk_orgao", "fato_ordem_bancaria", "SELECT count(*) FILTER (WHERE sk_orgao IS NULL) FROM pay_star"),
+           _chk("unresolved:sk_credor", "fato_contrato", "SELECT count(*) FILTER (WHERE sk_credor IS NULL) FROM contract_star")]
+    for table, cte, filled, unique, foreign in _CONSTRAINTS:
+        out += [_chk(f"not_null:{c}", table, f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {cte}") for c in filled.split()]
+        out += [_chk(f"unique:{k}", table, f"SELECT count(*) FROM (SELECT 1 FROM {cte} {where} GROUP BY {k} HAVING count(*) > 1)") for k, where in unique]
+        out += [_chk(f"fk:{c}", table, f"SELECT count(*) FROM {cte} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pk} FROM {parent})") for c, parent, pk in foreign]
+    return out
+
+
+def _quality_sql() -> str:
+    return sql(*GOLD, SQL_CONTRACT_STAR, SQL_HISTORY, """
+emp_star AS (
+  SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor, row_number() OVER (ORDER BY f.id_empenho_origem, f.ano) AS sk_empenho FROM commit_fact f
+  LEFT JOIN cal t ON t.data = f.data_emissao LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj),
+pay_star AS (
+  SELECT f.*, t.sk_tempo, a.sk_orgao, c.sk_credor, row_number() OVER (ORDER BY f.id_ob_origem, f.ano) AS sk_ordem_bancaria FROM pay_fact f
+  LEFT JOIN cal t ON t.data = f.data_emissao LEFT JOIN agency a ON a.codigo_orgao = f.codigo_orgao LEFT JOIN creditor_cur c ON c.cpf_cnpj = f.cpf_cnpj)""",
     "contracts_old AS (SELECT * FROM contracts WHERE data_assinatura < TIMESTAMP '1999-01-01')",
     "commitments_old AS (SELECT * FROM commitments WHERE dataemissao < TIMESTAMP '1999-01-01')",
-    creditor_sql("contracts_old", "commitments_old", "cred_old"),
-    creditor_sql("contracts", "commitments", "cred_new"),
-    "hist AS (SELECT *, DATE '2026-01-01' AS data_inicio, CAST(NULL AS DATE) AS data_fim, true AS versao_atual, "
-    "row_number() OVER (ORDER BY cpf_cnpj) AS sk_credor FROM cred_old)",
-    """j AS (SELECT h.*, i.cpf_cnpj AS i_cpf, i.nome AS i_nome, i.tipo_pessoa AS i_tp, i.historico_infringement AS i_h
-      FROM hist h FULL OUTER JOIN cred_new i ON h.cpf_cnpj = i.cpf_cnpj)""",
-    """scd AS (
-  SELECT cpf_cnpj, tipo_pessoa, versao_atual FROM j WHERE cpf_cnpj IS NOT NULL AND (i_cpf IS NULL OR nome IS NOT DISTINCT FROM i_nome)
-  UNION ALL SELECT cpf_cnpj, tipo_pessoa, false FROM j WHERE cpf_cnpj IS NOT NULL AND i_cpf IS NOT NULL AND nome IS DISTINCT FROM i_nome
-  UNION ALL SELECT i_cpf, i_tp, true FROM j WHERE i_cpf IS NOT NULL AND (cpf_cnpj IS NULL OR nome IS DISTINCT FROM i_nome))""",
-    body="\nUNION ALL\n".join([
-        _chk("min_rows>=1", "fato_contrato", "SELECT CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END FROM contract_star"),
-        *[_chk(f"not_null:{c}", "fato_contrato", f"SELECT count(*) FILTER (WHERE {c} IS NULL) FROM contract_star")
-          for c in ["id_contrato_origem", "ano", "valor_contratado", "sk_tempo_assinatura", "sk_modalidade"]],
-        _chk("in_set:tipo_pessoa", "dim_credor",
-             "SELECT count(*) FILTER (WHERE tipo_pessoa IS NOT NULL AND tipo_pessoa NOT IN ('PF', 'PJ')) FROM scd"),
-        _chk("unique:id_contrato_origem,ano", "fato_contrato",
-             "SELECT count(*) FROM (SELECT 1 FROM contract_star GROUP BY id_contrato_origem, ano HAVING count(*) > 1)"),
-        _chk("unique:id_contrato_origem", "fato_contrato",
-             "SELECT count(*) FROM (SELECT 1 FROM contract_star GROUP BY id_contrato_origem HAVING count(*) > 1)"),
-        _chk("unique:cpf_cnpj", "dim_credor",
-             "SELECT count(*) FROM (SELECT 1 FROM scd WHERE versao_atual GROUP BY cpf_cnpj HAVING count(*) > 1)"),
-        _chk("unique:descricao_modalidade,descricao_tipo", "dim_modalidade",
-             "SELECT count(*) FROM (SELECT 1 FROM modal GROUP BY descricao_modalidade, descricao_tipo HAVING count(*) > 1)"),
-        _chk("unique:id_empenho_origem,ano", "fato_empenho",
-             "SELECT count(*) FROM (SELECT 1 FROM commit_fact GROUP BY id_empenho_origem, ano HAVING count(*) > 1)"),
-        _chk("fk:sk_credor", "fato_contrato",
-             "SELECT count(*) FROM contract_star WHERE sk_credor IS NOT NULL AND sk_credor NOT IN (SELECT sk_credor FROM creditor_cur)"),
-        _chk("fk:sk_orgao", "fato_ordem_bancaria",
-             "SELECT count(*) FROM pay_star WHERE sk_orgao IS NOT NULL AND sk_orgao NOT IN (SELECT sk_orgao FROM agency)"),
-        _chk("unresolved:sk_orgao", "fato_ordem_bancaria", "SELECT count(*) FILTER (WHERE sk_orgao IS NULL) FROM pay_star"),
-        _chk("unresolved:sk_credor", "fato_contrato", "SELECT count(*) FILTER (WHERE sk_credor IS NULL) FROM contract_star"),
-    ])))
+    creditor_sql("contracts_old", "commitments_old", "cred_old"), "scd AS (" + ORACLE["g4_scd2_merge"] + ")",
+    SQL_NAIVE.strip().lstrip(","),
+    "forecasts AS (SELECT *, row_number() OVER (ORDER BY codigo_orgao) AS sk_previsao, TIMESTAMP '2026-07-23' AS data_geracao FROM naive)",
+    "reports AS (SELECT 1 AS sk_relatorio, 'Relatório de Insights (2026-07-23)' AS titulo, '' AS conteudo_markdown, TIMESTAMP '2026-07-23' AS data_geracao)",
+    body="\nUNION ALL\n".join(_constraint_rows()))
+
+
+register("q5_quality_report", _quality_sql())
 
 register("s7_page_roundtrip", sql(SQL_CONTRACTS, body="SELECT * FROM contracts"))
 register("q3_page_checks", """
@@ -761,3 +773,92 @@ SELECT 'Relatório de Insights (2026-07-23)' AS titulo,
     '2. Revisar processos de contratação de credores com histórico de infração.', '3. Reservar orçamento conforme as previsões trimestrais por órgão.',
     '4. Investigar contratos com pagamento acima do valor contratado.', '', '_Relatório gerado por template determinístico._'], chr(10)) AS conteudo_markdown
 FROM total"""))
+
+
+# --------------------------------------------------------------------------- #
+# Quantile boosting: a round is a step of a recursive query over all rows
+# --------------------------------------------------------------------------- #
+#: The forecast model's features, quantiles, rounds, rate.
+_BOOST_FEATURES = ["trimestre", "ano_eleitoral", "valor_lag1", "valor_mesmo_trimestre_ano_anterior", "valor_contratado_acumulado", "sequencial_trimestre"]
+_ALPHAS, _ROUNDS, _RATE = (0.1, 0.5, 0.9), 150, 0.1
+
+
+def _boost_rows(source: str, label: str, train: str) -> str:
+    columns = ", ".join(f"CAST({c} AS DOUBLE) AS x{j}" for j, c in enumerate(_BOOST_FEATURES))
+    return f"SELECT codigo_orgao, {label} AS y, {train} AS train, {columns} FROM {source}"
+
+
+def _level(before: str, name: str) -> str:
+    """Best splits of the open nodes of ``before`` and the rows below them as ``name``."""
+    part = lambda c, p: f"(CASE WHEN {c} > 0 THEN ({p} - (1.0::DOUBLE - alpha) * {c}) * ({p} - (1.0::DOUBLE - alpha) * {c}) / {c} ELSE 0 END)"
+    feature = " ".join(f"WHEN {j} THEN x{j}" for j in range(len(_BOOST_FEATURES)))
+    return f"""
+{name}_cells AS (
+  SELECT alpha, node, f, CASE f {feature} END AS x, count(*) AS n, sum((res > 0)::INTEGER) AS p
+  FROM {before}, range({len(_BOOST_FEATURES)}) t(f) WHERE train AND open GROUP BY ALL),
+{name}_runs AS (
+  SELECT *, sum(n) OVER (PARTITION BY alpha, node, f ORDER BY x) AS cn, sum(p) OVER (PARTITION BY alpha, node, f ORDER BY x) AS cp,
+    sum(n) OVER (PARTITION BY alpha, node, f) AS tn, sum(p) OVER (PARTITION BY alpha, node, f) AS tp FROM {name}_cells),
+{name}_gains AS (
+  SELECT alpha, node, f, x, {part('cn', 'cp')} + {part('(tn - cn)', '(tp - cp)')} - {part('tn', 'tp')} AS gain FROM {name}_runs WHERE cn < tn),
+{name}_best AS (
+  SELECT alpha, node, arg_max({{'f': f, 'x': x}}, row(gain, -f, -x)) AS s FROM {name}_gains WHERE gain > 1e-12 GROUP BY alpha, node),
+{name} AS (
+  SELECT b.* EXCLUDE (node, open), open AND s IS NOT NULL AS open,
+    CASE WHEN open AND s IS NOT NULL THEN CASE WHEN (CASE s.f {feature} END) <= s.x THEN 2 * b.node + 1 ELSE 2 * b.node + 2 END ELSE b.node END AS node
+  FROM {before} b LEFT JOIN {name}_best USING (alpha, node))"""
+
+
+def boost_sql(rows: str, rounds: int = _ROUNDS) -> str:
+    """CTE ``boosted``: the rows of the CTE ``rows`` with p10, p50 and p90 from the model of its training rows."""
+    alphas = ", ".join(f"({a}::DOUBLE)" for a in _ALPHAS)
+    quantile = lambda v: f"""list_extract(list({v} ORDER BY {v}), CAST(floor((count(*) - 1) * any_value(alpha)) AS BIGINT) + 1) AS lo,
+    list_extract(list({v} ORDER BY {v}), CAST(ceil((count(*) - 1) * any_value(alpha)) AS BIGINT) + 1) AS hi, (count(*) - 1) * any_value(alpha) AS pos"""
+    middle = "CASE WHEN floor(pos) = ceil(pos) THEN lo ELSE (ceil(pos) - pos) * lo + (pos - floor(pos)) * hi END"
+    xs = ", ".join(f"x{j}" for j in range(len(_BOOST_FEATURES)))
+    return f"""
+alphas AS (SELECT * FROM (VALUES {alphas}) v(alpha)),
+base AS (SELECT alpha, {quantile('y')} FROM {rows}, alphas WHERE train GROUP BY alpha),
+boost AS (
+  SELECT 0 AS round, alpha, id, y, train, {xs}, {middle} AS pred FROM (SELECT row_number() OVER () AS id, * FROM {rows}), base
+  UNION ALL (
+  WITH l0 AS (SELECT *, y - pred AS res, 0 AS node, true AS open FROM boost WHERE round < {rounds}),{_level('l0', 'l1')},{_level('l1', 'l2')},{_level('l2', 'l3')},
+  leaf AS (SELECT alpha, node, {middle} AS leaf FROM (SELECT alpha, node, {quantile('res')} FROM l3 WHERE train GROUP BY alpha, node))
+  SELECT round + 1, alpha, id, y, train, {xs}, pred + {_RATE}::DOUBLE * leaf FROM l3 JOIN leaf USING (alpha, node))),
+boosted AS (
+  SELECT r.*, p10, p50, p90 FROM (SELECT row_number() OVER () AS id, * FROM {rows}) r
+  JOIN (SELECT id, max(pred) FILTER (alpha = 0.1) AS p10, max(pred) FILTER (alpha = 0.5) AS p50, max(pred) FILTER (alpha = 0.9) AS p90
+        FROM boost WHERE round = {rounds} GROUP BY id) USING (id))"""
+
+
+def _recursive(*ctes: str, body: str) -> str:
+    return sql(*ctes, body=body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL_NEXT = """
+last_feature AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY codigo_orgao ORDER BY ano DESC, trimestre DESC) AS rn,
+                   count(*) OVER (PARTITION BY codigo_orgao) AS n_quarters FROM features) WHERE rn = 1),
+next_rows AS (
+  SELECT l.codigo_orgao, l.sk_orgao, n_quarters, l.valor_total, 4 AS trimestre, 1 AS ano_eleitoral, l.valor_total AS valor_lag1,
+    coalesce(y.valor_total, l.valor_total) AS valor_mesmo_trimestre_ano_anterior, l.valor_contratado_acumulado, 2026 * 4 + 4 AS sequencial_trimestre
+  FROM last_feature l LEFT JOIN (SELECT codigo_orgao, valor_total FROM features WHERE ano = 2025 AND trimestre = 4) y USING (codigo_orgao))"""
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in _BOOST_FEATURES)
+register("m12_forecast", _recursive(
+    *BASE_FEATURES, SQL_NEXT,
+    "sent AS MATERIALIZED (" + _boost_rows("(SELECT *, count(*) OVER (PARTITION BY codigo_orgao) AS n_quarters FROM features)", "CAST(valor_total AS DOUBLE)", "true")
+    + f" WHERE n_quarters >= 5 AND {_COMPLETE} UNION ALL " + _boost_rows("next_rows", "NULL::DOUBLE", "false") + " WHERE n_quarters >= 5)",
+    boost_sql("sent"), body="""
+, p AS (
+  SELECT n.codigo_orgao, n.sk_orgao, CASE WHEN n_quarters >= 5 THEN 'quantile_boost' ELSE 'naive_persistence' END AS modelo,
+    CASE WHEN n_quarters >= 5 THEN CAST(p10 AS DECIMAL(18,2)) ELSE CAST(valor_total * 0.7 AS DECIMAL(18,2)) END AS p10,
+    CASE WHEN n_quarters >= 5 THEN CAST(p50 AS DECIMAL(18,2)) ELSE CAST(valor_total AS DECIMAL(18,2)) END AS p50,
+    CASE WHEN n_quarters >= 5 THEN CAST(p90 AS DECIMAL(18,2)) ELSE CAST(valor_total * 1.3 AS DECIMAL(18,2)) END AS p90
+  FROM next_rows n LEFT JOIN (SELECT * FROM boosted WHERE NOT train) b USING (codigo_orgao))
+SELECT codigo_orgao, sk_orgao, '2026-Q4' AS trimestre_referencia, modelo, CAST(greatest(p50, 0) AS DECIMAL(18,2)) AS valor_previsto,
+  CAST(greatest(least(p10, p50), 0) AS DECIMAL(18,2)) AS intervalo_inferior, CAST(greatest(p90, p50, 0) AS DECIMAL(18,2)) AS intervalo_superior FROM p"""))
+register("m13_backtest", _recursive(
+    *BASE_FEATURES, SQL_HOLDOUT.strip().lstrip(","),
+    "sent AS MATERIALIZED (" + _boost_rows("holdout", "CAST(valor_total AS DOUBLE)", "fold = 'train'") + ")", boost_sql("sent"), body="""
+SELECT count(*) AS n, round(avg(abs(y - p50)), 6) AS mae, round(avg(abs(y - p50) / nullif(y, 0.0)), 6) AS mape,
+  round(avg(CAST(y BETWEEN p10 AND p90 AS DOUBLE)), 6) AS coverage FROM boosted WHERE NOT train"""))

@@ -500,29 +500,76 @@ def g9_assign_keys(spark, d):
 # --------------------------------------------------------------------------- #
 
 
+#: The warehouse's constraints. Keys are unique and not null; (table, key) are parents.
+CONSTRAINTS = {
+    "dim_tempo": {"not_null": ["sk_tempo", "data", "ano", "trimestre", "mes", "dia", "dia_semana", "nome_dia_semana", "nome_mes", "ano_mes"], "unique": [["sk_tempo"], ["data"]]},
+    "dim_credor": {"not_null": ["sk_credor", "cpf_cnpj", "nome", "tipo_pessoa", "historico_infringement", "data_inicio", "versao_atual"],
+                   "in_set": {"tipo_pessoa": ["PF", "PJ"]}, "unique": [["sk_credor"], (["cpf_cnpj"], "versao_atual")]},
+    "dim_orgao": {"not_null": ["sk_orgao", "codigo_orgao", "nome"], "unique": [["sk_orgao"], ["codigo_orgao"]]},
+    "dim_modalidade": {"not_null": ["sk_modalidade", "descricao_modalidade"], "unique": [["sk_modalidade"], ["descricao_modalidade", "descricao_tipo"]]},
+    "fato_contrato": {"not_null": ["sk_contrato", "id_contrato_origem", "valor_contratado", "valor_empenhado", "valor_pago", "flag_emergency", "historico_credor_infringement", "ano",
+                                   "sk_tempo_assinatura", "sk_modalidade"],
+                      "unique": [["sk_contrato", "ano"], ["id_contrato_origem", "ano"], ["id_contrato_origem"]], "unresolved": ["sk_credor"], "min_rows": 1,
+                      "foreign": {"sk_tempo_assinatura": ("dim_tempo", "sk_tempo"), "sk_credor": ("dim_credor", "sk_credor"), "sk_orgao": ("dim_orgao", "sk_orgao"),
+                                  "sk_modalidade": ("dim_modalidade", "sk_modalidade")}},
+    "fato_empenho": {"not_null": ["sk_empenho", "id_empenho_origem", "valor", "ano"], "unique": [["sk_empenho"], ["id_empenho_origem", "ano"]],
+                     "foreign": {"sk_tempo": ("dim_tempo", "sk_tempo"), "sk_orgao": ("dim_orgao", "sk_orgao"), "sk_credor": ("dim_credor", "sk_credor")}},
+    "fato_ordem_bancaria": {"not_null": ["sk_ordem_bancaria", "id_ob_origem", "valor", "ano"], "unique": [["sk_ordem_bancaria"], ["id_ob_origem", "ano"]], "unresolved": ["sk_orgao"],
+                            "foreign": {"sk_tempo": ("dim_tempo", "sk_tempo"), "sk_orgao": ("dim_orgao", "sk_orgao"), "sk_credor": ("dim_credor", "sk_credor")}},
+    "previsao_pagamento_trimestral": {"not_null": ["sk_previsao", "trimestre_referencia", "valor_previsto", "modelo", "data_geracao"], "unique": [["sk_previsao"]],
+                                      "foreign": {"sk_orgao": ("dim_orgao", "sk_orgao")}},
+    "relatorio_insights": {"not_null": ["sk_relatorio", "titulo", "conteudo_markdown", "data_geracao"], "unique": [["sk_relatorio"]]},
+}
+
+
+def constraint_report(tables: dict[str, DataFrame], instead: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A row per constraint of the warehouse, one scan a table; ``instead``: tables checked in the place
+    of those that the others refer to."""
+    out = []
+    for name, spec in CONSTRAINTS.items():
+        spec = dict(spec)
+        spec["unique"] = [(u[0], F.expr(u[1])) if isinstance(u, tuple) else u for u in spec["unique"]]
+        spec["foreign"] = {c: (tables[parent], pk) for c, (parent, pk) in spec.get("foreign", {}).items()}
+        out.append(Q.check_table((instead or {}).get(name, tables[name]), name, **spec))
+    return Q.quality_report(out)
+
+
+ENTITIES = {"contratos": (domain.contracts, "data_assinatura"), "empenhos": (domain.commitments, "dataemissao"),
+            "ordem_bancaria_orcamentaria": (domain.payments, "dataemissao"), "unidade_gestora": (domain.units, None)}
+
+
+def stored_silver(spark, d, base: str) -> dict[str, DataFrame]:
+    """The Silver entities, built once and written under ``base``."""
+    silver = {}
+    for name, (entity, _) in ENTITIES.items():
+        df = entity(spark, d)
+        df.write.parquet(f"{base}/silver/{name}")
+        silver[name] = spark.read.schema(df.schema).parquet(f"{base}/silver/{name}")
+    return silver
+
+
 @query
 def q5_quality_report(spark, d):
-    """Constraint checks over the Gold build as (check, table, n_bad, ok) rows."""
-    dims = gold.dimensions(spark, d)
-    fc = gold.fato_contrato(spark, d, dims)
-    fo = gold.fato_ordem_bancaria(spark, d, dims)
-    fe = commitment_fact(domain.commitments(spark, d), gold.unit_map(spark, d))
-    scd = g4_scd2_merge(spark, d)
-    return Q.quality_report([
-        Q.check_min_rows(fc, "fato_contrato", 1),
-        Q.check_not_null(fc, "fato_contrato", ["id_contrato_origem", "ano", "valor_contratado",
-                                               "sk_tempo_assinatura", "sk_modalidade"]),
-        Q.check_in_set(scd, "dim_credor", "tipo_pessoa", ["PF", "PJ"]),
-        Q.check_unique(fc, "fato_contrato", ["id_contrato_origem", "ano"]),
-        Q.check_unique(fc, "fato_contrato", ["id_contrato_origem"]),
-        Q.check_unique(scd, "dim_credor", ["cpf_cnpj"], where=F.col("versao_atual")),
-        Q.check_unique(dims["dim_modalidade"], "dim_modalidade", ["descricao_modalidade", "descricao_tipo"]),
-        Q.check_unique(fe, "fato_empenho", ["id_empenho_origem", "ano"]),
-        Q.check_foreign_key(fc, "fato_contrato", "sk_credor", dims["dim_credor"], "sk_credor"),
-        Q.check_foreign_key(fo, "fato_ordem_bancaria", "sk_orgao", dims["dim_orgao"], "sk_orgao"),
-        Q.check_null_keys(fo, "fato_ordem_bancaria", "sk_orgao"),
-        Q.check_null_keys(fc, "fato_contrato", "sk_credor"),
-    ])
+    """Every constraint of the warehouse over a Gold load as (check, table, n_bad, ok) rows; creditors
+    are those of two loads, with closed and current versions."""
+    from spendlake.plans.load import load_gold
+    base = scratch_path(spark, "quality")
+    silver = stored_silver(spark, d, base)
+    tables = load_gold(spark, silver, f"{base}/gold", gold.LOAD_DATE)
+    con, emp = silver["contratos"], silver["empenhos"]
+    before = F.lit(PREVIOUS_CUTOFF).cast("timestamp_ntz")
+    past = creditor_dim(con.filter(F.col("data_assinatura") < before), emp.filter(F.col("dataemissao") < before)).select(
+        "*", F.lit(PREVIOUS_LOAD).cast("date").alias("data_inicio"), F.lit(None).cast("date").alias("data_fim"), F.lit(True).alias("versao_atual"))
+    history = scd2_merge(assign_keys(past, "sk_credor", ["cpf_cnpj"]), creditor_dim(con, emp), "cpf_cnpj", versioned=["nome"], inplace=["historico_infringement"],
+                         as_of=gold.LOAD_DATE, sk="sk_credor")
+    stamp = F.lit(str(gold.LOAD_DATE)).cast("timestamp_ntz").alias("data_geracao")
+    features = stored_forecast_features(tables["fato_ordem_bancaria"], tables["fato_contrato"], tables["dim_orgao"]).checkpoint(eager=True)
+    naive = clamp_interval(naive_forecast(features, "codigo_orgao")).join(
+        next_quarter_rows(features, "codigo_orgao", gold.LOAD_DATE).select("codigo_orgao", "trimestre_referencia"), "codigo_orgao")
+    naive = naive.select("codigo_orgao", "sk_orgao", "trimestre_referencia", "valor_previsto", "intervalo_inferior", "intervalo_superior", F.lit("naive_persistence").alias("modelo"), stamp)
+    report = build_report(tables, tables["fato_contrato"], naive, str(gold.LOAD_DATE)).select("*", stamp)
+    made = {"previsao_pagamento_trimestral": assign_keys(naive, "sk_previsao", ["codigo_orgao"]), "relatorio_insights": assign_keys(report, "sk_relatorio", ["titulo"])}
+    return constraint_report(tables | made, {"dim_credor": history})
 
 
 # --------------------------------------------------------------------------- #
@@ -749,14 +796,8 @@ def i3_two_loads(spark, d):
     the first load stay, renamed creditors have a closed and a current version."""
     from spendlake.plans.load import load_gold
     base = scratch_path(spark, "two-loads")
-    entities = {"contratos": (domain.contracts, "data_assinatura"), "empenhos": (domain.commitments, "dataemissao"),
-                "ordem_bancaria_orcamentaria": (domain.payments, "dataemissao"), "unidade_gestora": (domain.units, None)}
-    silver = {}
-    for name, (entity, _) in entities.items():
-        df = entity(spark, d)
-        df.write.parquet(f"{base}/silver/{name}")
-        silver[name] = spark.read.schema(df.schema).parquet(f"{base}/silver/{name}")
-    before = {n: df.filter(F.col(entities[n][1]) < F.lit(PREVIOUS_CUTOFF).cast("timestamp_ntz")) if entities[n][1] else df.filter("ano < 1998")
+    silver = stored_silver(spark, d, base)
+    before = {n: df.filter(F.col(ENTITIES[n][1]) < F.lit(PREVIOUS_CUTOFF).cast("timestamp_ntz")) if ENTITIES[n][1] else df.filter("ano < 1998")
               for n, df in silver.items()}
     load_gold(spark, before, f"{base}/gold", PREVIOUS_LOAD)
     tables = load_gold(spark, silver, f"{base}/gold", gold.LOAD_DATE)
