@@ -17,6 +17,7 @@ differing one too (``changed``); repeated revisit rows give repeated results.
 """
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,11 +55,12 @@ def latest_before(events: DataFrame, key: str, order: list[str], value: str, dat
     """``events`` with ``latest``: the last non-null ``value`` of the key before each row, by ``order``."""
     n = events.count()
     buckets = max(1, -(-n // rows_per_bucket))
-    cuts = events.select(F.unix_micros(date).alias("t")).approxQuantile("t", [i / buckets for i in range(1, buckets)], 0.1 / buckets) if buckets > 1 else []
-    bucket = F.lit(0)
-    for c in sorted(set(cuts)):
-        bucket = bucket + F.when(F.unix_micros(date) > c, 1).otherwise(0)
-    events = events.withColumn("_bucket", bucket)
+    events = events.withColumn("_t", F.coalesce(F.unix_micros(date).cast("double"), F.lit(float("-inf"))))
+    cuts = events.approxQuantile("_t", [i / buckets for i in range(1, buckets)], 0.1 / buckets) if buckets > 1 else []
+    # the bucket is found by binary search: neither the plan nor a row's work grows with the number of buckets
+    splits = [float("-inf"), *sorted({c for c in cuts if c > float("-inf")}), float("inf")]
+    events = Bucketizer(splits=splits, inputCol="_t", outputCol="_at").transform(events) if len(splits) > 2 else events.withColumn("_at", F.lit(0))
+    events = events.withColumn("_bucket", F.col("_at").cast("int")).drop("_t", "_at")
     last = events.filter(F.col(value).isNotNull()).groupBy(key, "_bucket").agg(F.max_by(value, F.struct(*order)).alias("_last"))
     grid = events.groupBy(key, "_bucket").agg(F.lit(1).alias("_one")).join(last, [key, "_bucket"], "left")
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -59,3 +59,12 @@ def test_canonical_urls(spark):
 
 def test_empty_table(spark):
     assert R.resolve_revisits(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_five_thousand_buckets_and_null_dates(spark):
+    """The plan does not grow with the buckets, and the answer is that of one bucket."""
+    events = spark.range(10_000).selectExpr("id % 7 AS k", "id AS i", "CASE WHEN id % 11 > 0 THEN timestamp_seconds((id * 7919) % 9973) END AS t", "CASE WHEN id % 3 = 0 THEN id END AS v")
+    plan = lambda n: len(R.latest_before(events, "k", ["t", "i"], "v", "t", n)._jdf.queryExecution().optimizedPlan().toString())
+    got = sorted(map(tuple, R.latest_before(events, "k", ["t", "i"], "v", "t", 2).select("k", "i", "latest").collect()))
+    assert got == sorted(map(tuple, R.latest_before(events, "k", ["t", "i"], "v", "t", 10_000).select("k", "i", "latest").collect()))
+    assert plan(2) <= 1.2 * plan(1_000)
