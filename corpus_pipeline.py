@@ -2,7 +2,9 @@
 
 Each stage takes all documents that its predecessor kept and returns a DataFrame, which is
 written as Parquet and read again as the next one's documents. All stages but the last return the
-columns of ``documents``. SQL can't express them (zstandard, token ids), so the pipeline is tested
+columns of ``documents``: columns that an operator would name alike go through it under names of their
+own and come out unchanged. A null or empty text has no words and goes in the first stage; ties (copies)
+leave the smallest id; repeated rows become one among near-copies; an empty table passes through. SQL can't express them (zstandard, token ids), so the pipeline is tested
 against a brute-force version.
 """
 from __future__ import annotations
@@ -16,24 +18,34 @@ from spendlake.llm.frames import stored, table
 ORACLE_SQL = None
 
 
+def _apart(docs: DataFrame, *read: str) -> tuple[DataFrame, list]:
+    """``docs`` with every column but ``read`` under a private name, and the way back."""
+    private = {c: f"own{i}__" for i, c in enumerate(docs.columns) if c not in read}
+    return docs.withColumnsRenamed(private), [F.col(private.get(c, c)).alias(c) for c in docs.columns]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and lie inside their compression bands."""
-    return quality_bands.quality_rules(docs).filter("kept").select(*docs.columns)
+    apart, back = _apart(docs, "text")
+    return quality_bands.quality_rules(apart).filter("kept").select(*back)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told apart."""
-    return language.language_id(docs).filter("NOT lang_rejected").select(*docs.columns)
+    apart, back = _apart(docs, "doc_id", "text", "lang")
+    return language.language_id(apart).filter("NOT lang_rejected").select(*back)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies."""
-    return jaccard_join.one_of_each(docs)
+    apart, back = _apart(docs, "doc_id", "text")
+    return jaccard_join.one_of_each(apart).select(*back)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without benchmark passages; documents that are mostly benchmark go."""
-    clean = decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark"))
+    apart, back = _apart(docs, "text")
+    clean = decontaminate.remove_spans(apart, table(spark, sf_dir, "benchmark")).select(*back)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 

@@ -52,3 +52,20 @@ def test_edges_go_through(spark):
     for _, stage in P.STAGES:
         df = stage(spark, df, SF).checkpoint()
     assert df.count() == 0
+
+
+def test_columns_that_operators_name_alike_pass_unchanged(spark):
+    from pyspark.sql import functions as F
+
+    from tests.llm.helpers import prose
+    df = docs(spark, [prose(60, i) for i in range(30)] + [prose(60, 3)])
+    more = {"n_words": F.lit(-1), "kept": F.lit("mine"), "band": F.lit("mine"), "score": F.lit(-5.0), "lang_pred": F.col("doc_id"), "component_id": F.lit("c"), "_n_words": F.lit(7), "_hit_from": F.lit(0)}
+    df = df.withColumns(more).checkpoint()
+    rows = {r["doc_id"]: r for r in df.collect()}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, df, SF).checkpoint()
+        assert out.schema == df.schema, name
+        got = out.collect()
+        assert got and all(r == rows[r["doc_id"]] for r in got), name
+        df = out
+    assert set(P.pack(spark, df, SF).columns) >= {"doc_id", "sequence_id"}
