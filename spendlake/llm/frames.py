@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from spendlake.session import prepare, scratch_path
 
 BATCH_ROWS = "1000"     # rows in an Arrow batch: whole texts, so batches are kept short
+BATCH_BYTES = "4m"      # a longer text comes alone
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +21,7 @@ def ready(df: DataFrame) -> SparkSession:
     """The session of ``df``, set up, with short Arrow batches."""
     spark = prepare(df.sparkSession)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -6,11 +6,12 @@ by several islands, each a group of its own in Spark: a population of packings s
 best-fit orders; crossover injects well-filled bins of one parent into another, bins that hold
 an injected piece are taken apart (so nothing is there twice) and displaced pieces are best-fit
 again, largest first. After each epoch an island's elite migrates to the next island. Bins of
-the best packing that stay badly filled are opened and their pieces dealt anew, round by round.
+the best packing that stay badly filled are opened and their pieces dealt anew into larger shards,
+round by round.
 
 Defined cases: a null text is empty and gives the closing id alone; an empty table gives no
 pieces; repeated rows are pieces of their own (numbered once, in a written table); ties between
-packings go to the smaller island and rank; results depend on the rows alone.
+packings go to the smaller island and rank. Results depend on the rows and on how they lie in files.
 """
 from __future__ import annotations
 
@@ -31,9 +32,9 @@ SEQUENCE = 1024
 CLOSING_ID = 2
 SHARD = 1500            # pieces packed together: bounds an island's memory
 ISLANDS, POPULATION = 2, 4
-EPOCHS, GENERATIONS = 2, 5
-ROUNDS = 3              # times that badly filled bins are opened and dealt anew
-GOOD_FILL = 0.985       # bins filled less are opened again
+EPOCHS, GENERATIONS = 2, 10
+GOOD_FILL = (0.998, 0.995, 0.99, 0.0)   # by round: bins filled less are opened and their pieces dealt anew
+GROWTH = 4              # shards double from round to round, up to so many times SHARD
 SOLUTION = "shard long, island int, rank int, sizes array<int>, bins array<array<int>>"
 
 
@@ -121,9 +122,9 @@ def _migrated(state: DataFrame) -> DataFrame:
     return state.filter(F.col("rank") < POPULATION - 1).unionByName(elite)
 
 
-def pack_round(items: DataFrame, capacity: int, seed: int) -> DataFrame:
+def pack_round(items: DataFrame, capacity: int, seed: int, shard: int) -> DataFrame:
     """(uid, length, shard, bin, place, fill) of every item (uid, length) by the islands' best packing."""
-    shards = max(1, -(-items.count() // SHARD))
+    shards = max(1, -(-items.count() // shard))
     dealt = stored(items.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(shards)).alias("shard")), "dealt")
     sizes = dealt.groupBy("shard").agg(F.array_sort(F.collect_list("length")).cast("array<int>").alias("sizes"))
     state = sizes.select("shard", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"), F.lit(0).alias("rank"), "sizes",
@@ -145,22 +146,21 @@ def pack_round(items: DataFrame, capacity: int, seed: int) -> DataFrame:
         slots.select("*", nth("bin", "place")), ["shard", "length", "nth"]).select("uid", "length", "shard", "bin", "place", "fill")
 
 
-def pack(items: DataFrame, capacity: int = SEQUENCE, rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = SEQUENCE, good_fill: tuple = GOOD_FILL) -> DataFrame:
     """(uid, sequence_id, offset) of every item (uid long, length); lengths are at most the capacity."""
     done, left = [], items.select("uid", "length")
-    for r in range(rounds):
-        placed = stored(pack_round(left, capacity, r), "packed")
-        final = r + 1 == rounds
-        shut = placed if final else placed.filter(F.col("fill") >= GOOD_FILL * capacity)
+    for r, good in enumerate(good_fill):
+        placed = stored(pack_round(left, capacity, r, SHARD * min(GROWTH, 1 << r)), "packed")
+        shut = placed.filter(F.col("fill") >= good * capacity)
         done.append(shut.withColumn("round", F.lit(r)))
-        left = placed.filter(F.col("fill") < GOOD_FILL * capacity).select("uid", "length")
-        if final or left.isEmpty():
+        left = placed.filter(F.col("fill") < good * capacity).select("uid", "length")
+        if not good or left.isEmpty():
             break
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
     before = Window.partitionBy("round", "shard", "bin").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    number = (F.col("shard") * (1 << 12) + F.col("bin")) * 8 + F.col("round")
+    number = (F.col("shard") * (1 << 16) + F.col("bin")) * 8 + F.col("round")     # a shard has far fewer bins
     return out.select("uid", number.alias("sequence_id"), F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
 
 
@@ -176,8 +176,8 @@ def _pieces(path: str, capacity: int, id_type: pa.DataType):
         own = tokens.encoder(path)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for d, raw in enumerate(own.encode([t or "" for t in batch.column(1).to_pylist()])):
-                raw += closing
+            for d, ids in enumerate(own.slices(batch.column(1))):
+                raw = ids.tobytes() + closing
                 n = len(raw) // 4
                 at = 0
                 for k in range(-(-n // capacity)):

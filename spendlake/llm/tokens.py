@@ -2,22 +2,32 @@
 
 Byte-level BPE first cuts a text so that no cut piece goes from a visible character into white
 space. A single space between two visible characters therefore always begins a new piece, and
-what stands between two such spaces is encoded alike wherever it stands. Each worker keeps the
-ids of the pieces it has met (at most ``MEMO`` of them, then it starts anew), and new pieces go
-to the library in one call per batch.
+what stands between two such spaces is encoded alike wherever it stands. Texts are cut, their pieces
+made distinct and their ids put together array-wise, so Python sees only the distinct pieces of a slice
+of text. Each worker keeps the ids of the first pieces it has met, up to ``MEMO_BYTES`` of them, and
+other pieces go to the library in one call per slice.
 """
 from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MEMO = 600_000
+from spendlake.llm import text as X
+
+MEMO_BYTES = 96 << 20   # of pieces and ids, with about ENTRY bytes for each entry of the dictionary
+SLICE = 4 << 20         # bytes of text encoded at once
+ENTRY = 220
 #: A space between two characters that are surely visible for every white-space definition.
 _INVISIBLE = r"\s\x00-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _CUT = re.compile(f"(?<=[^{_INVISIBLE}]) (?=[^{_INVISIBLE}])")
-_ODD_SPACE = re.compile(f" [{_INVISIBLE}]|[{_INVISIBLE}] |^ | $")
+#: The same characters for the search in whole columns: a space that is not such a cut.
+_ODD_SPACE = " [{0}]|[{0}] |^ | $".format("".join(
+    ["\\x00-\\x20\\x7f-\\x{a0}", *(f"\\x{{{c}}}" for c in ("1680", "180e")), "\\x{2000}-\\x{200f}", "\\x{2028}-\\x{202f}", "\\x{205f}-\\x{206f}", "\\x{3000}", "\\x{feff}"]))
 
 
 class Encoder:
@@ -31,13 +41,15 @@ class Encoder:
         size = self.library.get_vocab_size()
         self.spaced = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Put the ids of pieces that follow a space into the memo."""
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that follow a space, from the library."""
+        out: dict[str, bytes] = {}
         simple = [p for p in pieces if " " not in p]
         for lo in range(0, len(simple), 20_000):
             some = simple[lo:lo + 20_000]
@@ -46,25 +58,65 @@ class Encoder:
             if len(cuts) == len(some) and len(cuts) and cuts[0] == 0:
                 bounds = [*(4 * cuts).tolist(), 4 * len(ids)]
                 raw = ids.tobytes()
-                self.memo.update((p, raw[a:b]) for p, a, b in zip(some, bounds, bounds[1:]))
+                out.update((p, raw[a:b]) for p, a, b in zip(some, bounds, bounds[1:]))
             else:
-                self.memo.update(zip(some, self.plain([" " + p for p in some])))
+                out.update(zip(some, self.plain([" " + p for p in some])))
         rest = [p for p in pieces if " " in p]
         if rest:
-            self.memo.update(zip(rest, self.plain([" " + p for p in rest])))
+            out.update(zip(rest, self.plain([" " + p for p in rest])))
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
-        new = {p for pieces in cut for p in pieces[1:]}
-        if len(self.memo) > MEMO:
-            self.memo = {}
+    def known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces that follow a space."""
         memo = self.memo
-        new = [p for p in new if p not in memo]
-        if new:
-            self.learn(new)
-        heads = self.plain([pieces[0] for pieces in cut])
-        get = memo.__getitem__
-        return [head + b"".join(map(get, pieces[1:])) for head, pieces in zip(heads, cut)]
+        new = [p for p in pieces if p not in memo]
+        if not new:
+            return list(map(memo.__getitem__, pieces))
+        learned = self.learn(new)
+        if self.held < MEMO_BYTES:      # full: what came first, and so is common, stays
+            memo.update(learned)
+            self.held += ENTRY * len(new) + sum(map(len, learned)) + sum(map(len, learned.values()))
+        return [memo.get(p) or learned[p] for p in pieces]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self.slices(pa.array(texts, pa.string()))]
+
+    def slices(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text of a column, in order; a null text is empty."""
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        offsets = X.utf8(column)[1]
+        for lo, hi in X.slices(offsets, SLICE):
+            yield from self._slice(column.slice(lo, hi - lo))
+
+    def _slice(self, texts: pa.Array) -> list[np.ndarray]:
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts, " ")
+        first, pieces = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
+        first = first - first[0]
+        if odd.any():       # cut these by the exact rule
+            cut = [_CUT.split(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+            own = iter(cut)
+            parts = [next(own) if o else pieces.slice(a, b - a).to_pylist() for o, a, b in zip(odd.tolist(), first[:-1].tolist(), first[1:].tolist())]
+            first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+            pieces = pa.array([x for p in parts for x in p], pa.large_string())
+        # a text's first piece follows no space: it is encoded by itself
+        head = np.zeros(len(pieces), bool)
+        head[first[:-1]] = True
+        coded = pieces.filter(pa.array(~head)).dictionary_encode()
+        ids = [*self.known(coded.dictionary.to_pylist()), *self.plain(pieces.take(pa.array(first[:-1])).to_pylist())]
+        which = np.empty(len(pieces), np.int64)
+        which[~head] = coded.indices.to_numpy(zero_copy_only=False)
+        which[head] = len(coded.dictionary) + np.arange(len(texts))
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        begin = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else np.zeros(0, np.int64)
+        source = np.frombuffer(b"".join(ids), "<u4")
+        length = size[which]
+        end = np.cumsum(length)
+        out = source[np.repeat(begin[which] - (end - length), length) + np.arange(int(end[-1]) if len(end) else 0)]
+        edges = np.concatenate([[0], end])[first]
+        return [out[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 _ENCODERS: dict[str, Encoder] = {}
