@@ -32,7 +32,7 @@ SEQUENCE = 1024
 CLOSING_ID = 2
 SHARD = 1500            # pieces packed together: bounds an island's memory
 ISLANDS, POPULATION = 2, 4
-EPOCHS, GENERATIONS = 2, 10
+EPOCHS, GENERATIONS = 2, 6
 GOOD_FILL = (0.998, 0.995, 0.99, 0.0)   # by round: bins filled less are opened and their pieces dealt anew
 GROWTH = 4              # shards double from round to round, up to so many times SHARD
 SOLUTION = "shard long, island int, rank int, sizes array<int>, bins array<array<int>>"

@@ -19,9 +19,8 @@ import pyarrow.compute as pc
 
 from spendlake.llm import text as X
 
-MEMO_BYTES = 96 << 20   # of pieces and ids, with about ENTRY bytes for each entry of the dictionary
+MEMO_BYTES = 64 << 20   # of hashes, places and ids: about 35 bytes a piece
 SLICE = 4 << 20         # bytes of text encoded at once
-ENTRY = 220
 #: A space between two characters that are surely visible for every white-space definition.
 _INVISIBLE = r"\s\x00-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _CUT = re.compile(f"(?<=[^{_INVISIBLE}]) (?=[^{_INVISIBLE}])")
@@ -40,14 +39,15 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         size = self.library.get_vocab_size()
         self.spaced = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.memo: dict[str, bytes] = {}
-        self.held = 0
+        # pieces by a 128-bit hash, ordered by its first half; ids of all pieces one after the other
+        self.hash1, self.hash2 = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begin, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4")
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+    def learn(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces that follow a space, from the library."""
         out: dict[str, bytes] = {}
         simple = [p for p in pieces if " " not in p]
@@ -64,19 +64,30 @@ class Encoder:
         rest = [p for p in pieces if " " in p]
         if rest:
             out.update(zip(rest, self.plain([" " + p for p in rest])))
-        return out
-
-    def known(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces that follow a space."""
-        memo = self.memo
-        new = [p for p in pieces if p not in memo]
-        if not new:
-            return list(map(memo.__getitem__, pieces))
-        learned = self.learn(new)
-        if self.held < MEMO_BYTES:      # full: what came first, and so is common, stays
-            memo.update(learned)
-            self.held += ENTRY * len(new) + sum(map(len, learned)) + sum(map(len, learned.values()))
-        return [memo.get(p) or learned[p] for p in pieces]
+        return [out[p] for p in pieces]
+
+    def known(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, size): the ids of distinct pieces that follow a space lie at begin:begin + size."""
+        data, offsets = X.utf8(pieces)
+        words = X.Words(offsets[:-1], offsets[1:], offsets)
+        hash1, hash2 = X.word_hashes(data, words), X.word_hashes(data ^ np.uint8(0x5A), words)
+        place = np.searchsorted(self.hash1, hash1)
+        at = np.minimum(place, max(0, len(self.hash1) - 1))
+        hit = (self.hash1[at] == hash1) & (self.hash2[at] == hash2) if len(self.hash1) else np.zeros(len(place), bool)
+        begin, size, ids = np.zeros(len(place), np.int64), np.zeros(len(place), np.int32), self.ids
+        begin[hit], size[hit] = self.begin[at[hit]], self.size[at[hit]]
+        new = np.flatnonzero(~hit)
+        if len(new):
+            learned = self.learn(pieces.take(pa.array(new)).to_pylist())
+            size[new] = [len(x) // 4 for x in learned]
+            begin[new] = len(ids) + np.cumsum(size[new]) - size[new]
+            ids = np.concatenate([ids, np.frombuffer(b"".join(learned), "<u4")])
+            if self.ids.nbytes + 28 * len(self.hash1) < MEMO_BYTES:     # full: what came first, and so is common, stays
+                new = new[np.argsort(hash1[new], kind="stable")]
+                self.ids = ids
+                for name, values in (("hash2", hash2), ("begin", begin), ("size", size), ("hash1", hash1)):
+                    setattr(self, name, np.insert(getattr(self, name), place[new], values[new]))
+        return ids, begin, size
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [ids.tobytes() for ids in self.slices(pa.array(texts, pa.string()))]
@@ -105,13 +116,15 @@ class Encoder:
         head = np.zeros(len(pieces), bool)
         head[first[:-1]] = True
         coded = pieces.filter(pa.array(~head)).dictionary_encode()
-        ids = [*self.known(coded.dictionary.to_pylist()), *self.plain(pieces.take(pa.array(first[:-1])).to_pylist())]
+        ids, begin, size = self.known(coded.dictionary)
+        heads = self.plain(pieces.take(pa.array(first[:-1])).to_pylist())
+        own = np.array([len(x) // 4 for x in heads], np.int64)
+        begin = np.concatenate([begin, len(ids) + np.cumsum(own) - own])
+        size = np.concatenate([size.astype(np.int64), own])
+        source = np.concatenate([ids, np.frombuffer(b"".join(heads), "<u4")])
         which = np.empty(len(pieces), np.int64)
         which[~head] = coded.indices.to_numpy(zero_copy_only=False)
         which[head] = len(coded.dictionary) + np.arange(len(texts))
-        size = np.array([len(x) // 4 for x in ids], np.int64)
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else np.zeros(0, np.int64)
-        source = np.frombuffer(b"".join(ids), "<u4")
         length = size[which]
         end = np.cumsum(length)
         out = source[np.repeat(begin[which] - (end - length), length) + np.arange(int(end[-1]) if len(end) else 0)]
