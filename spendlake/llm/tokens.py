@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 from spendlake.llm import text as X
 
-MEMO_BYTES = 64 << 20   # of hashes, places and ids: about 35 bytes a piece
-SLICE = 4 << 20         # bytes of text encoded at once
+MEMO_BYTES = 48 << 20   # of hashes, places and ids: about 35 bytes a piece
+SLICE = 2 << 20         # bytes of text encoded at once
 #: A space between two characters that are surely visible for every white-space definition.
 _INVISIBLE = r"\s\x00-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _CUT = re.compile(f"(?<=[^{_INVISIBLE}]) (?=[^{_INVISIBLE}])")
@@ -135,8 +135,18 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def give_back() -> None:
+    """Hand free memory back to the system: a worker that is used again holds what earlier stages freed."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a vocabulary file."""
+    give_back()
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
