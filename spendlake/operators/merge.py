@@ -76,8 +76,10 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], sk:
     """Add source rows whose key is not in the target (``ON CONFLICT DO NOTHING``).
 
     Of source rows with one key the smallest by the other columns counts (nulls first); a null
-    part of the key is one value when ``null_safe``. New rows get keys after the target's max.
+    part of the key is one value when ``null_safe``, else such rows have no key and are left out (they
+    would be absent, and come in, on every load). New rows get keys after the target's max.
     """
+    source = source if null_safe else source.dropna(subset=list(keys))
     cols = [c for c in target.columns if c != sk]
     rest = [c for c in cols if c not in keys]
     if rest:
@@ -111,8 +113,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     Matched rows take ``update_cols`` from the source — a null in the source overwrites —
     and keep every other column (surrogate key included) from the target. Unmatched source
     rows are inserted with ``insert_cols`` (default: all source columns present in the
-    target) and fresh keys. Target rows absent from the source pass through.
+    target) and fresh keys. Target rows absent from the source pass through. Source rows with a null
+    in their key are left out: they match nothing, so each load would insert them again.
     """
+    source = source.dropna(subset=list(keys))
     if check_unique:
         require_unique(source, keys)
     insert_cols = list(insert_cols) if insert_cols is not None else [
@@ -159,8 +163,10 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, key: str, versioned: Seq
     version is closed (``end_col`` = ``as_of``, not current) and a new version opens on
     ``as_of``. New: a first version opens on ``as_of``. Same: ``inplace`` columns are
     overwritten in the current version. Closed versions and keys absent from the batch pass
-    through. New versions get surrogate keys after the history's max.
+    through. New versions get surrogate keys after the history's max. Incoming rows without a key
+    are left out.
     """
+    incoming = incoming.dropna(subset=[key])
     require_unique(incoming, [key])
     as_of_c = F.lit(str(as_of)).cast("date")
     hcols = history.columns

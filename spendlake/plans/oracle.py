@@ -862,3 +862,13 @@ register("m13_backtest", _recursive(
     "sent AS MATERIALIZED (" + _boost_rows("holdout", "CAST(valor_total AS DOUBLE)", "fold = 'train'") + ")", boost_sql("sent"), body="""
 SELECT count(*) AS n, round(avg(abs(y - p50)), 6) AS mae, round(avg(abs(y - p50) / nullif(y, 0.0)), 6) AS mape,
   round(avg(CAST(y BETWEEN p10 AND p90 AS DOUBLE)), 6) AS coverage FROM boosted WHERE NOT train"""))
+
+register("g12_null_key_loads", sql(SQL_CONTRACTS, SQL_CONTRACT_FACT, body="""
+, old AS (
+  SELECT id_contrato_origem, ano, row_number() OVER (ORDER BY id_contrato_origem, ano) AS sk_contrato, status FROM contract_fact WHERE data_assinatura < DATE '1999-01-01'),
+fresh AS (SELECT id_contrato_origem, ano, valor_contratado, status FROM contract_fact WHERE status <> 'P')
+SELECT o.id_contrato_origem, o.ano, coalesce(f.valor_contratado, CAST(0 AS DECIMAL(18,2))) AS valor_contratado, o.status, o.sk_contrato
+FROM old o LEFT JOIN fresh f USING (id_contrato_origem, ano)
+UNION ALL
+SELECT f.id_contrato_origem, f.ano, f.valor_contratado, f.status, (SELECT max(sk_contrato) FROM old) + row_number() OVER (ORDER BY f.id_contrato_origem, f.ano)
+FROM fresh f ANTI JOIN old o USING (id_contrato_origem, ano)"""))

@@ -479,6 +479,18 @@ def g7_upsert_payments(spark, d):
     return _upsert_lines(spark, d, payment_fact, domain.payments, "id_ob_origem", "codigo", "sk_ordem_bancaria")
 
 
+@query
+def g12_null_key_loads(spark, d):
+    """Two loads of contracts of which those of status P have lost their id: they never come in."""
+    fact = contract_fact(domain.contracts(spark, d)).select("id_contrato_origem", "ano", "valor_contratado", "status", "data_assinatura")
+    source = fact.withColumn("id_contrato_origem", F.when(F.col("status") != "P", F.col("id_contrato_origem"))).drop("data_assinatura")
+    old = fact.filter(F.col("data_assinatura") < F.lit(PREVIOUS_CUTOFF).cast("date")).drop("data_assinatura").withColumn("valor_contratado", F.lit(0).cast("decimal(18,2)"))
+    table = assign_keys(old, "sk_contrato", ["id_contrato_origem", "ano"])
+    for _ in range(2):
+        table = merge_upsert(table, source, ["id_contrato_origem", "ano"], update_cols=["valor_contratado", "status"], sk="sk_contrato")
+    return table
+
+
 @query
 def g8_update_by_key(spark, d):
     """Write anomaly-style scores back onto the contract fact by (key, year)."""
@@ -692,9 +704,12 @@ def q3_page_checks(spark, d):
 
 @query
 def k4_partitioned_roundtrip(spark, d):
-    """Silver payments written by year/month of emission (null dates dropped) and read back."""
+    """Silver payments written by year/month of emission (null dates dropped) and read back. An earlier
+    write had them two years later: none of its months stays."""
     path = scratch_path(spark, "silver_payments")
-    write_partitioned(domain.payments(spark, d), path, "dataemissao")
+    pay = domain.payments(spark, d)
+    write_partitioned(pay.withColumn("dataemissao", F.col("dataemissao") + F.expr("INTERVAL 2 YEARS")), path, "dataemissao")
+    write_partitioned(pay, path, "dataemissao", whole=True)
     return read_partitioned(spark, path)
 
 

@@ -134,3 +134,18 @@ def test_second_gold_load_keeps_keys_and_history(spark, tmpdir_path):
     assert cred.count() == old + renamed and cred.filter("versao_atual").groupBy("cpf_cnpj").count().filter("count > 1").isEmpty()
     current = {r["sk_credor"] for r in cred.filter("versao_atual").collect()}
     assert {r["sk_credor"] for r in two["fato_contrato"].filter("id_contrato_origem % 5 != 0").collect()} <= current
+
+
+def test_rows_without_a_key_never_come_in(spark):
+    """Null keys: neither loads that repeat nor the creditor history take them up."""
+    from spendlake.operators.merge import insert_absent, merge_upsert, scd2_merge
+    target = spark.createDataFrame([(1, 1, "a")], "sk long, k long, v string")
+    source = spark.createDataFrame([(1, "b"), (None, "x"), (2, "c")], "k long, v string")
+    once = merge_upsert(target, source, ["k"], ["v"], sk="sk").checkpoint()
+    twice = merge_upsert(once, source, ["k"], ["v"], sk="sk")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [(1, 1, "b"), (2, 2, "c")]
+    assert sorted(r["k"] for r in insert_absent(target, source, ["k"], sk="sk").collect()) == [1, 2]
+    history = spark.createDataFrame([(1, "d1", "A", "2025-01-01", None, True)], "sk long, doc string, nome string, data_inicio string, data_fim string, versao_atual boolean")
+    history = history.selectExpr("sk", "doc", "nome", "CAST(data_inicio AS DATE) AS data_inicio", "CAST(data_fim AS DATE) AS data_fim", "versao_atual")
+    out = scd2_merge(history, spark.createDataFrame([("d1", "A"), (None, "N")], "doc string, nome string"), "doc", ["nome"], [], "2026-01-01").collect()
+    assert [(r["doc"], r["nome"], r["versao_atual"]) for r in out] == [("d1", "A", True)]

@@ -163,3 +163,28 @@ def test_read_pages_reference_layout(spark, tmpdir_path):
     assert all(r["nome"] == "Órgão ç" for r in rows)
     chk = {r["run_id"]: (r["pages"], r["ok"]) for r in page_checks(spark, tmpdir_path).collect()}
     assert chk == {"20260101": (3, True), "20260102": (2, True)}
+
+
+def test_a_month_that_lost_its_rows_disappears(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "2026-01-05"), (2, "2026-02-05")], "id int, d string").selectExpr("id", "CAST(d AS DATE) AS d")
+    write_partitioned(df, tmpdir_path + "/t", "d")
+    write_partitioned(df.filter("id = 2"), tmpdir_path + "/t", "d")
+    assert read_partitioned(spark, tmpdir_path + "/t").count() == 2         # only the months of the batch are replaced
+    write_partitioned(df.filter("id = 2"), tmpdir_path + "/t", "d", whole=True)
+    assert [r["id"] for r in read_partitioned(spark, tmpdir_path + "/t").collect()] == [2]
+
+
+def test_the_same_batch_twice_is_one_batch(spark, tmpdir_path):
+    from spendlake.sources.tables import append_batch
+    df = spark.range(3)
+    for stamp in ("2026-07-22 00:00:00", "2026-07-23 00:00:00", "2026-07-23 00:00:00"):
+        append_batch(df, tmpdir_path + "/b", stamp)
+    got = spark.read.parquet(tmpdir_path + "/b")
+    assert got.count() == 6 and got.filter(F.col("data_geracao") == got.select(F.max("data_geracao")).scalar()).count() == 3
+
+
+def test_entry_works_without_the_libraries_of_the_training_operators():
+    import subprocess
+    import sys
+    code = "import sys, warnings; warnings.simplefilter('ignore'); sys.modules['zstandard'] = None; import __spark_entry__ as E; q = E.queries(); assert len(q) > 60 and 'op1_context_mixing' not in q and 'm5_anomaly_scores' in q"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
