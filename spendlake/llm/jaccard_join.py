@@ -14,12 +14,18 @@ classes are joined:
   first few. What meets that often is verified on the whole sets.
 * x is the size at which enumerating costs more rows than lists would, over the sizes present.
 
-A list of copies is not turned into pairs: each list is first verified against one hub. Then, for
-a few rounds, entries of long lists that are in different components are verified against their
-neighbours in a hashed order, another one in every list, which joins a group whose members are
-alike without all being like one hub. Only entries of different components that still meet are
-then compared one by one, which makes the result exact whatever the rounds have found. Lists of
-very common shingles are salted and have a hub for each part.
+A list of copies is not turned into pairs: each list is first verified against one hub, the set whose
+shingles are the most common (what a group was copied from has no shingles of its own). Then, for a few
+rounds, entries of lists that are in different components are verified against their neighbours in the
+order of a min-hash, another one in every round: sets that are alike share one with the probability of
+their similarity and stand side by side, so a group whose members are not all like one hub is joined too.
+Only entries of different components that still meet are then compared one by one, which makes the result
+exact whatever the rounds have found. Before they are paired, each entry is bounded. Two sets that meet at
+some shingle have both their rarer shingles in lists, so what no list has kept is not shared; and pairs that
+share a shingle of a short list are found there, so in a long list only pairs count that share none of those
+either. A set thus shares at most its size less the number of such shingles before the one met. Copies that
+have changed too much for a link stay below what it needs and make no pairs with their group. Lists of very common shingles are salted and have a hub for each
+part. Sets of classes that lists bring together are written once; all steps verify on them.
 
 Defined cases: null, empty and wordless texts have an empty set, link with nothing and are their
 own component; fewer words than five make one shingle; several rows with one id are handled
@@ -47,8 +53,8 @@ SHINGLE, PERCENT = 5, 80
 MAX_LIGHT = 24          # sizes up to this may be enumerated, if that is cheaper
 LIST_ROW_COST = 4       # a list entry is scanned and may be verified; a subset row is only met
 MEETINGS = 4            # shingles that two sets must share within their prefixes (or all, if they need fewer)
-LONG_LIST = 16          # entries from which a list is walked in rounds
-ROUNDS = 4
+LONG_LIST = 16          # entries from which pairs that share a shorter list are left to that
+ROUNDS = 4              # walks along the lists, each in the order of another min-hash
 HOT_LIST = 20_000       # entries of a list that one part should hold
 
 
@@ -82,14 +88,27 @@ def _class_ids(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(s.tobytes(), seed=7) for s in sets], np.uint64).view(np.int64)
 
 
+def _min_hashes(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The least hash of each set under ``ROUNDS`` hash functions; 0 for an empty set."""
+    sizes = np.array([len(s) for s in sets])
+    full = np.flatnonzero(sizes)
+    out = [np.zeros(len(sets), np.int64) for _ in range(ROUNDS)]
+    if len(full):
+        every = np.concatenate([sets[i] for i in full])
+        starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+        for r, column in enumerate(out):
+            column[full] = np.minimum.reduceat(X.mix(every ^ np.uint64(0x9E3779B97F4A7C15 * (r + 1) % 2**64)), starts).view(np.int64)
+    return out
+
+
 def _members(id_type: pa.DataType):
-    """Rows of documents (class, size) and, at a task's end, of its shingle counts."""
+    """Rows of documents (class, size, min-hashes) and, at a task's end, of its shingle counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = sketch.Counts(), set()
-        names = ["doc_id", "n", "cid", "segment", "counts"]
+        names = ["doc_id", "n", "cid", *MARKS, "segment", "counts"]
         for batch in batches:
             data, offsets = X.utf8(batch.column(1))
-            sizes, cids = [], []
+            sizes, cids, marks = [], [], []
             for lo, hi in X.slices(offsets):
                 sets = X.shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], SHINGLE)
                 own = _class_ids(sets)
@@ -102,35 +121,40 @@ def _members(id_type: pa.DataType):
                     counts.add(sketch.place(np.concatenate(fresh)))
                 sizes += [len(s) for s in sets]
                 cids.append(own)
+                marks.append(np.stack(_min_hashes(sets)))
             n = len(batch)
+            marks = np.concatenate(marks, axis=1) if marks else np.zeros((ROUNDS, 0), np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(sizes, pa.int64()), pa.array(np.concatenate(cids) if cids else [], pa.int64()),
-                                              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+                                              *[pa.array(m, pa.int64()) for m in marks], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
         used, raw = counts.rows()
         n = len(used)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, id_type), *[pa.nulls(n, pa.int64())] * (2 + ROUNDS), pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names=names)
     return run
 
 
-ENTRY = "key long, part int, parts int, cid long, n int, first boolean"
+ENTRY = "key long, part int, info long, cid long, n int, core int"     # info: position in the set's order, parts, first
+MARKS = [f"mark{r}" for r in range(ROUNDS)]
 
 
 def _entries(levels, light: int, percent: int):
-    """Subset rows (part -1, first: same sizes) and list rows (first: in the index prefix) of each class."""
-    def rows_of(s: np.ndarray, table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Subset rows (part -1, first: same sizes) and list rows (first: in the index prefix) of each class;
+    core: how common its shingles are, on the whole."""
+    def rows_of(s: np.ndarray, table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
         n, out = len(s), []
+        rarity = table[sketch.place(s)]
+        core = int(rarity.mean() * 256)
         if n <= light:
             members = s.tolist()
             for a, b, c in subset_keys(n, percent):
                 raw = np.array(list(combinations(members, c)), np.uint64).reshape(-1, c)
                 keys = np.array([xxhash.xxh3_64_intdigest(r.tobytes(), seed=a * 1000 + b) for r in raw], np.uint64)
-                out.append((keys, np.full(len(keys), -1), np.full(len(keys), a == b)))
+                out.append((keys, np.full(len(keys), -1), np.full(len(keys), a == b), core))
         if 100 * n > percent * light:
             index = min(n, n - need(n, n, percent) + MEETINGS)
             probe = min(n, n - -(-percent * n // 100) + MEETINGS) if n > light else index
-            rarity = table[sketch.place(s)]
             order = np.lexsort((s, rarity))[:probe]
             parts = 1 + (sketch.count_at(rarity[order].astype(float)) // HOT_LIST).astype(np.int64)
-            out.append((s[order], parts, np.arange(len(order)) < index))
+            out.append((s[order], parts, np.arange(len(order)) < index, core))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +177,12 @@ def _entries(levels, light: int, percent: int):
                 cid = np.repeat(np.array(owners, np.int64), reps)
                 parts = np.concatenate([x[1] for x in found])
                 part = np.where(parts > 0, cid % np.maximum(parts, 1), -1)
+                position = np.concatenate([np.arange(k) for k in reps])
+                info = (position << 32) + np.maximum(parts, 0) * 2 + np.concatenate([x[2] for x in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([x[0] for x in found]).view(np.int64)), pa.array(part.astype(np.int32)), pa.array(parts.astype(np.int32)),
-                     pa.array(cid), pa.array(np.repeat(np.array(sizes, np.int32), reps)), pa.array(np.concatenate([x[2] for x in found]))],
-                    names=["key", "part", "parts", "cid", "n", "first"])
+                    [pa.array(np.concatenate([x[0] for x in found]).view(np.int64)), pa.array(part.astype(np.int32)), pa.array(info.astype(np.int64)),
+                     pa.array(cid), pa.array(np.repeat(np.array(sizes, np.int32), reps)), pa.array(np.repeat(np.array([x[3] for x in found], np.int32), reps))],
+                    names=["key", "part", "info", "cid", "n", "core"])
     return run
 
 
@@ -186,14 +212,17 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(X.mix(raw).view(np.int64))], names=["cid"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (u, v) of classes whose whole sets are similar enough."""
-    spark = pairs.sparkSession
-    pairs = stored(pairs, "pairs")
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct()
-    wanted = spark.sparkContext.broadcast(sketch.filter_of(nodes.mapInArrow(_mixed, "cid long")))
+def sets_of(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(cid, shingles) of ``classes`` (cid, distinct), written once."""
+    wanted = classes.sparkSession.sparkContext.broadcast(sketch.filter_of(classes.mapInArrow(_mixed, "cid long")))
     sets = texts.mapInArrow(_sets(wanted), "cid long, shingles array<long>")
-    sets = stored(sets.join(nodes, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
+    sets = stored(sets.join(classes, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
+    wanted.unpersist()
+    return sets
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (u, v) of classes whose whole sets are similar enough."""
     joined = pairs.join(sets.select(F.col("cid").alias("u"), F.col("shingles").alias("s")), "u")
     joined = joined.join(sets.select(F.col("cid").alias("v"), F.col("shingles").alias("t")), "v")
     common = F.size(F.array_intersect("s", "t"))
@@ -211,72 +240,83 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     texts = docs.select("text")
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = docs.schema["doc_id"].dataType
-    members = stored(docs.mapInArrow(_members(to_arrow_type(id_type)), f"doc_id {id_type.simpleString()}, n long, cid long, segment int, counts binary"), "members")
+    members = stored(docs.mapInArrow(_members(to_arrow_type(id_type)), f"doc_id {id_type.simpleString()}, n long, cid long, {', '.join(m + ' long' for m in MARKS)}, segment int, counts binary"), "members")
     levels = sketch.summed(members.filter("segment is not null").select("segment", "counts"))
-    members = members.filter("cid is not null").select("doc_id", "n", "cid")
+    members = members.filter("cid is not null").select("doc_id", "n", "cid", *MARKS)
     small = members.filter((F.col("n") > 0) & (F.col("n") <= 100 * MAX_LIGHT // percent)).select("cid", "n").distinct()
     light = boundary({r["n"]: r["k"] for r in small.groupBy("n").agg(F.count("*").alias("k")).collect()}, percent)
 
     # entries of lists and subset keys with at least two classes
-    entries = texts.mapInArrow(_entries(spark.sparkContext.broadcast(levels), light, percent), ENTRY)
+    table = spark.sparkContext.broadcast(levels)
+    entries = texts.mapInArrow(_entries(table, light, percent), ENTRY)
     together = Window.partitionBy("key", "part")
-    met = entries.withColumns({"hub": F.min("cid").over(together), "top": F.max("cid").over(together)})
-    met = stored(met.filter("hub != top or parts > 1").drop("top").dropDuplicates(["key", "part", "cid"]), "lists")
+    met = entries.withColumns({"low": F.min("cid").over(together), "top": F.max("cid").over(together),
+                               "entries": F.count("*").over(together), "hub": F.max(F.struct("core", "cid", "n")).over(together)})
+    met = met.withColumns({"first": F.col("info").bitwiseAND(1) == 1, "parts": F.shiftright(F.col("info"), 1).bitwiseAND(2**31 - 1), "position": F.shiftright("info", 32)})
+    met = stored(met.filter("low != top or parts > 1").withColumn("long", F.expr(f"entries >= {LONG_LIST} or parts > 1")).drop("low", "top", "core", "info", "entries").dropDuplicates(["key", "part", "cid"]), "lists")
+    table.unpersist()
 
     subsets = met.filter("part = -1")
     ends = subsets.groupBy("key").agg(F.min(F.struct("n", "cid")).alias("lo"), F.max(F.struct("n", "cid")).alias("hi"))
     subsets = subsets.join(ends, "key")
-    same = subsets.filter("first and cid != hub").select(*_pair("cid", "hub"))
+    same = subsets.filter("first and cid != hub.cid").select(*_pair("cid", "hub.cid"))
     other = F.when(F.col("n") == F.col("lo.n"), F.col("hi.cid")).otherwise(F.col("lo.cid"))
     unlike = subsets.filter("not first and lo.n < hi.n").withColumn("o", other).select(*_pair("cid", "o"))
     exact = same.unionByName(unlike).distinct()
 
-    lists = met.filter("part >= 0").select("key", "part", "parts", "cid", "n", "first", "hub")
+    lists = met.filter("part >= 0").select("key", "part", "parts", "cid", "n", "first", "position", "long", "hub")
     often = lists.groupBy("cid").agg(F.count("*").alias("k"), F.max("n").alias("n"))
     often = often.filter(F.col("k") >= F.least(F.lit(MEETINGS), F.ceil(F.col("n") * percent / 100))).select("cid")
     lists = stored(lists.join(often, "cid", "left_semi"), "candidates")
-    to_hub = lists.filter("cid != hub").select(*_pair("cid", "hub"), "n")
-    hubs = lists.filter("parts > 1").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select(F.array_min("hubs").alias("m"), F.explode("hubs").alias("hub"))
-    hubs = hubs.filter("m != hub").select(*_pair("m", "hub"), F.lit(MEETINGS).alias("n"))
+    sets = sets_of(lists.select("cid").distinct(), texts)
+    alike = lambda n, m: (n * 100 >= m * percent) & (m * 100 >= n * percent)
+    to_hub = lists.filter((F.col("cid") != F.col("hub.cid")) & alike(F.col("n"), F.col("hub.n"))).select(*_pair("cid", "hub.cid"), "n")
+    hubs = lists.filter("parts > 1").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select(F.array_max("hubs").alias("m"), F.explode("hubs").alias("hub"))
+    hubs = hubs.filter((F.col("m.cid") != F.col("hub.cid")) & alike(F.col("m.n"), F.col("hub.n"))).select(*_pair("m.cid", "hub.cid"), F.lit(MEETINGS).alias("n"))
     stars = to_hub.unionByName(hubs).groupBy("u", "v").agg(F.count("*").alias("k"), F.min("n").alias("n"))
     stars = stored(stars.filter(F.col("k") >= F.least(F.lit(MEETINGS), "n")).select("u", "v"), "stars")
-    links = exact.unionByName(verified(stars, texts, percent))
+    links = exact.unionByName(verified(stars, sets, percent))
     joined = components(links)
+    marks = members.join(sets.select("cid"), "cid", "left_semi").select("cid", *MARKS).dropDuplicates(["cid"])
+    before = Window.partitionBy("cid").orderBy("position", "key").rowsBetween(Window.unboundedPreceding, -1)
+    kept = F.when(F.col("long"), F.count_if("long").over(before)).otherwise(F.count("*").over(before))
+    most = F.col("n") - (F.col("position") - kept)
+    lists = stored(lists.drop("hub").join(marks, "cid").withColumn("most", most).drop("position", "parts"), "marked")
+
+    def may_link(n, m, a, b):
+        """Sizes n and m, of which at most a and b are shared, are not too far apart for a link."""
+        return alike(n, m) & ((n + m) * percent <= F.least(a, b) * (100 + percent))
 
     def named_lists() -> DataFrame:
         names = joined.select(F.col("u").alias("cid"), F.col("v").alias("c"))
-        return lists.join(names, "cid", "left").withColumn("comp", F.coalesce("c", "cid")).drop("c", "hub")
-
-    sizes = lists.groupBy("key", "part").agg(F.count("*").alias("entries")).filter(F.col("entries") >= LONG_LIST)
-    for r in range(ROUNDS):
-        walk = named_lists().join(sizes, ["key", "part"])
-        if r == 0:      # most entries are still alone: a quarter of the lists has partners enough
-            walk = walk.filter(F.pmod(F.xxhash64("key"), F.lit(4)) == 0)
-        order = Window.partitionBy("key", "part").orderBy(F.floor(F.log("n") * 4), F.xxhash64("cid", "key", F.lit(r)), "cid")
-        walk = walk.withColumn("next", F.lead(F.struct("cid", "n", "comp")).over(order))
-        alike = (F.col("n") * 100 >= F.col("next.n") * percent) & (F.col("next.n") * 100 >= F.col("n") * percent)
-        pairs = stored(walk.filter((F.col("comp") != F.col("next.comp")) & alike).select(
-            F.least("cid", "next.cid").alias("u"), F.greatest("cid", "next.cid").alias("v")).distinct(), "walked")
+        return lists.join(names, "cid", "left").withColumn("comp", F.coalesce("c", "cid")).drop("c")
+
+    for mark in MARKS:
+        order = Window.partitionBy("key", "part").orderBy(mark, "cid")
+        walk = named_lists().withColumn("next", F.lead(F.struct("cid", "n", "comp", "most")).over(order))
+        walk = walk.filter((F.col("comp") != F.col("next.comp")) & may_link(F.col("n"), F.col("next.n"), F.col("most"), F.col("next.most")))
+        walk = walk.groupBy(*_pair("cid", "next.cid")).agg(F.count("*").alias("k"), F.min(F.least("n", "next.n")).alias("n"))
+        pairs = stored(walk.filter(F.col("k") >= F.least(F.lit(MEETINGS), "n")).select("u", "v"), "walked")
         if pairs.isEmpty():
             break
-        joined = components(joined.unionByName(verified(pairs, texts, percent)))
+        joined = components(joined.unionByName(verified(pairs, sets, percent)))
 
     # what still meets across components
-    named = named_lists().select("key", "cid", "n", "first", "comp")
-    mixed = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a != b").select("key")
-    open_ = stored(named.join(mixed, "key", "left_semi"), "open")
-    span = open_.groupBy("key", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    far = span.select("key", F.col("comp").alias("comp2"), F.col("least").alias("least2"), F.col("most").alias("most2"))
-    meet = span.join(far, "key").filter((F.col("comp") < F.col("comp2")) & (F.col("most") * 100 >= F.col("least2") * percent) & (F.col("most2") * 100 >= F.col("least") * percent)).select("key", "comp", "comp2")
-    other = open_.select("key", F.col("comp").alias("comp2"), F.col("cid").alias("cid2"), F.col("n").alias("n2"), F.col("first").alias("first2"))
-    cross = meet.join(open_, ["key", "comp"]).join(other, ["key", "comp2"])
-    cross = cross.filter(F.when(F.col("n") < F.col("n2"), F.col("first") & (F.col("n") * 100 >= F.col("n2") * percent))
-                         .when(F.col("n") > F.col("n2"), F.col("first2") & (F.col("n2") * 100 >= F.col("n") * percent))
-                         .otherwise(F.col("first") | F.col("first2")))
+    named = named_lists().select("key", "cid", "n", "first", "comp", "most", "long")
+    mixed = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("n").alias("smallest")).filter("a != b").select("key", "smallest")
+    reaches = (F.col("n") + F.col("smallest")) * percent <= F.col("most") * (100 + percent)      # the smallest set of its list, at least
+    open_ = stored(named.join(mixed, "key").filter(reaches).drop("smallest"), "open")
+    index = F.when(F.col("n") < F.col("n2"), F.col("first")).when(F.col("n") > F.col("n2"), F.col("first2")).otherwise(F.col("first") | F.col("first2"))
+    fits = index & may_link(F.col("n"), F.col("n2"), F.col("most"), F.col("most2"))
+    sizes = open_.groupBy("key", "comp", "n").agg(F.max("most").alias("most"), F.bool_or("first").alias("first"))
+    second = {c: f"{c}2" for c in ("comp", "cid", "n", "first", "most", "long")}
+    meet = sizes.join(sizes.withColumnsRenamed(second), "key").filter((F.col("comp") < F.col("comp2")) & fits).select("key", "comp", "n", "comp2", "n2")
+    cross = meet.join(open_, ["key", "comp", "n"]).join(open_.withColumnsRenamed(second), ["key", "comp2", "n2"]).filter(fits)
     least = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent))
-    cross = cross.groupBy(*_pair("cid", "cid2")).agg(F.count("*").alias("k"), F.min(least).alias("least"))
-    cross = cross.filter(F.col("k") >= F.least(F.lit(MEETINGS), "least")).select("u", "v").join(stars, ["u", "v"], "left_anti")
-    joined = components(joined.unionByName(verified(cross, texts, percent)))
+    cross = cross.groupBy(*_pair("cid", "cid2")).agg(F.count("*").alias("k"), F.min(least).alias("least"), F.bool_and("long").alias("long"))
+    cross = cross.filter(~F.col("long") | (F.col("k") >= F.least(F.lit(MEETINGS), "least"))).select("u", "v")
+    cross = stored(cross.join(stars, ["u", "v"], "left_anti"), "pairs")
+    joined = components(joined.unionByName(verified(cross, sets, percent)))
 
     labelled = members.filter("n > 0").join(joined.select(F.col("u").alias("cid"), F.col("v").alias("c")), "cid", "left").select("doc_id", "n", F.coalesce("c", "cid").alias("comp"))
     names = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
