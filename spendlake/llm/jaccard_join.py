@@ -15,17 +15,17 @@ classes are joined:
 * x is the size at which enumerating costs more rows than lists would, over the sizes present.
 
 A list of copies is not turned into pairs: each list is first verified against one hub, the set whose
-shingles are the most common (what a group was copied from has no shingles of its own). Then, for a few
-rounds, entries of lists that are in different components are verified against their neighbours in the
-order of a min-hash, another one in every round: sets that are alike share one with the probability of
+shingles are the most common (what a group was copied from has no shingles of its own). Then entries of lists that are in
+different components are verified against their neighbours in the orders of a few min-hashes: sets that
+are alike share one with the probability of
 their similarity and stand side by side, so a group whose members are not all like one hub is joined too.
 Only entries of different components that still meet are then compared one by one, which makes the result
-exact whatever the rounds have found. Before they are paired, each entry is bounded. Two sets that meet at
+exact whatever hubs and neighbours have found. Before they are paired, each entry is bounded. Two sets that meet at
 some shingle have both their rarer shingles in lists, so what no list has kept is not shared; and pairs that
 share a shingle of a short list are found there, so in a long list only pairs count that share none of those
 either. A set thus shares at most its size less the number of such shingles before the one met. Copies that
 have changed too much for a link stay below what it needs and make no pairs with their group. Lists of very common shingles are salted and have a hub for each
-part. Sets of classes that lists bring together are written once; all steps verify on them.
+part. No pair is verified twice, and each of the three steps makes the sets of its own pairs from the texts.
 
 Defined cases: null, empty and wordless texts have an empty set, link with nothing and are their
 own component; fewer words than five make one shingle; several rows with one id are handled
@@ -41,6 +41,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,13 +49,14 @@ from spendlake.llm import sketch
 from spendlake.llm import text as X
 from spendlake.llm.components import components
 from spendlake.llm.frames import ready, stored
+from spendlake.llm.tokens import give_back
 
 SHINGLE, PERCENT = 5, 80
 MAX_LIGHT = 24          # sizes up to this may be enumerated, if that is cheaper
 LIST_ROW_COST = 4       # a list entry is scanned and may be verified; a subset row is only met
 MEETINGS = 4            # shingles that two sets must share within their prefixes (or all, if they need fewer)
 LONG_LIST = 16          # entries from which pairs that share a shorter list are left to that
-ROUNDS = 4              # walks along the lists, each in the order of another min-hash
+ROUNDS = 4              # orders in which neighbours along the lists are met, each of another min-hash
 HOT_LIST = 20_000       # entries of a list that one part should hold
 
 
@@ -122,6 +124,7 @@ def _members(id_type: pa.DataType):
                 sizes += [len(s) for s in sets]
                 cids.append(own)
                 marks.append(np.stack(_min_hashes(sets)))
+            give_back()
             n = len(batch)
             marks = np.concatenate(marks, axis=1) if marks else np.zeros((ROUNDS, 0), np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(sizes, pa.int64()), pa.array(np.concatenate(cids) if cids else [], pa.int64()),
@@ -160,6 +163,7 @@ def _entries(levels, light: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
+            give_back()
             data, offsets = X.utf8(batch.column(0))
             for lo, hi in X.slices(offsets):
                 sets = X.shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], SHINGLE)
@@ -191,6 +195,7 @@ def _sets(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
+            give_back()
             data, offsets = X.utf8(batch.column(0))
             for lo, hi in X.slices(offsets):
                 sets = X.shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], SHINGLE)
@@ -212,21 +217,23 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(X.mix(raw).view(np.int64))], names=["cid"])
 
 
-def sets_of(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(cid, shingles) of ``classes`` (cid, distinct), written once."""
+def sets_of(classes: DataFrame, texts: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """(cid, shingles), each once, of ``classes`` (cid, distinct) and of few others; with the bit table it needs."""
     wanted = classes.sparkSession.sparkContext.broadcast(sketch.filter_of(classes.mapInArrow(_mixed, "cid long")))
-    sets = texts.mapInArrow(_sets(wanted), "cid long, shingles array<long>")
-    sets = stored(sets.join(classes, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
-    wanted.unpersist()
-    return sets
+    return texts.mapInArrow(_sets(wanted), "cid long, shingles array<long>").dropDuplicates(["cid"]), wanted
+
 
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The (written) pairs (u, v) of classes whose whole sets are similar enough, written.
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (u, v) of classes whose whole sets are similar enough."""
+    Sets are made from the texts for the classes of these pairs alone: they are shuffled once and never written."""
+    sets, wanted = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct(), texts)
     joined = pairs.join(sets.select(F.col("cid").alias("u"), F.col("shingles").alias("s")), "u")
     joined = joined.join(sets.select(F.col("cid").alias("v"), F.col("shingles").alias("t")), "v")
     common = F.size(F.array_intersect("s", "t"))
-    return joined.filter(common * (100 + percent) >= percent * (F.size("s") + F.size("t"))).select("u", "v")
+    found = stored(joined.filter(common * (100 + percent) >= percent * (F.size("s") + F.size("t"))).select("u", "v"), "verified")
+    wanted.unpersist()
+    return found
 
 
 def _pair(a: str, b: str):
@@ -265,23 +272,21 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     exact = same.unionByName(unlike).distinct()
 
     lists = met.filter("part >= 0").select("key", "part", "parts", "cid", "n", "first", "position", "long", "hub")
-    often = lists.groupBy("cid").agg(F.count("*").alias("k"), F.max("n").alias("n"))
-    often = often.filter(F.col("k") >= F.least(F.lit(MEETINGS), F.ceil(F.col("n") * percent / 100))).select("cid")
-    lists = stored(lists.join(often, "cid", "left_semi"), "candidates")
-    sets = sets_of(lists.select("cid").distinct(), texts)
+    own = Window.partitionBy("cid")
+    before = own.orderBy("position", "key").rowsBetween(Window.unboundedPreceding, -1)
+    kept = F.when(F.col("long"), F.count_if("long").over(before)).otherwise(F.count("*").over(before))
+    marks = members.filter("n > 0").select("cid", *MARKS).dropDuplicates(["cid"])
+    often = lists.withColumns({"lists": F.count("*").over(own), "most": F.col("n") - (F.col("position") - kept)})
+    often = often.filter(F.col("lists") >= F.least(F.lit(MEETINGS), F.ceil(F.col("n") * percent / 100)))
+    lists = stored(often.drop("lists", "position").join(marks, "cid"), "candidates")
     alike = lambda n, m: (n * 100 >= m * percent) & (m * 100 >= n * percent)
     to_hub = lists.filter((F.col("cid") != F.col("hub.cid")) & alike(F.col("n"), F.col("hub.n"))).select(*_pair("cid", "hub.cid"), "n")
     hubs = lists.filter("parts > 1").groupBy("key").agg(F.collect_set("hub").alias("hubs")).select(F.array_max("hubs").alias("m"), F.explode("hubs").alias("hub"))
     hubs = hubs.filter((F.col("m.cid") != F.col("hub.cid")) & alike(F.col("m.n"), F.col("hub.n"))).select(*_pair("m.cid", "hub.cid"), F.lit(MEETINGS).alias("n"))
     stars = to_hub.unionByName(hubs).groupBy("u", "v").agg(F.count("*").alias("k"), F.min("n").alias("n"))
     stars = stored(stars.filter(F.col("k") >= F.least(F.lit(MEETINGS), "n")).select("u", "v"), "stars")
-    links = exact.unionByName(verified(stars, sets, percent))
-    joined = components(links)
-    marks = members.join(sets.select("cid"), "cid", "left_semi").select("cid", *MARKS).dropDuplicates(["cid"])
-    before = Window.partitionBy("cid").orderBy("position", "key").rowsBetween(Window.unboundedPreceding, -1)
-    kept = F.when(F.col("long"), F.count_if("long").over(before)).otherwise(F.count("*").over(before))
-    most = F.col("n") - (F.col("position") - kept)
-    lists = stored(lists.drop("hub").join(marks, "cid").withColumn("most", most).drop("position", "parts"), "marked")
+    joined = components(exact.unionByName(verified(stars, texts, percent)))
+    lists = lists.drop("hub", "parts")
 
     def may_link(n, m, a, b):
         """Sizes n and m, of which at most a and b are shared, are not too far apart for a link."""
@@ -291,15 +296,16 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         names = joined.select(F.col("u").alias("cid"), F.col("v").alias("c"))
         return lists.join(names, "cid", "left").withColumn("comp", F.coalesce("c", "cid")).drop("c")
 
-    for mark in MARKS:
-        order = Window.partitionBy("key", "part").orderBy(mark, "cid")
-        walk = named_lists().withColumn("next", F.lead(F.struct("cid", "n", "comp", "most")).over(order))
-        walk = walk.filter((F.col("comp") != F.col("next.comp")) & may_link(F.col("n"), F.col("next.n"), F.col("most"), F.col("next.most")))
-        walk = walk.groupBy(*_pair("cid", "next.cid")).agg(F.count("*").alias("k"), F.min(F.least("n", "next.n")).alias("n"))
-        pairs = stored(walk.filter(F.col("k") >= F.least(F.lit(MEETINGS), "n")).select("u", "v"), "walked")
-        if pairs.isEmpty():
-            break
-        joined = components(joined.unionByName(verified(pairs, sets, percent)))
+    # neighbours in the orders of all min-hashes, in one pass over the lists
+    follow = lambda mark: F.lead(F.struct("cid", "n", "comp", "most")).over(Window.partitionBy("key", "part").orderBy(mark, "cid"))
+    walk = named_lists().withColumns({f"next{r}": follow(mark) for r, mark in enumerate(MARKS)})
+    walk = walk.select("cid", "n", "comp", "most", F.posexplode(F.array(*(f"next{r}" for r in range(ROUNDS)))).alias("round", "next"))
+    walk = walk.filter((F.col("comp") != F.col("next.comp")) & may_link(F.col("n"), F.col("next.n"), F.col("most"), F.col("next.most")))
+    walk = walk.groupBy(*_pair("cid", "next.cid"), "round").agg(F.count("*").alias("k"), F.min(F.least("n", "next.n")).alias("n"))
+    walk = walk.filter(F.col("k") >= F.least(F.lit(MEETINGS), "n")).select("u", "v").distinct()
+    walk = stored(walk.join(stars, ["u", "v"], "left_anti"), "walked")
+    if not walk.isEmpty():
+        joined = components(joined.unionByName(verified(walk, texts, percent)))
 
     # what still meets across components
     named = named_lists().select("key", "cid", "n", "first", "comp", "most", "long")
@@ -315,8 +321,9 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     least = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent))
     cross = cross.groupBy(*_pair("cid", "cid2")).agg(F.count("*").alias("k"), F.min(least).alias("least"), F.bool_and("long").alias("long"))
     cross = cross.filter(~F.col("long") | (F.col("k") >= F.least(F.lit(MEETINGS), "least"))).select("u", "v")
-    cross = stored(cross.join(stars, ["u", "v"], "left_anti"), "pairs")
-    joined = components(joined.unionByName(verified(cross, sets, percent)))
+    cross = stored(cross.join(stars.unionByName(walk), ["u", "v"], "left_anti"), "pairs")
+    if not cross.isEmpty():
+        joined = components(joined.unionByName(verified(cross, texts, percent)))
 
     labelled = members.filter("n > 0").join(joined.select(F.col("u").alias("cid"), F.col("v").alias("c")), "cid", "left").select("doc_id", "n", F.coalesce("c", "cid").alias("comp"))
     names = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

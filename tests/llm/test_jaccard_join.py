@@ -122,3 +122,25 @@ def test_no_pairs_within_a_group_of_near_copies(spark):
     finally:
         J.verified = real
     assert found == brute(list(enumerate(texts))) and sum(seen) < 200 * 200 / 4
+
+
+def test_no_pair_is_verified_twice_and_sets_are_made_for_verified_pairs_alone(spark, monkeypatch):
+    """Groups that share a passage: neighbours in several orders are mostly the pairs that hubs have tried."""
+    rng = random.Random(3)
+    passage = prose(60, 7)
+    texts = [t for g in range(6) for t in varied(prose(80, 50 + g) + " " + passage, rng, 6)] + [prose(40, 200 + i) + " " + passage for i in range(20)]
+    seen, made = [], []
+    real, real_sets = J.verified, J.sets_of
+
+    def counted(pairs, texts_, percent=80):
+        seen.append({(r["u"], r["v"]) for r in pairs.collect()})
+        return real(pairs, texts_, percent)
+
+    def sets(classes, texts_):
+        made.append({r["cid"] for r in classes.collect()})
+        return real_sets(classes, texts_)
+    monkeypatch.setattr(J, "verified", counted)
+    monkeypatch.setattr(J, "sets_of", sets)
+    assert rows(J.similar_components(docs(spark, texts))) == brute(list(enumerate(texts)))
+    assert sum(map(len, seen)) == len(set().union(*seen)) > 0
+    assert made == [{c for pair in pairs for c in pair} for pairs in seen]
