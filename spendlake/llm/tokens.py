@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from spendlake.llm import text as X
 
 MEMO_BYTES = 48 << 20   # of hashes, places and ids: about 35 bytes a piece
-SLICE = 2 << 20         # bytes of text encoded at once
+SLICE = 1 << 20         # bytes of text encoded at once
 #: A space between two characters that are surely visible for every white-space definition.
 _INVISIBLE = r"\s\x00-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _CUT = re.compile(f"(?<=[^{_INVISIBLE}]) (?=[^{_INVISIBLE}])")
@@ -29,6 +29,12 @@ _ODD_SPACE = " [{0}]|[{0}] |^ | $".format("".join(
     ["\\x00-\\x20\\x7f-\\x{a0}", *(f"\\x{{{c}}}" for c in ("1680", "180e")), "\\x{2000}-\\x{200f}", "\\x{2028}-\\x{202f}", "\\x{205f}-\\x{206f}", "\\x{3000}", "\\x{feff}"]))
 
 
+def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin:begin + size of all runs, one after the other."""
+    end = np.cumsum(size)
+    return np.repeat(begin - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
+
+
 class Encoder:
     """Encodes whole texts to little-endian unsigned 32-bit ids."""
 
@@ -67,26 +73,31 @@ class Encoder:
         return [out[p] for p in pieces]
 
     def known(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, begin, size): the ids of distinct pieces that follow a space lie at begin:begin + size."""
+        """(ids, begin, size): the ids of distinct pieces that follow a space lie at begin:begin + size.
+
+        They are these pieces' ids alone: the memo is never copied for a slice once it is full."""
         data, offsets = X.utf8(pieces)
         words = X.Words(offsets[:-1], offsets[1:], offsets)
         hash1, hash2 = X.word_hashes(data, words), X.word_hashes(data ^ np.uint8(0x5A), words)
         place = np.searchsorted(self.hash1, hash1)
         at = np.minimum(place, max(0, len(self.hash1) - 1))
         hit = (self.hash1[at] == hash1) & (self.hash2[at] == hash2) if len(self.hash1) else np.zeros(len(place), bool)
-        begin, size, ids = np.zeros(len(place), np.int64), np.zeros(len(place), np.int32), self.ids
-        begin[hit], size[hit] = self.begin[at[hit]], self.size[at[hit]]
-        new = np.flatnonzero(~hit)
-        if len(new):
-            learned = self.learn(pieces.take(pa.array(new)).to_pylist())
-            size[new] = [len(x) // 4 for x in learned]
-            begin[new] = len(ids) + np.cumsum(size[new]) - size[new]
-            ids = np.concatenate([ids, np.frombuffer(b"".join(learned), "<u4")])
-            if self.ids.nbytes + 28 * len(self.hash1) < MEMO_BYTES:     # full: what came first, and so is common, stays
-                new = new[np.argsort(hash1[new], kind="stable")]
-                self.ids = ids
-                for name, values in (("hash2", hash2), ("begin", begin), ("size", size), ("hash1", hash1)):
-                    setattr(self, name, np.insert(getattr(self, name), place[new], values[new]))
+        new, at = np.flatnonzero(~hit), at[hit]
+        learned = self.learn(pieces.take(pa.array(new)).to_pylist()) if len(new) else []
+        size = np.empty(len(place), np.int64)
+        size[hit], size[new] = self.size[at], [len(x) // 4 for x in learned]
+        begin = np.cumsum(size) - size
+        ids = np.empty(int(size.sum()), "<u4")
+        ids[_runs(begin[hit], size[hit])] = self.ids[_runs(self.begin[at], size[hit])]
+        fresh = np.frombuffer(b"".join(learned), "<u4")
+        ids[_runs(begin[new], size[new])] = fresh
+        if len(new) and self.ids.nbytes + 28 * len(self.hash1) < MEMO_BYTES:     # full: what came first, and so is common, stays
+            own = len(self.ids) + np.cumsum(size[new]) - size[new]
+            self.ids = np.concatenate([self.ids, fresh])
+            order = np.argsort(hash1[new], kind="stable")
+            to = place[new][order]
+            for name, values in (("hash2", hash2[new]), ("begin", own), ("size", size[new]), ("hash1", hash1[new])):
+                setattr(self, name, np.insert(getattr(self, name), to, values[order]))
         return ids, begin, size
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -100,6 +111,7 @@ class Encoder:
         offsets = X.utf8(column)[1]
         for lo, hi in X.slices(offsets, SLICE):
             yield from self._slice(column.slice(lo, hi - lo))
+        give_back()         # what a batch frees would stay with the worker and grow with the next ones
 
     def _slice(self, texts: pa.Array) -> list[np.ndarray]:
         odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
@@ -120,14 +132,14 @@ class Encoder:
         heads = self.plain(pieces.take(pa.array(first[:-1])).to_pylist())
         own = np.array([len(x) // 4 for x in heads], np.int64)
         begin = np.concatenate([begin, len(ids) + np.cumsum(own) - own])
-        size = np.concatenate([size.astype(np.int64), own])
+        size = np.concatenate([size, own])
         source = np.concatenate([ids, np.frombuffer(b"".join(heads), "<u4")])
         which = np.empty(len(pieces), np.int64)
         which[~head] = coded.indices.to_numpy(zero_copy_only=False)
         which[head] = len(coded.dictionary) + np.arange(len(texts))
         length = size[which]
         end = np.cumsum(length)
-        out = source[np.repeat(begin[which] - (end - length), length) + np.arange(int(end[-1]) if len(end) else 0)]
+        out = source[_runs(begin[which], length)]
         edges = np.concatenate([[0], end])[first]
         return [out[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 

@@ -55,3 +55,17 @@ def test_token_ids_are_the_librarys(seed):
     texts = ["", " ", "a", *("".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(3000))]
     assert own.encode(texts) == own.plain(texts)
     assert own.encode(texts[::-1]) == own.plain(texts[::-1])     # with a filled memo
+
+
+def test_a_slice_holds_its_own_ids_and_not_the_memo():
+    """What is gathered for a few pieces does not grow with what the worker has met before."""
+    own = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    many = " ".join(f"word{i}" for i in range(20_000))
+    few = "of the word7 and a never1met word9 word7"
+    own.encode([many])
+    pieces = pa.array(sorted(set(few.split()[1:])), pa.large_string())
+    ids, begin, size = own.known(pieces)
+    assert len(ids) == size.sum() < 40 < len(own.ids)
+    for p, a, n in zip(pieces.to_pylist(), begin.tolist(), size.tolist()):
+        assert ids[a:a + n].tolist() == own.library.encode(" " + p, add_special_tokens=False).ids
+    assert own.encode([few, "", many]) == own.plain([few, "", many])
