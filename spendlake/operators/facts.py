@@ -43,8 +43,9 @@ def contract_fact(contracts: DataFrame) -> DataFrame:
 
 
 def unit_fact(events: DataFrame, unit_map: DataFrame, id_col: str, code_col: str,
-              extra: dict[str, str]) -> DataFrame:
-    """Commitment / payment fact: unit rolled up to its agency by the latest mapping."""
+              extra: dict[str, str], sk: str | None = None) -> DataFrame:
+    """Commitment / payment fact: unit rolled up to its agency by the latest mapping (``sk``: a key the
+    events have already)."""
     df = lookup_join(events, unit_map, on=[("codigoug", "codigo_ug")], take={"codigo_orgao": "codigo_orgao"})
     return df.select(
         F.col("id").cast("long").alias(id_col),
@@ -55,18 +56,19 @@ def unit_fact(events: DataFrame, unit_map: DataFrame, id_col: str, code_col: str
         *[F.col(src).alias(dst) for src, dst in extra.items()],
         to_money("valor").alias("valor"),
         F.col("ano").cast("int").alias("ano"),
+        *([sk] if sk else []),
     ).dropna(subset=[id_col, "ano"])
 
 
-def commitment_fact(commitments: DataFrame, unit_map: DataFrame) -> DataFrame:
+def commitment_fact(commitments: DataFrame, unit_map: DataFrame, sk: str | None = None) -> DataFrame:
     c = ensure_columns(commitments, {"codcontrato": ("string", None), "modalidade": ("string", None)})
     return unit_fact(c, unit_map, "id_empenho_origem", "codigo_empenho",
-                     {"codcontrato": "codcontrato", "modalidade": "modalidade"})
+                     {"codcontrato": "codcontrato", "modalidade": "modalidade"}, sk)
 
 
-def payment_fact(payments: DataFrame, unit_map: DataFrame) -> DataFrame:
+def payment_fact(payments: DataFrame, unit_map: DataFrame, sk: str | None = None) -> DataFrame:
     p = ensure_columns(payments, {"tipoob": ("string", None)})
-    return unit_fact(p, unit_map, "id_ob_origem", "codigo", {"tipoob": "tipo_ob"})
+    return unit_fact(p, unit_map, "id_ob_origem", "codigo", {"tipoob": "tipo_ob"}, sk)
 
 
 def link_commitments_to_contracts(fact_commitment: DataFrame, contracts: DataFrame,

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlake.session import stored
 
 BROADCAST_ROWS = 1_000_000           # keys and a value or two a row: about 100 MB
 
@@ -27,6 +28,24 @@ def small(dim: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(dim) if dim.limit(limit + 1).count() <= limit else dim
 
 
+def small_for(left: DataFrame, col: str, dim: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """``small`` for a dimension (unique ``key``) of which ``left`` may refer to a few rows only.
+
+    A dimension beyond the limit is cut to the rows whose key occurs in ``left[col]`` where these are few enough
+    (an estimate says whether it is worth looking, the exact count decides): no other row can meet ``left``, and a fact
+    of any size is not shuffled for them. Else ``dim`` as it is, for a shuffled join."""
+    limit = BROADCAST_ROWS if limit is None else limit
+    if dim.limit(limit + 1).count() <= limit:
+        return F.broadcast(dim)
+    refs = left.select(F.col(col).alias(key)).dropna()
+    if refs.agg(F.approx_count_distinct(key)).first()[0] > 1.1 * limit:
+        return dim
+    refs = stored(refs.distinct(), "references")
+    if refs.limit(limit + 1).count() > limit:
+        return dim
+    return small(stored(dim.join(F.broadcast(refs), key, "left_semi").select(*dim.columns), "referred"), limit)
+
+
 def lookup_join(left: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
                 take: dict[str, str], how: str = "left", null_safe: Sequence[str] = (),
                 hint: str | None = None) -> DataFrame:

@@ -18,37 +18,55 @@ from spendlake.session import stored
 # --------------------------------------------------------------------------- #
 # Surrogate keys
 # --------------------------------------------------------------------------- #
-def assign_keys(df: DataFrame, sk: str, order: Sequence[str], start: Column | int = 0,
+def _by(order: Sequence[str | Column]) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_first() for c in order]
+
+
+def _dealt_by_order(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *_by(order))
+
+
+def _count_on(dealt: DataFrame, sk: str, order: Sequence[str | Column], start: Column | int) -> DataFrame:
+    """``dealt`` (range-partitioned by ``order``) sorted, stored and numbered."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))     # the row's number in its partition
+    ranged = stored(dealt.sortWithinPartitions(*_by(order)).select("*", F.spark_partition_id().alias("__pid"), place.alias("__place")), "keys")
+    # one row per non-empty partition: bounded by the partition count, so the prefix sums
+    # are taken on the driver and the offset table is broadcast back
+    rows, before = [], 0
+    for pid, cnt in sorted(map(tuple, ranged.groupBy("__pid").count().collect())):
+        rows.append((pid, before))
+        before += cnt
+    offsets = dealt.sparkSession.createDataFrame(rows or [(0, 0)], "__pid int, __before long")
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    key = F.coalesce(start_col.cast("long"), F.lit(0).cast("long")) + F.col("__before") + F.col("__place") + 1
+    return ranged.join(F.broadcast(offsets), "__pid").withColumn(sk, key.cast("long")).drop("__pid", "__place", "__before")
+
+
+def assign_keys(df: DataFrame, sk: str, order: Sequence[str | Column], start: Column | int = 0,
                 num_partitions: int | None = None) -> DataFrame:
     """Add a dense ``sk`` = ``start`` + 1, 2, ... in ``order`` (a unique business key).
 
-    Distributed: the rows are range-partitioned and sorted by ``order`` and written to the
-    checkpoint folder (so both passes below see the same partitions even after an executor
+    Distributed: the rows are range-partitioned and sorted by ``order`` and stored as Parquet in the
+    checkpoint folder (so both passes see the same partitions even after an executor
     loss), per-partition counts (one row per partition) give each partition its offset,
     and the offset table — one row per partition — is broadcast back. No single task ever
     sees more than its own partition, unlike an unpartitioned ``row_number``.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
-              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    # one row per non-empty partition: bounded by the partition count, so the prefix sums
-    # are taken on the driver and the offset table is broadcast back
-    counts = sorted((r["__pid"], r["__cnt"], r["__first"]) for r in ranged.groupBy("__pid").agg(
-        F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first")).collect())
-    rows, before = [], 0
-    for pid, cnt, first in counts:
-        rows.append((pid, first, before))
-        before += cnt
-    offsets = spark.createDataFrame(rows or [(0, 0, 0)], "__pid int, __first long, __before long")
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    out = ranged.join(F.broadcast(offsets), "__pid")
-    key = (F.coalesce(start_col.cast("long"), F.lit(0).cast("long")) + F.col("__before")
-           + (F.col("__mid") - F.col("__first")) + 1)
-    return out.withColumn(sk, key.cast("long")).drop("__pid", "__mid", "__first", "__before")
+    return _count_on(_dealt_by_order(df, order, num_partitions), sk, order, start)
+
+
+def number_keys(keys: DataFrame, sk: str, start: Column | int = 0, num_partitions: int | None = None) -> DataFrame:
+    """The rows of ``keys`` (nothing but a business key) with a dense ``sk`` in their order.
+
+    Raises if a key occurs twice. Equal keys meet in the range partition that numbers them, so counting them
+    takes no shuffle besides; wide rows get their number by a join on the key."""
+    order = keys.columns
+    counted = _dealt_by_order(keys, order, num_partitions).groupBy(*order).agg(F.count(F.lit(1)).alias("__n"))
+    numbered = _count_on(counted, sk, order, start)
+    if numbered.filter("__n > 1").limit(1).count():
+        raise ValueError(f"source has duplicate keys on {list(order)}")
+    return numbered.drop("__n")
 
 
 def next_key_start(target: DataFrame, sk: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spendlake.operators.dedupe import latest_mapping
 from spendlake.operators.dims import agency_dim, calendar_dim, creditor_dim, modality_dim
 from spendlake.operators.facts import commitment_fact, contract_fact, link_commitments_to_contracts, payment_fact
-from spendlake.operators.joins import lookup_join, small
+from spendlake.operators.joins import lookup_join, small, small_for
 from spendlake.operators.merge import assign_keys
 from spendlake.plans import domain
 from spendlake.session import stored
@@ -31,9 +31,13 @@ CONTRACT_KEY_COLS = ["num_contrato", "data_assinatura", *CREDITOR_CONTRACT_COLS]
 
 class Silver:
     """The Silver entities of one query: each is built and written once, on first use, however many
-    dimensions and facts read it. ``contracts``, ``commitments``, ``payments``: the columns the query needs (None: all)."""
+    dimensions and facts read it. ``contracts``, ``commitments``, ``payments``: the columns the query needs (None: all).
 
-    def __init__(self, spark: SparkSession, d: str, contracts=None, commitments=None, payments=None):
+    ``keyed``: entity -> surrogate key of its fact, given out when the entity is stored: the joins that follow
+    keep a row one row, so that the fact is neither shuffled nor stored again for its key."""
+
+    def __init__(self, spark: SparkSession, d: str, contracts=None, commitments=None, payments=None, keyed: dict[str, str] | None = None):
+        self._keyed = keyed or {}
         keep = {"commitments": commitments, "payments": payments}
         self._make = {"contracts": lambda: domain.contracts(spark, d, cols=contracts), "units": lambda: domain.units(spark, d),
                       **{n: lambda n=n, c=c: self._part(getattr(domain, n)(spark, d, keep=c), c) for n, c in keep.items()}}
@@ -45,7 +49,9 @@ class Silver:
 
     def _once(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = stored(self._make[name](), name)
+            df, sk = self._make[name](), self._keyed.get(name)
+            # rows without id or year come last: facts leave them out
+            self._made[name] = assign_keys(df, sk, [F.col("id").isNull() | F.col("ano").isNull(), "id", "ano"]) if sk else stored(df, name)
         return self._made[name]
 
     contracts = property(lambda self: self._once("contracts"))
@@ -60,11 +66,13 @@ def contract_silver(spark: SparkSession, d: str) -> Silver:
 
 
 def commitment_silver(spark: SparkSession, d: str) -> Silver:
-    return Silver(spark, d, contracts=CONTRACT_KEY_COLS, commitments=["id", "ano", *COMMITMENT_COLS, "nomecredor"], payments=["dataemissao"])
+    return Silver(spark, d, contracts=CONTRACT_KEY_COLS, commitments=["id", "ano", *COMMITMENT_COLS, "nomecredor"], payments=["dataemissao"],
+                  keyed={"commitments": "sk_empenho"})
 
 
 def payment_silver(spark: SparkSession, d: str) -> Silver:
-    return Silver(spark, d, contracts=CONTRACT_KEY_COLS, commitments=["dataemissao", *CREDITOR_EVENT_COLS], payments=["id", "ano", *PAYMENT_COLS])
+    return Silver(spark, d, contracts=CONTRACT_KEY_COLS, commitments=["dataemissao", *CREDITOR_EVENT_COLS], payments=["id", "ano", *PAYMENT_COLS],
+                  keyed={"payments": "sk_ordem_bancaria"})
 
 
 def unit_map(spark: SparkSession, d: str, silver: Silver | None = None) -> DataFrame:
@@ -115,7 +123,13 @@ def contract_keys(f: DataFrame, dims: dict) -> DataFrame:
     f = lookup_join(f, small(dims["dim_modalidade"]), [("descricao_modalidade", "descricao_modalidade"),
                                                 ("descricao_tipo", "descricao_tipo")], {"sk_modalidade": "sk_modalidade"},
                     null_safe=["descricao_tipo"])
-    return lookup_join(f, small(dims["dim_credor"].filter("versao_atual")), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+    return creditor_key(f, dims)
+
+
+def creditor_key(f: DataFrame, dims: dict) -> DataFrame:
+    """The fact with the key of its creditor's current version."""
+    current = dims["dim_credor"].filter("versao_atual").select("cpf_cnpj", "sk_credor")
+    return lookup_join(f, small_for(f, "cpf_cnpj", current, "cpf_cnpj"), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
 
 
 def unit_fact_keys(f: DataFrame, dims: dict, date_col: str = "data_emissao") -> DataFrame:
@@ -123,7 +137,7 @@ def unit_fact_keys(f: DataFrame, dims: dict, date_col: str = "data_emissao") ->
     t = dims["dim_tempo"]
     f = lookup_join(f, t, [(date_col, "data")], {"sk_tempo": "sk_tempo"}, hint=calendar_hint(t))
     f = lookup_join(f, small(dims["dim_orgao"]), [("codigo_orgao", "codigo_orgao")], {"sk_orgao": "sk_orgao"})
-    return lookup_join(f, small(dims["dim_credor"].filter("versao_atual")), [("cpf_cnpj", "cpf_cnpj")], {"sk_credor": "sk_credor"})
+    return creditor_key(f, dims)
 
 
 DIMENSIONS = {"dim_tempo": dim_tempo, "dim_orgao": dim_orgao, "dim_modalidade": dim_modalidade, "dim_credor": dim_credor}
@@ -153,18 +167,22 @@ def contract_numbers(con: DataFrame) -> DataFrame:
     return assign_keys(contract_dates(con), "sk_contrato", ["id_contrato_origem", "ano"])
 
 
+def _last(f: DataFrame, col: str) -> DataFrame:
+    return f.select(*[c for c in f.columns if c != col], col)
+
+
 def fato_empenho(spark: SparkSession, d: str, dims: dict | None = None, silver: Silver | None = None) -> DataFrame:
     """Commitment fact with its foreign keys, its contract and a key."""
     silver = silver or commitment_silver(spark, d)
-    f = commitment_fact(silver.commitments, unit_lookup(spark, d, silver))
+    f = commitment_fact(silver.commitments, unit_lookup(spark, d, silver), sk="sk_empenho")
     f = unit_fact_keys(f, dims or dimensions(spark, d, UNIT_FACT_DIMS, silver))
     f = link_commitments_to_contracts(f, contract_numbers(silver.contracts))
-    return assign_keys(f, "sk_empenho", ["id_empenho_origem", "ano"])
+    return _last(f, "sk_empenho")
 
 
 def fato_ordem_bancaria(spark: SparkSession, d: str, dims: dict | None = None, silver: Silver | None = None) -> DataFrame:
     """Payment fact with its foreign keys and a key."""
     silver = silver or payment_silver(spark, d)
-    f = payment_fact(silver.payments, unit_lookup(spark, d, silver))
+    f = payment_fact(silver.payments, unit_lookup(spark, d, silver), sk="sk_ordem_bancaria")
     f = unit_fact_keys(f, dims or dimensions(spark, d, UNIT_FACT_DIMS, silver))
-    return assign_keys(f, "sk_ordem_bancaria", ["id_ob_origem", "ano"])
+    return _last(f, "sk_ordem_bancaria")
